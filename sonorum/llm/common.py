@@ -36,6 +36,13 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Whole texts go to Python at most `rows` at a time, so that a batch of long ones fits a worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def trimmed(text: Column) -> Column:
     return F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))
 

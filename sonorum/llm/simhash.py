@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import count_partitions, materialize, read_table
+from sonorum.llm.common import count_partitions, materialize, read_table, small_batches
 from sonorum.llm.components import connected_components
 
 SEED = 42
@@ -191,6 +191,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, max_group:
     have fingerprint 0 and link like any other. A null doc_id is reported with its component but
     never names one; repeated rows stay repeated; extra columns of docs are not read.
     """
+    small_batches(docs.sparkSession)
     marked = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = connected_components(near_links(nodes.select("fp"), budget, max_group)).withColumnRenamed("node", "fp")
