@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sonorum.llm import chat_format, langid, mixing, quality, rule_ledger, simhash, url_rules
+from sonorum.llm import chat_format, langid, mixing, quality, rule_ledger, simhash, toxicity, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_source_mix": mixing.op2_source_mix,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op4_quality": quality.op4_quality,
         "op5_url_filter": url_rules.op5_url_filter,
         "op6_rule_ledger": rule_ledger.op6_rule_ledger,
