@@ -68,12 +68,15 @@ def train_profiles(labelled: DataFrame, dims: int = 1024, seed: int = 11, max_do
     """language -> unit prototype, from doc_id, text and lang.
 
     About `max_docs` documents of each language are read, chosen by a hash of doc_id; rows without
-    lang and texts without letters do not count. The result has one vector for each language.
+    lang and texts without letters do not count. The driver gets a count and one vector for each
+    language, so lang must be a code of few values.
     """
     labelled = labelled.filter(F.col(lang_col).isNotNull())
-    seen = labelled.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n"))
-    portion = seen.select(lang_col, F.least(F.lit(1.0), max_docs / F.col("n")).alias("portion"))
-    chosen = labelled.join(portion, lang_col).filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) < F.col("portion") * (1 << 20))
+    seen = labelled.groupBy(F.col(lang_col).cast("string").alias("lang")).count().collect()
+    if not seen:
+        return {}
+    portions = F.create_map(*[F.lit(x) for row in seen for x in (row["lang"], min(1.0, max_docs / row["count"]))])
+    chosen = labelled.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) < F.element_at(portions, F.col(lang_col).cast("string")) * (1 << 20))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler = Profiler(dims, seed)

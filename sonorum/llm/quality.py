@@ -44,7 +44,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
     """(log-count ratios, weights, bias) from doc_id, text and doc_id, label.
 
     About `max_docs` labelled documents, chosen by a hash of doc_id, go to the one task that fits
-    the model; null labels and ids do not count. Without both classes the model is all zeros.
+    the model, and their ids and labels to every executor; null labels and ids do not count. Without both classes the model is all zeros.
     """
     known = labels.select("doc_id", F.col(label_col).cast("int").alias("label")).dropna().distinct()
     n = known.count()
@@ -68,7 +68,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
         idx = np.r_[used, SIZE].astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(idx), pa.array(np.r_[ratios[used], 0.0]), pa.array(weights[idx])], ["idx", "ratio", "weight"])
 
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
     ids = docs.schema["doc_id"].dataType.simpleString()
     model = texts.mapInArrow(extract, f"doc_id {ids}, ids binary, label int").repartition(1).mapInArrow(fit, "idx int, ratio double, weight double").toArrow()
     idx = model.column("idx").to_numpy()

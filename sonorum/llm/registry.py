@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sonorum.llm import chat_format, langid, mixing, quality, rule_ledger, simhash, toxicity, url_rules
+from sonorum.llm import chat_format, decontaminate, langid, mixing, quality, rule_ledger, simhash, toxicity, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_source_mix": mixing.op2_source_mix,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_quality": quality.op4_quality,

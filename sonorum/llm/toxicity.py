@@ -100,7 +100,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str],
     """categories: name -> boolean SQL over the columns of labels, in chain order.
 
     About `max_docs` labelled documents, chosen by a hash of doc_id, go to the one task that fits the
-    chain; rows with a null id or category do not count.
+    chain, and their ids and labels to every executor; rows with a null id or category do not count.
     """
     known = labels.select("doc_id", F.array(*[F.expr(c).cast("int") for c in categories.values()]).alias("y")).filter("doc_id is not null and not exists(y, v -> v is null)").distinct()
     n = known.count()
@@ -121,7 +121,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str],
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "y", "fold")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y", "fold")
     fitted = rows.mapInArrow(extract, f"doc_id {ids}, words binary, y array<int>, fold int").repartition(1).mapInArrow(fit, "model binary")
     return [Link(*x) for x in pickle.loads(fitted.first()["model"])]
 

@@ -91,7 +91,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("pag
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(list(QUERY_RULES), "host string, path string, verdict string")
+    rows = [F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in QUERY_RULES]
+    rules = spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     return judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
