@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sonorum.llm import chat_format, decontaminate, langid, mixing, quality, rule_ledger, simhash, toxicity, url_rules
+from sonorum.llm import chat_format, decontaminate, langid, mixing, quality, rule_ledger, simhash, suffix_dedup, toxicity, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_rule_ledger": rule_ledger.op6_rule_ledger,
         "op7_chat_format": chat_format.op7_chat_format,
         "op8_simhash": simhash.op8_simhash,
+        "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_language_id": langid.op10_language_id,
     }
 
