@@ -20,8 +20,10 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sonorum.llm.common import read_table, small_batches
 
@@ -175,57 +177,69 @@ def _item_blocks(items: DataFrame, max_words: int) -> Iterator[list[tuple[int, l
         yield block
 
 
-def contaminated(
+LEAK = "item_id {}, score double, question_overlap double, answer_overlap double, passage_start int"
+
+
+def with_leaks(
     docs: DataFrame,
     items: DataFrame,
+    name: str = "leaks",
     threshold: float = 0.6,
     question_share: float = 0.6,
     answer_share: float = 0.6,
     gram: int = 3,
     max_words: int = 500_000,
 ) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap, passage_start: one row for each document and item in it.
+    """docs with one more column: array<struct> of the items in each text, empty where there is none.
 
-    docs: doc_id, text. items: item_id, question, answer; a null part is empty and an empty part
-    overlaps fully; items without words match nothing. Null, empty and wordless texts hold no item.
-    Repeated documents give repeated rows; repeated items each match. Other columns are not read.
-    Items go through the driver in blocks of at most `max_words` words; each block is a pass.
+    docs: text and any other columns, kept as they are. items: item_id (an integer), question,
+    answer; a null part is empty and an empty part overlaps fully; items without words match
+    nothing. Null, empty and wordless texts hold no item; repeated items each match.
+    Items go through the driver in blocks of at most `max_words` words, and each block is searched
+    by a column of its own.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    items = items.select("item_id", "question", "answer").withColumn("words", _words(F.concat_ws(" ", "question", "answer"))).filter(F.size("words") > 0)
-    ids, item_ids = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {ids}, item_id {item_ids}, score double, question_overlap double, answer_overlap double, passage_start int"
-    names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "passage_start"]
-    found = None
+    kind = T.ArrayType(T._parse_datatype_string(LEAK.format("bigint")))
+    arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("passage_start", pa.int32())]))
+    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), "question", "answer").withColumn("words", _words(F.concat_ws(" ", "question", "answer"))).filter(F.size("words") > 0)
     n_items, n_words = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
     df = items.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count()
+    columns = [F.array().cast(kind)]
     for block in _item_blocks(items, max_words):
         own = sorted({w for _, q, a in block for w in q + a})
-        if n_words > max_words:
-            df_own = df.join(spark.createDataFrame([(w.decode(),) for w in own], "term string"), "term")
-        else:
-            df_own = df
+        df_own = df.join(spark.createDataFrame([(w.decode(),) for w in own], "term string"), "term") if n_words > max_words else df
         shared = spark.sparkContext.broadcast((block, {r["term"].encode(): r["count"] for r in df_own.collect()}, n_items, n_words / n_items, gram))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(*shared.value)
-            for batch in batches:
-                texts, start, size = [], 0, 0
-                for k, text in enumerate(batch.column(1)):
-                    texts.append(fold_words(text.as_py()))
-                    size += len(texts[-1])
-                    if size < WORDS_AT_ONCE and k + 1 < batch.num_rows:
-                        continue
-                    if rows := find_leaks(texts, index, threshold, question_share, answer_share):
-                        text_at, item, score, q, a, at = zip(*rows, strict=True)
-                        doc = batch.column(0).take(pa.array([start + t for t in text_at]))
-                        yield pa.RecordBatch.from_arrays([doc, pa.array(item), pa.array(score), pa.array(q), pa.array(a), pa.array(at, pa.int32())], names)
+        columns.append(F.arrow_udf(_searcher(shared, arrow, threshold, question_share, answer_share), kind)(F.col("text")))
+    return docs.withColumn(name, F.concat(*columns))
+
+
+def _searcher(shared: Broadcast, arrow: pa.DataType, threshold: float, question_share: float, answer_share: float):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = ItemIndex(*shared.value)
+        for batch in batches:
+            found: list[list[tuple]] = [[] for _ in range(len(batch))]
+            texts, start, size = [], 0, 0
+            for k, text in enumerate(batch):
+                texts.append(fold_words(text.as_py()))
+                size += len(texts[-1])
+                if size >= WORDS_AT_ONCE or k + 1 == len(batch):
+                    for at, item, score, q, a, begin in find_leaks(texts, index, threshold, question_share, answer_share):
+                        found[start + at].append({"item_id": item, "score": score, "question_overlap": q, "answer_overlap": a, "passage_start": begin})
                     texts, start, size = [], k + 1, 0
+            yield pa.array(found, arrow)
+
+    return run
 
-        hits = docs.select("doc_id", "text").mapInArrow(run, schema)
-        found = hits if found is None else found.unionByName(hits)
-    return spark.createDataFrame([], schema) if found is None else found
+
+def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """doc_id, item_id, score, question_overlap, answer_overlap, passage_start: one row for each document and item in it.
+
+    As with_leaks; repeated documents give repeated rows, and columns other than doc_id and text are not read.
+    """
+    found = with_leaks(docs.select("doc_id", "text"), items, "leaks", **options)
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
 def split_items(benchmark: DataFrame, answer_words: int = 8) -> DataFrame:

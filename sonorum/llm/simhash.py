@@ -1,9 +1,9 @@
 """SimHash near-duplicates by a binary trie self-join.
 
 Fingerprints are 64-bit SimHashes of word shingles. Distinct fingerprints are linked where they
-differ in at most `budget` bits. The bits are cut into budget + 1 parts; two linked fingerprints
-agree on at least one whole part, so each fingerprint stands in budget + 1 tries, each with another
-part as its top levels. A trie below one value of its top part is joined with itself in one task:
+differ in at most `budget` bits. The bits are cut into budget + `whole` parts; two linked fingerprints
+agree on at least `whole` of them, so each fingerprint stands in one trie for each choice of `whole`
+parts, which are its top levels. A trie below one value of its top is joined with itself in one task:
 node pairs go down together, differing bits add up, and a pair beyond the budget is pruned. A top
 value that more than `max_group` fingerprints share is cut again in the same way over its remaining
 bits, so no task meets an unbounded group and no link is lost.
@@ -11,8 +11,9 @@ bits, so no task meets an unbounded group and no link is lost.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,11 @@ from sonorum.llm.components import connected_components
 SEED = 42
 
 
-def simhash(text: str | None, words: int) -> int:
-    """The fingerprint as a signed 64-bit integer."""
+def simhash(text: str | None, words: int) -> tuple[int, int]:
+    """The fingerprint as a signed 64-bit integer, and the number of shingles."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return 0, 0
     shingles = map(b" ".join, zip(*(found[k:] for k in range(words)), strict=False)) if len(found) >= words else [b" ".join(found)]
     n = max(1, len(found) - words + 1)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
@@ -39,31 +40,27 @@ def simhash(text: str | None, words: int) -> int:
         part = hashes[k : k + 8192].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > n, bitorder="little")
-    return int(bits.view(np.int64)[0])
+    return int(bits.view(np.int64)[0]), n
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp bigint, one row for each row of docs. Null, empty and blank texts have fingerprint 0."""
+    """doc_id, fp bigint, shingles int, one row for each row of docs. Null, empty and blank texts have fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = pa.array((simhash(t.as_py(), words) for t in batch.column(1)), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            fps = [simhash(t.as_py(), words) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f for f, _ in fps], pa.int64()), pa.array([n for _, n in fps], pa.int32())], ["doc_id", "fp", "shingles"])
 
     ids = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int")
 
 
-def _parts(bits: list[int], n: int) -> list[list[int]]:
-    return [list(map(int, part)) for part in np.array_split(bits, n)]
-
-
-def _level_masks(budget: int, levels: int) -> list[list[list[int]]]:
-    """Bits that each trie fixes, level by level: child k of trie t has index t * (budget + 1) + k."""
-    fixed, found = [[]], []
-    for _ in range(levels):
-        fixed = [[*own, *part] for own in fixed for part in _parts([b for b in range(63, -1, -1) if b not in own], budget + 1)]
-        found.append(fixed)
+def _finer(fixed: list[list[int]], budget: int, whole: int) -> list[list[int]]:
+    """Bits that each trie of the next level fixes: child k of trie t has index t * (number of choices) + k."""
+    found = []
+    for own in fixed:
+        parts = np.array_split([b for b in range(63, -1, -1) if b not in own], budget + whole)
+        found += [[*own, *map(int, np.concatenate(choice))] for choice in combinations(parts, whole)]
     return found
 
 
@@ -123,24 +120,24 @@ def _forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             return label
 
 
-def near_links(distinct: DataFrame, budget: int = 2, max_group: int = 4096) -> DataFrame:
+def near_links(distinct: DataFrame, budget: int = 2, whole: int = 1, max_group: int = 4096) -> DataFrame:
     """a, b: links among distinct fingerprints (column fp) that connect all that differ in at most `budget` bits.
 
-    Of the links inside one trie only a spanning forest is returned, so rows stay below
-    (budget + 1) times the fingerprints, and components are those of all links.
+    Of the links inside one trie only a spanning forest is returned, so rows stay below the number
+    of tries times the fingerprints, and components are those of all links.
     """
-    spark = distinct.sparkSession
-    levels = _level_masks(budget, 5)
+    choices = math.comb(budget + whole, whole)
     rest = distinct.select(F.lit(0).alias("trie"), F.col("fp"))
-    found = None
-    for level, masks in enumerate(levels):
-        children = F.array(*[F.col("trie") * (budget + 1) + k for k in range(budget + 1)])
+    masks, found = [[]], None
+    while True:
+        masks = _finer(masks, budget, whole)
+        children = F.array(*[F.col("trie") * choices + k for k in range(choices)])
         tries = F.array(*[F.lit(_mask(bits)).cast("bigint") for bits in masks])
         at = rest.select("fp", F.explode(children).alias("trie"))
         at = at.withColumn("top", F.col("fp").bitwiseAND(F.get(tries, F.col("trie"))))
         sizes = at.groupBy("trie", "top").count().filter("count > 1")
         at = at.join(sizes, ["trie", "top"])
-        deepest = level + 1 == len(levels)
+        deepest = 64 - len(masks[0]) <= 12
         small = at if deepest else at.filter(F.col("count") <= max_group)
         links = _joined_tries(small, masks, budget)
         if not deepest:
@@ -149,7 +146,6 @@ def near_links(distinct: DataFrame, budget: int = 2, max_group: int = 4096) -> D
         if deepest or rest.isEmpty():
             return found
         rest = materialize(rest, "tries")
-    return spark.createDataFrame([], found.schema)
 
 
 def _joined_tries(rows: DataFrame, masks: list[list[int]], budget: int) -> DataFrame:
@@ -184,17 +180,27 @@ def _joined_tries(rows: DataFrame, masks: list[list[int]], budget: int) -> DataF
     return rows.select("trie", "top", "fp").repartition(n, "trie", "top").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, max_group: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    words: int = 3,
+    budget: int = 2,
+    whole: int = 1,
+    min_shingles: int = 0,
+    max_group: int = 4096,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """doc_id, fp, component_id (the least doc_id reachable by links), one row for each row of docs.
 
-    Equal fingerprints are one node however many documents carry them. Documents without words
-    have fingerprint 0 and link like any other. A null doc_id is reported with its component but
-    never names one; repeated rows stay repeated; extra columns of docs are not read.
+    Equal fingerprints are one node however many documents carry them. Fingerprints that only
+    documents with fewer than `min_shingles` shingles carry link to equal ones alone. Documents
+    without words have fingerprint 0 and link like any other. A null doc_id is reported with its
+    component but never names one; repeated rows stay repeated; extra columns of docs are not read.
     """
     small_batches(docs.sparkSession)
     marked = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = connected_components(near_links(nodes.select("fp"), budget, max_group)).withColumnRenamed("node", "fp")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.max("shingles").alias("shingles"))
+    roots = connected_components(near_links(nodes.filter(F.col("shingles") >= min_shingles).select("fp"), budget, whole, max_group)).withColumnRenamed("node", "fp")
     placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     names = placed.select("fp", "root").join(least, "root").select("fp", "component_id")

@@ -377,7 +377,9 @@ def remove_repeated_windows(
     block_bytes: int = 8 << 20,
     hot_blocks: int = 4096,
 ) -> DataFrame:
-    """doc_id, `keep`, n_bytes, n_removed, n_spans, kept binary: one row for each row of docs.
+    """doc_id, `keep`, n_bytes, n_removed, n_spans, text, kept_sha256: one row for each row of docs.
+
+    kept_sha256 is of the bytes that are left; text is what is left of whole characters.
 
     Texts are UTF-8 bytes, null is empty. Every byte goes that is covered by a `window`-byte string
     that also starts in a document with a smaller doc_id; a null doc_id is greater than any other,
@@ -426,7 +428,7 @@ def remove_repeated_windows(
             "n_bytes": pa.array([len(text) + removed for _, text, removed, _ in done], pa.int64()),
             "n_removed": pa.array([removed for _, _, removed, _ in done], pa.int64()),
             "n_spans": pa.array([spans for _, _, _, spans in done], pa.int64()),
-            "kept": pa.array(kept, binary),
+            "text": pa.array([text.decode("utf-8", "ignore" if removed else "strict") for _, text, removed, _ in done], pa.string()),
             "kept_sha256": pa.array([hashlib.sha256(text).hexdigest() for text in kept], pa.string()),
         })
 
@@ -437,10 +439,10 @@ def remove_repeated_windows(
     null = F.lit(None)
     heard = told.select("block", null.cast("int").alias("bucket"), "anchors", null.cast("binary").alias("lengths"), null.cast("binary").alias("values")).unionByName(answered)
     extra = "".join(f", `{c}` {placed.schema[c].dataType.simpleString()}" for c in keep if c not in ("doc_id", "text"))
-    schema = f"doc_id bigint{extra}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"
+    schema = f"doc_id bigint{extra}, n_bytes bigint, n_removed bigint, n_spans bigint, text string, kept_sha256 string"
     return placed.groupBy("block").cogroup(heard.groupBy("block")).applyInArrow(remove, schema)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_windows(read_table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeated_windows(read_table(spark, sf_dir, "documents")).drop("text")
 
