@@ -11,7 +11,11 @@ SCHEMA = "path string, modificationTime timestamp, length bigint, content binary
 
 
 def scan_audio(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """path, modificationTime, length, content. A filter on length is pushed into the scan, and content is read only where used."""
+    """path, modificationTime, length, content. A filter on length is pushed into the scan, and content is read only where used.
+
+    Spark's file sources do not list files of zero bytes, so a request for one finds no file; the
+    rule for empty uploads holds where the request table has the size itself.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
 
