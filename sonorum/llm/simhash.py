@@ -18,20 +18,20 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import count_partitions, materialize, read_table, small_batches
+from sonorum.llm.common import LOWER, UPPER, count_partitions, let, materialize, read_table, small_batches, split_words
 from sonorum.llm.components import connected_components
 
 SEED = 42
 
 
-def simhash(text: str | None, words: int) -> tuple[int, int]:
-    """The fingerprint as a signed 64-bit integer, and the number of shingles."""
+def simhash(text: str | None, words: int) -> tuple[int, int, int]:
+    """The fingerprint as a signed 64-bit integer, the number of shingles, and a hash of the words in order."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0, 0
+        return 0, 0, 0
     shingles = map(b" ".join, zip(*(found[k:] for k in range(words)), strict=False)) if len(found) >= words else [b" ".join(found)]
     n = max(1, len(found) - words + 1)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
@@ -40,19 +40,22 @@ def simhash(text: str | None, words: int) -> tuple[int, int]:
         part = hashes[k : k + 8192].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > n, bitorder="little")
-    return int(bits.view(np.int64)[0]), n
+    return int(bits.view(np.int64)[0]), n, xxhash.xxh64_intdigest(b" ".join(found)) - (1 << 63)
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp bigint, shingles int, one row for each row of docs. Null, empty and blank texts have fingerprint 0."""
+    """doc_id, fp bigint, shingles int, digest bigint (of the words in order), one row for each row of docs.
+
+    Null, empty and blank texts have fingerprint 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [simhash(t.as_py(), words) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f for f, _ in fps], pa.int64()), pa.array([n for _, n in fps], pa.int32())], ["doc_id", "fp", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[k] for f in fps], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int64())))], ["doc_id", "fp", "shingles", "digest"])
 
     ids = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int, digest bigint")
 
 
 def _finer(fixed: list[list[int]], budget: int, whole: int) -> list[list[int]]:
@@ -207,6 +210,56 @@ def near_duplicates(
     return marked.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
+def shingle_hashes(text: Column, words: int) -> Column:
+    """Distinct hashes of a text's word shingles, A-Z lower-cased; a shorter text is one shingle of all its words, a blank one none."""
+    own = split_words(F.translate(text, UPPER, LOWER))
+
+    def hashes(w: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.size(w) - (words - 1)), lambda k: F.xxhash64(F.slice(w, k, F.lit(words))))
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(w) < words, F.array(F.xxhash64(w))).otherwise(F.array_distinct(many))
+
+    return let(own, hashes)
+
+
+def similar_documents(
+    docs: DataFrame,
+    budget: int,
+    whole: int,
+    similarity: float = 0.8,
+    words: int = 5,
+    finger_words: int = 3,
+    min_shingles: int = 0,
+    max_group: int = 4096,
+) -> DataFrame:
+    """doc_id, component_id of near copies: fingerprints propose links, the shingle sets of both texts decide.
+
+    Proposed are each document with the least of its fingerprint, and the least documents of
+    linked fingerprints; a link counts where the Jaccard similarity of the `words`-word shingle sets
+    is at least `similarity`. Texts with the same words in the same order need no comparison. Only
+    the texts of documents in a proposed link are read again. Rows without doc_id have no part.
+    """
+    small_batches(docs.sparkSession)
+    docs = docs.filter(F.col("doc_id").isNotNull())
+    marked = materialize(fingerprints(docs, finger_words), "fingerprints")
+    # the documents of one text are one node, so a text of very many copies is one node too
+    exact = materialize(marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min_by("fp", "doc_id").alias("fp"), F.max("shingles").alias("shingles")), "texts")
+    nodes = exact.groupBy("fp").agg(F.min("first_id").alias("fp_id"), F.max("shingles").alias("shingles"))
+    links = near_links(nodes.filter(F.col("shingles") >= min_shingles).select("fp"), budget, whole, max_group)
+    left, right = nodes.select(F.col("fp").alias("a"), F.col("fp_id").alias("x")), nodes.select(F.col("fp").alias("b"), F.col("fp_id").alias("y"))
+    across = links.distinct().join(left, "a").join(right, "b").select("x", "y")
+    within = exact.join(nodes.select("fp", "fp_id"), "fp").filter("first_id <> fp_id").select(F.col("fp_id").alias("x"), F.col("first_id").alias("y"))
+    proposed = materialize(across.unionByName(within).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "proposed")
+    named = proposed.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    sets = docs.join(named, "doc_id", "left_semi").select("doc_id", shingle_hashes(F.col("text"), words).alias("s"))
+    x, y = sets.select(F.col("doc_id").alias("x"), F.col("s").alias("sx")), sets.select(F.col("doc_id").alias("y"), F.col("s").alias("sy"))
+    common = F.size(F.array_intersect("sx", "sy"))
+    jaccard = common / (F.size("sx") + F.size("sy") - common)
+    true_links = proposed.join(x, "x").join(y, "y").filter(jaccard >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    roots = connected_components(true_links).withColumnRenamed("node", "first_id")
+    placed = exact.join(roots, "first_id", "left").select("digest", F.coalesce("root", "first_id").alias("component_id"))
+    return marked.join(placed, "digest").select("doc_id", "component_id")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

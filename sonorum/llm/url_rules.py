@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import read_table
+from sonorum.llm.common import LOWER, UPPER, read_table
 
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rules of the registered query: (host, path, verdict).
 QUERY_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
