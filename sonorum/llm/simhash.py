@@ -155,9 +155,10 @@ def _joined_tries(rows: DataFrame, masks: list[list[int]], budget: int) -> DataF
     """rows: trie, top, fp; every (trie, top) is joined with itself inside one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        got = [b for b in batches if b.num_rows]
+        if not got:
             return
+        table = pa.Table.from_batches(got)
         trie = table.column("trie").to_numpy()
         top = table.column("top").to_numpy()
         fps = table.column("fp").to_numpy().view(np.uint64)

@@ -38,6 +38,8 @@ MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6
 #: A null doc_id comes after all others.
 NO_ID = np.iinfo(np.int64).max
 CHUNK = 1 << 20
+#: Columns of the result besides those kept.
+RESULTS = ("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 @dataclass(frozen=True)
@@ -158,7 +160,9 @@ def _bucket(hashes: np.ndarray, shape: Shape) -> np.ndarray:
 
 
 def _slices(sorted_buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
-    cuts = np.flatnonzero(np.r_[True, sorted_buckets[1:] != sorted_buckets[:-1]]) if len(sorted_buckets) else []
+    if not len(sorted_buckets):
+        return
+    cuts = np.flatnonzero(np.r_[True, sorted_buckets[1:] != sorted_buckets[:-1]])
     for begin, end in zip(cuts, [*cuts[1:], len(sorted_buckets)], strict=True):
         yield int(sorted_buckets[begin]), slice(int(begin), int(end))
 
@@ -374,7 +378,8 @@ def remove_repeated_windows(
     docs: DataFrame,
     window: int = 50,
     keep: tuple[str, ...] = (),
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 4 << 20,
+    bucket_bytes: int = 8 << 20,
     hot_blocks: int = 4096,
 ) -> DataFrame:
     """doc_id, `keep`, n_bytes, n_removed, n_spans, text, kept_sha256: one row for each row of docs.
@@ -384,18 +389,21 @@ def remove_repeated_windows(
     Texts are UTF-8 bytes, null is empty. Every byte goes that is covered by a `window`-byte string
     that also starts in a document with a smaller doc_id; a null doc_id is greater than any other,
     and rows with equal doc_id do not count against each other. Texts shorter than a window are
-    left alone. Columns outside doc_id, text and `keep` are not read. doc_id is an integer.
+    left alone. A block holds about `block_bytes` of texts and a bucket the anchors of about
+    `bucket_bytes`; both fit a task's memory whatever the input's size. Columns outside doc_id, text and `keep` are not read, and one in
+    `keep` that has the name of a result is left out. doc_id is an integer.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, total // block_bytes)
     anchor = max(8, window * 2 // 5)
-    shape = Shape(window, anchor, min(61, max(32, int(total).bit_length() + 14)), int(blocks))
+    shape = Shape(window, anchor, min(61, max(32, int(total).bit_length() + 14)), int(max(1, total // bucket_bytes)))
     binary, i32 = pa.binary(), pa.int32()
     dealt = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(blocks)).cast("int")
-    placed = docs.select(dealt.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")])
+    extra = [c for c in keep if c not in RESULTS]
+    placed = docs.select(dealt.alias("__block"), F.col("doc_id").cast("long").alias("doc_id"), "text", *extra)
 
     def report(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
+        block = table.column("__block")[0].as_py()
         return _rows(["bucket", "block", "anchors"], [i32, i32, binary], [(b, block, p) for b, p in report_anchors(table, shape)])
 
     def repeated(table: pa.Table) -> pa.Table:
@@ -405,7 +413,7 @@ def remove_repeated_windows(
         names, kinds = ["bucket", "block", "hash", "offset", "windows", "least", "content"], [i32, i32, *[binary] * 5]
         if not texts.num_rows or not told.num_rows:
             return _rows(names, kinds, [])
-        block = texts.column("block")[0].as_py()
+        block = texts.column("__block")[0].as_py()
         return _rows(names, kinds, [(b, block, *rest) for b, *rest in send_runs(texts, told.column("anchors").to_pylist(), shape)])
 
     def answer(table: pa.Table) -> pa.Table:
@@ -424,7 +432,7 @@ def remove_repeated_windows(
         kept = [text for _, text, _, _ in done]
         return pa.table({
             "doc_id": texts.column("doc_id"),
-            **{c: texts.column(c) for c in keep if c not in ("doc_id", "text")},
+            **{c: texts.column(c) for c in extra},
             "n_bytes": pa.array([len(text) + removed for _, text, removed, _ in done], pa.int64()),
             "n_removed": pa.array([removed for _, _, removed, _ in done], pa.int64()),
             "n_spans": pa.array([spans for _, _, _, spans in done], pa.int64()),
@@ -432,15 +440,15 @@ def remove_repeated_windows(
             "kept_sha256": pa.array([hashlib.sha256(text).hexdigest() for text in kept], pa.string()),
         })
 
-    reported = placed.groupBy("block").applyInArrow(report, "bucket int, block int, anchors binary")
+    reported = placed.groupBy("__block").applyInArrow(report, "bucket int, block int, anchors binary")
     told = reported.groupBy("bucket").applyInArrow(repeated, "block int, anchors binary")
-    sent = placed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(send, "bucket int, block int, hash binary, offset binary, windows binary, least binary, content binary")
+    sent = placed.groupBy("__block").cogroup(told.groupBy("block")).applyInArrow(send, "bucket int, block int, hash binary, offset binary, windows binary, least binary, content binary")
     answered = sent.groupBy("bucket").applyInArrow(answer, "block int, bucket int, anchors binary, lengths binary, values binary")
     null = F.lit(None)
     heard = told.select("block", null.cast("int").alias("bucket"), "anchors", null.cast("binary").alias("lengths"), null.cast("binary").alias("values")).unionByName(answered)
-    extra = "".join(f", `{c}` {placed.schema[c].dataType.simpleString()}" for c in keep if c not in ("doc_id", "text"))
-    schema = f"doc_id bigint{extra}, n_bytes bigint, n_removed bigint, n_spans bigint, text string, kept_sha256 string"
-    return placed.groupBy("block").cogroup(heard.groupBy("block")).applyInArrow(remove, schema)
+    kinds = "".join(f", `{c}` {placed.schema[c].dataType.simpleString()}" for c in extra)
+    schema = f"doc_id bigint{kinds}, n_bytes bigint, n_removed bigint, n_spans bigint, text string, kept_sha256 string"
+    return placed.groupBy("__block").cogroup(heard.groupBy("block")).applyInArrow(remove, schema)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
