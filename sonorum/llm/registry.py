@@ -30,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_filter": url_rules.ORACLE_SQL,
         "op6_rule_ledger": rule_ledger.ORACLE_SQL,
         "op7_chat_format": chat_format.ORACLE_SQL,
+        "op9_suffix_dedup": suffix_dedup.ORACLE_SQL,
     }

@@ -454,3 +454,20 @@ def remove_repeated_windows(
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(read_table(spark, sf_dir, "documents")).drop("text")
 
+
+#: Windows as hex digits, cut from short pieces of each text.
+ORACLE_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+q AS (SELECT doc_id, k * 256 AS base, substr(h, 512 * k + 1, 610) AS piece FROM (SELECT doc_id, h, unnest(range(0, length(h) // 512 + 1)) AS k FROM d)),
+w AS (SELECT doc_id, base + j AS i, substr(piece, 2 * j + 1, 100) AS s FROM (SELECT doc_id, base, piece, unnest(range(0, least(256, length(piece) // 2 - 49))) AS j FROM q)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+c AS (SELECT w.doc_id, w.i FROM w JOIN f ON w.s = f.s WHERE f.first < w.doc_id),
+r AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM c)),
+s AS (SELECT doc_id, min(i) AS b, max(i) + 50 AS e FROM r GROUP BY doc_id, run),
+p AS (SELECT s.doc_id, b, e, substr(h, 2 * lag(e, 1, 0) OVER (PARTITION BY s.doc_id ORDER BY b) + 1, 2 * (b - lag(e, 1, 0) OVER (PARTITION BY s.doc_id ORDER BY b))) AS before FROM s JOIN d ON s.doc_id = d.doc_id),
+g AS (SELECT doc_id, count(*) AS n_spans, sum(e - b) AS n_removed, max(e) AS last, string_agg(before, '' ORDER BY b) AS kept FROM p GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
