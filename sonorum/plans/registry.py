@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -11,8 +12,11 @@ from pyspark.sql import functions as F
 from sonorum.functions import envelopes, scalars
 from sonorum.operators import admission, bundles, labels, outcomes, predict, scoring, signal
 from sonorum.plans import fixtures
+from sonorum.plans.classify import classify_audio
 from sonorum.plans.fixtures import REQUESTS_SQL, SCORES_SQL, table
+from sonorum.session import shared_dir
 from sonorum.sources.audio import attach_audio
+from sonorum.streaming.bundles import bundle_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, tuple[Query, str | None]] = {}
@@ -319,15 +323,16 @@ def _log_mel(spark, sf_dir):
     return mel.select("vec_id", F.size("mel").alias("n"), _r(F.array_max("mel"), 3).alias("most"), _r(F.array_min("mel"), 3).alias("least"))
 
 
-def _wav_bytes(samples: Column) -> Column:
-    """Mono 16 kHz 16-bit WAV files, made by Spark: a RIFF header before little-endian samples."""
+def _wav_bytes(samples: Column, times: Column) -> Column:
+    """Mono 16 kHz 16-bit WAV files, made by Spark: a RIFF header before the little-endian samples, so many times over."""
 
     def little(n: Column, size: int) -> Column:
         text = F.lpad(F.hex(n), 2 * size, "0")
         return F.concat(*[F.substring(text, 2 * (size - k) - 1, 2) for k in range(size)])
 
-    body = F.array_join(F.transform(samples, lambda x: little(F.pmod(x.cast("int"), F.lit(65536)), 2)), "")
-    n = F.size(samples) * 2
+    once = F.array_join(F.transform(samples, lambda x: little(F.pmod(x.cast("int"), F.lit(65536)), 2)), "")
+    body = F.repeat(once, times)
+    n = F.size(samples) * times * 2
     head = F.concat(F.lit("52494646"), little(n + 36, 4), F.lit("57415645666d74201000000001000100803E0000007D00000200100064617461"), little(n, 4))
     return F.unhex(F.concat(head, body))
 
@@ -335,8 +340,8 @@ def _wav_bytes(samples: Column) -> Column:
 @_query("d1_d2_decode_clips", "SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN NULL ELSE 6400 END AS n_samples, CASE WHEN vec_id % 5 = 0 THEN NULL ELSE CAST(100 * list_sum(list_transform(embedding, lambda x: CAST(greatest(least(floor(x::DOUBLE * 8000), 32767), -32768) AS BIGINT))) AS BIGINT) END AS total, vec_id % 5 = 0 AS failed FROM embeddings")
 def _decode(spark, sf_dir):
     once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
-    clips = table(spark, sf_dir, "embeddings").select("vec_id", F.flatten(F.array_repeat(once, 100)).alias("s"))
-    content = F.when(F.col("vec_id") % 5 == 0, F.encode(F.lit("RIFF and no more"), "UTF-8")).otherwise(_wav_bytes(F.col("s")))
+    clips = table(spark, sf_dir, "embeddings").select("vec_id", once.alias("s"))
+    content = F.when(F.col("vec_id") % 5 == 0, F.encode(F.lit("RIFF and no more"), "UTF-8")).otherwise(_wav_bytes(F.col("s"), F.lit(100)))
     found = signal.decode_clips(clips.select("vec_id", content.alias("content")), key="vec_id")
     total = F.aggregate("samples", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return found.select("vec_id", "n_samples", total.alias("total"), F.col("error").isNotNull().alias("failed"))
@@ -372,6 +377,56 @@ def _bundles(spark, sf_dir):
     return bundles.bundle_events(events, "user_id", "ts_us", "event_id", 8, 3_600_000_000)
 
 
+@_query("h2_bundle_stream", """WITH RECURSIVE n AS (SELECT user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+b AS (SELECT user_id, t, i, 0::BIGINT AS bundle, 1 AS size, t AS opened FROM n WHERE i = 1
+  UNION ALL SELECT n.user_id, n.t, n.i,
+    CASE WHEN b.size >= 8 OR n.t - b.opened >= 3600000000 THEN b.bundle + 1 ELSE b.bundle END,
+    CASE WHEN b.size >= 8 OR n.t - b.opened >= 3600000000 THEN 1 ELSE b.size + 1 END,
+    CASE WHEN b.size >= 8 OR n.t - b.opened >= 3600000000 THEN n.t ELSE b.opened END
+  FROM b JOIN n ON n.user_id = b.user_id AND n.i = b.i + 1),
+g AS (SELECT user_id, bundle, count(*) AS n_items, min(t) AS first_us FROM b GROUP BY ALL),
+l AS (SELECT *, max(bundle) OVER (PARTITION BY user_id) AS latest FROM g)
+SELECT user_id, bundle, n_items, first_us FROM l
+WHERE bundle < latest OR n_items = 8 OR ceil((first_us + 3600000000) / 1000.0) < (SELECT max(epoch_us(ts)) // 1000 FROM events)""")
+def _bundle_stream(spark, sf_dir):
+    """The closed bundles; a bundle still open at the end stays in the stream's state."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    place = f"{shared_dir(spark)}/bundles-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    writer = bundle_stream(stream, "user_id", "ts", 8, 3_600_000_000).writeStream.format("parquet").option("checkpointLocation", f"{place}/state")
+    query = writer.trigger(availableNow=True).start(f"{place}/out")
+    query.awaitTermination()
+    return spark.read.schema(f"user_id {events.schema['user_id'].dataType.simpleString()}, bundle bigint, n_items bigint, first_us bigint").parquet(f"{place}/out")
+
+
+def _make_mel_predict():
+    def predict(mels: np.ndarray) -> np.ndarray:
+        return np.stack([mels[:, k * 8 : k * 8 + 8].mean(axis=(1, 2)) for k in range(10)], axis=1)
+
+    return predict
+
+
+@_query("q2_classify_audio", """SELECT vec_id AS request_id, CASE WHEN vec_id % 7 = 2 THEN 'bad_format' WHEN vec_id % 7 = 6 THEN 'unreadable' WHEN vec_id % 7 = 3 THEN 'bad_top_k'
+  WHEN vec_id % 7 = 0 THEN 'undecodable' WHEN vec_id % 7 = 1 THEN 'bad_duration' ELSE 'ok' END AS rule,
+  CASE vec_id % 7 WHEN 6 THEN 400 WHEN 4 THEN 200 WHEN 5 THEN 200 ELSE 422 END AS status,
+  CASE vec_id % 7 WHEN 1 THEN 6400 WHEN 4 THEN 16000 WHEN 5 THEN 16000 END AS n_samples,
+  CASE vec_id % 7 WHEN 4 THEN 5 WHEN 5 THEN 2 END AS n_intents, vec_id % 7 IN (4, 5) AS answered FROM embeddings""")
+def _classify_audio(spark, sf_dir):
+    once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
+    part = F.col("vec_id") % 7
+    clips = table(spark, sf_dir, "embeddings").select("vec_id", once.alias("s"))
+    content = F.when(part == 0, F.encode(F.lit("RIFF and no more"), "UTF-8")).otherwise(_wav_bytes(F.col("s"), F.when(part == 1, 100).otherwise(250)))
+    audio = clips.filter(part != 6).select(F.col("vec_id").cast("string").alias("path"), content.alias("content")).withColumn("length", F.octet_length("content").cast("bigint"))
+    asked = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("request_id"), F.col("vec_id").cast("string").alias("path"),
+        F.when(part == 2, "srt").when(part == 5, "verbose_json").alias("response_format"), F.when(part == 3, "0").when(part == 5, "2").alias("top_k"),
+    )
+    found = classify_audio(asked, audio, _make_mel_predict, fixtures.labels(spark, sf_dir))
+    answered = F.col("response").isNotNull() & (F.get_json_object("response", "$.top_intent") == F.col("top_intent"))
+    return found.select("request_id", "rule", "status", "n_samples", F.when(F.col("intents").isNotNull(), F.size("intents")).alias("n_intents"), F.coalesce(answered, F.lit(False)).alias("answered"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, (f, _) in _FOUND.items()}
 
