@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sonorum.llm.common import read_table, small_batches
 
@@ -177,7 +176,7 @@ def _item_blocks(items: DataFrame, max_words: int) -> Iterator[list[tuple[int, l
         yield block
 
 
-LEAK = "item_id {}, score double, question_overlap double, answer_overlap double, passage_start int"
+LEAKS = "array<struct<item_id:bigint,score:double,question_overlap:double,answer_overlap:double,passage_start:int>>"
 
 
 def with_leaks(
@@ -200,18 +199,17 @@ def with_leaks(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    kind = T.ArrayType(T._parse_datatype_string(LEAK.format("bigint")))
     arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("passage_start", pa.int32())]))
     items = items.select(F.col("item_id").cast("bigint").alias("item_id"), "question", "answer").withColumn("words", _words(F.concat_ws(" ", "question", "answer"))).filter(F.size("words") > 0)
     n_items, n_words = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
     df = items.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count()
-    columns = [F.array().cast(kind)]
+    columns = [F.array().cast(LEAKS)]
     for block in _item_blocks(items, max_words):
         own = sorted({w for _, q, a in block for w in q + a})
         df_own = df.join(spark.createDataFrame([(w.decode(),) for w in own], "term string"), "term") if n_words > max_words else df
         shared = spark.sparkContext.broadcast((block, {r["term"].encode(): r["count"] for r in df_own.collect()}, n_items, n_words / n_items, gram))
 
-        columns.append(F.arrow_udf(_searcher(shared, arrow, threshold, question_share, answer_share), kind)(F.col("text")))
+        columns.append(F.arrow_udf(_searcher(shared, arrow, threshold, question_share, answer_share), LEAKS)(F.col("text")))
     return docs.withColumn(name, F.concat(*columns))
 
 
