@@ -108,12 +108,14 @@ def mel_filters(n_mels: int, n_fft: int, rate: int = config.SAMPLE_RATE) -> np.n
 
 def spectrogram(samples: np.ndarray, filters: np.ndarray, frames: int, win: int, hop: int, floor: float, span: float) -> np.ndarray:
     """log10 mel energies n_mels x frames of a clip padded with silence; values below the peak less `span` are lifted to it."""
-    n = frames * hop
-    signal = np.zeros(n + win, np.float32)
-    signal[win // 2 : win // 2 + min(n, len(samples))] = samples[:n].astype(np.float32) / 32768.0
-    windows = np.lib.stride_tricks.sliding_window_view(signal, win)[::hop][:frames]
+    heard = min(len(samples), frames * hop)
+    sounding = min(frames, (win // 2 + heard + hop - 1) // hop)  # later frames are silence alone
+    signal = np.zeros(sounding * hop + win, np.float32)
+    signal[win // 2 : win // 2 + heard] = samples[:heard].astype(np.float32) / 32768.0
+    windows = np.lib.stride_tricks.sliding_window_view(signal, win)[::hop][:sounding]
     power = np.abs(np.fft.rfft(windows * np.hanning(win + 1)[:-1].astype(np.float32), axis=1)) ** 2
-    logs = np.log10(np.maximum(filters @ power.T, floor))
+    logs = np.full((len(filters), frames), np.log10(floor))
+    logs[:, :sounding] = np.log10(np.maximum(filters @ power.T, floor))
     return ((np.maximum(logs, logs.max() - span) + 4.0) / 4.0).astype(np.float32)
 
 

@@ -68,7 +68,9 @@ def classify_audio(requests: DataFrame, audio: DataFrame, make_predict: MakePred
     sized = attach_audio(rows, audio)
     early = first_failure(early_rules(F.col("payload_bytes").isNotNull(), F.col("payload_bytes"), F.col("response_format"), F.col("top_k")))
     sized = sized.withColumn("early", early)
-    bodies = audio.filter(F.col("length").between(1, config.MAX_UPLOAD_BYTES)).select("path", "content")
+    # clips are heavy for their bytes: a fixed number of partitions, which adaptive execution leaves alone, on the join's own key
+    parts = int(audio.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bodies = audio.filter(F.col("length").between(1, config.MAX_UPLOAD_BYTES)).select("path", "content").repartition(parts, "path")
     wanted = sized.filter("early.status = 200").select("request_id", "path").join(bodies, "path")
     scored = score_clips(wanted, make_predict, decoder)
     n = labels.count()

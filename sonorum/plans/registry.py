@@ -314,7 +314,8 @@ def _frames(spark, sf_dir):
 def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second of sound for each embedding: its values as samples, over and over."""
     once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.flatten(F.array_repeat(once, 250)).alias("samples"))
+    dealt = table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism)  # a small file of much work
+    return dealt.select("vec_id", F.flatten(F.array_repeat(once, 250)).alias("samples"))
 
 
 @_query("d4_log_mel")
