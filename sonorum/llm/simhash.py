@@ -27,11 +27,11 @@ from sonorum.llm.components import connected_components
 SEED = 42
 
 
-def simhash(text: str | None, words: int) -> tuple[int, int, int]:
+def simhash(text: str | None, words: int) -> tuple[int, int, bytes]:
     """The fingerprint as a signed 64-bit integer, the number of shingles, and a hash of the words in order."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0, 0, 0
+        return 0, 0, b""
     shingles = map(b" ".join, zip(*(found[k:] for k in range(words)), strict=False)) if len(found) >= words else [b" ".join(found)]
     n = max(1, len(found) - words + 1)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
@@ -40,11 +40,11 @@ def simhash(text: str | None, words: int) -> tuple[int, int, int]:
         part = hashes[k : k + 8192].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > n, bitorder="little")
-    return int(bits.view(np.int64)[0]), n, xxhash.xxh64_intdigest(b" ".join(found)) - (1 << 63)
+    return int(bits.view(np.int64)[0]), n, xxhash.xxh3_128_digest(b" ".join(found))
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp bigint, shingles int, digest bigint (of the words in order), one row for each row of docs.
+    """doc_id, fp bigint, shingles int, digest binary (128 bits of the words in order), one row for each row of docs.
 
     Null, empty and blank texts have fingerprint 0.
     """
@@ -52,10 +52,10 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [simhash(t.as_py(), words) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[k] for f in fps], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int64())))], ["doc_id", "fp", "shingles", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[k] for f in fps], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.binary())))], ["doc_id", "fp", "shingles", "digest"])
 
     ids = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int, digest bigint")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int, digest binary")
 
 
 def _finer(fixed: list[list[int]], budget: int, whole: int) -> list[list[int]]:
