@@ -259,11 +259,11 @@ def _reconcile(spark, sf_dir):
     return outcomes.reconcile(fixtures.requests(spark, sf_dir), _outcomes(spark, sf_dir).filter("rule <> 'too_large'"), "user_id")
 
 
-@_query("e3_attach_audio", "SELECT event_id AS request_id, CASE WHEN page_id IS NOT NULL THEN strlen(html) END AS payload_bytes, CASE WHEN event_id % 2 = 0 THEN md5(html) END AS body FROM events LEFT JOIN pages ON page_id = event_id")
+@_query("e3_attach_audio", "SELECT event_id AS request_id, CASE WHEN page_id IS NOT NULL THEN strlen(html) END AS payload_bytes, CASE WHEN event_type <> 'error' THEN md5(html) END AS body FROM events LEFT JOIN pages ON page_id = event_id")
 def _attach_audio(spark, sf_dir):
     files = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), F.octet_length("html").cast("bigint").alias("length"), F.encode("html", "UTF-8").alias("content"))
-    asked = table(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), F.col("event_id").cast("string").alias("path"))
-    found = attach_audio(asked, files, asked.filter("request_id % 2 = 0"))
+    asked = table(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), F.col("event_id").cast("string").alias("path"), "event_type")
+    found = attach_audio(asked, files, asked.filter("event_type <> 'error'"))
     return found.select("request_id", "payload_bytes", F.md5("content").alias("body"))
 
 
