@@ -110,7 +110,7 @@ def trie_links(fps: np.ndarray, groups: np.ndarray, bits: list[int], budget: int
     return order[np.concatenate(left)], order[np.concatenate(right)]
 
 
-def _forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _labels(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The least position of each position's component."""
     label = np.arange(n)
     while True:
@@ -123,11 +123,32 @@ def _forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             return label
 
 
+def spanning_forest(n: int, x: np.ndarray, y: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links, fewer than n, that connect what all links connect, the closest first: every component takes its closest link out, until none leads out."""
+    order = np.argsort(distance, kind="stable")
+    x, y = x[order], y[order]
+    label, taken = np.arange(n), []
+    while True:
+        out = label[x] != label[y]
+        x, y = x[out], y[out]
+        if not len(x):
+            break
+        best = np.full(n, len(x))
+        np.minimum.at(best, label[x], np.arange(len(x)))
+        np.minimum.at(best, label[y], np.arange(len(x)))
+        pick = np.unique(best[best < len(x)])
+        taken.append((x[pick], y[pick]))
+        label = _labels(n, label[x[pick]], label[y[pick]])[label]
+    if not taken:
+        return x, y
+    return tuple(np.concatenate(side) for side in zip(*taken, strict=True))
+
+
 def near_links(distinct: DataFrame, budget: int = 2, whole: int = 1, max_group: int = 4096) -> DataFrame:
     """a, b: links among distinct fingerprints (column fp) that connect all that differ in at most `budget` bits.
 
-    Of the links inside one trie only a spanning forest is returned, so rows stay below the number
-    of tries times the fingerprints, and components are those of all links.
+    Of the links inside one trie only a spanning forest of the closest is returned, so rows stay
+    below the number of tries times the fingerprints, and components are those of all links.
     """
     choices = math.comb(budget + whole, whole)
     rest = distinct.select(F.lit(0).alias("trie"), F.col("fp"))
@@ -172,12 +193,12 @@ def _joined_tries(rows: DataFrame, masks: list[list[int]], budget: int) -> DataF
             while start < len(order):  # whole groups, some 100,000 fingerprints at a time
                 end = int(ends[min(np.searchsorted(ends, start + 100_000), len(ends) - 1)])
                 part = order[start:end]
-                x, y = trie_links(fps[part], group[start:end], bits, budget)
-                root = _forest(len(part), x, y)
-                moved = root != np.arange(len(part))
-                if moved.any():
-                    signed = fps[part].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(signed[moved]), pa.array(signed[root[moved]])], ["a", "b"])
+                own_fps = fps[part]
+                x, y = trie_links(own_fps, group[start:end], bits, budget)
+                x, y = spanning_forest(len(part), x, y, np.bitwise_count(own_fps[x] ^ own_fps[y]))
+                if len(x):
+                    signed = own_fps.view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(signed[x]), pa.array(signed[y])], ["a", "b"])
                 start = end
 
     n = max(count_partitions(rows.sparkSession), 1)
