@@ -18,18 +18,27 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import LOWER, UPPER, count_partitions, let, materialize, read_table, small_batches, split_words
+from sonorum.llm.common import count_partitions, materialize, read_table, small_batches
 from sonorum.llm.components import connected_components
 
 SEED = 42
 
 
+def _folded(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def _digest(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words)) if words else b""
+
+
 def simhash(text: str | None, words: int) -> tuple[int, int, bytes]:
     """The fingerprint as a signed 64-bit integer, the number of shingles, and a hash of the words in order."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    found = _folded(text)
     if not found:
         return 0, 0, b""
     shingles = map(b" ".join, zip(*(found[k:] for k in range(words)), strict=False)) if len(found) >= words else [b" ".join(found)]
@@ -40,7 +49,7 @@ def simhash(text: str | None, words: int) -> tuple[int, int, bytes]:
         part = hashes[k : k + 8192].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > n, bitorder="little")
-    return int(bits.view(np.int64)[0]), n, xxhash.xxh3_128_digest(b" ".join(found))
+    return int(bits.view(np.int64)[0]), n, _digest(found)
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,15 +241,104 @@ def near_duplicates(
     return marked.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
-def shingle_hashes(text: Column, words: int) -> Column:
-    """Distinct hashes of a text's word shingles, A-Z lower-cased; a shorter text is one shingle of all its words, a blank one none."""
-    own = split_words(F.translate(text, UPPER, LOWER))
+def shingle_set(words: list[bytes], size: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of `size` words; fewer words are one shingle, none have none."""
+    if not words:
+        return np.zeros(0, np.int64)
+    shingles = map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, max(1, len(words) - size + 1)).view(np.int64))
+
+
+def shingle_sets(docs: DataFrame, size: int, similarity: float | None = None, common: Broadcast | None = None) -> DataFrame:
+    """doc_id, digest, n, hashes: n distinct shingles of each text, and all of them or its prefix.
+
+    The shingles have one order, the `common` ones last, and a prefix is so long that two sets of the
+    similarity share a shingle of both prefixes: if not, the rest of one would be too few.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, sizes, kept = [], [], []
+            for text in batch.column(1):
+                found = _folded(text.as_py())
+                own = shingle_set(found, size)
+                digests.append(_digest(found))
+                sizes.append(len(own))
+                if similarity is not None:
+                    often = np.isin(own, common.value)
+                    own = np.r_[own[~often], own[often]][: len(own) - at_least(similarity, len(own)) + 1]
+                kept.append(own)
+            ends = pa.array(np.cumsum([0, *map(len, kept)]), pa.int32())
+            hashes = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *kept])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), hashes], ["doc_id", "digest", "n", "hashes"])
+
+    ids = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, digest binary, n int, hashes array<bigint>")
+
 
-    def hashes(w: Column) -> Column:
-        many = F.transform(F.sequence(F.lit(1), F.size(w) - (words - 1)), lambda k: F.xxhash64(F.slice(w, k, F.lit(words))))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(w) < words, F.array(F.xxhash64(w))).otherwise(F.array_distinct(many))
+def at_least(similarity: float, n: int) -> int:
+    """The least whole number that is `similarity` of n."""
+    return math.ceil(similarity * n - 1e-9)
 
-    return let(own, hashes)
+
+def common_shingles(docs: DataFrame, size: int, share: int = 16, least: int = 8, most: int = 250_000) -> np.ndarray:
+    """Sorted hashes of shingles that many documents hold, by a sample. They only order the shingles: no result depends on them."""
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+    counts = shingle_sets(sample, size).select(F.explode("hashes").alias("h")).groupBy("h").count().filter(F.col("count") >= least)
+    return np.sort(np.array([r["h"] for r in counts.orderBy(F.desc("count"), "h").limit(most).collect()], np.int64))
+
+
+def prefix_pairs(sets: DataFrame, similarity: float) -> DataFrame:
+    """x, y (x < y): pairs of nodes of different roots that may have the similarity, every one that has it.
+
+    sets: node, root, n, hashes (prefixes). Sets of n and m shingles that share c of both prefixes share at
+    most c and what is left of one set. Pairs are counted inside tasks before they are summed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        table = pa.Table.from_batches(got)
+        token, node, root, n = (table.column(k).to_numpy() for k in ("token", "node", "root", "n"))
+        order = np.lexsort((root, token))
+        token, root = token[order], root[order]
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        ends = np.r_[starts[1:], len(token)]
+        live = np.repeat(root[starts] != root[ends - 1], ends - starts)  # a shingle of one root alone links nothing new
+        token, root, node, n = token[live], root[live], node[order][live], n[order][live]
+        names, at = np.unique(node, return_inverse=True)
+        sizes = np.zeros(len(names), np.int64)
+        sizes[at] = n
+        keys, held = [], 0
+
+        def counted() -> pa.RecordBatch:
+            key, count = np.unique(np.concatenate(keys), return_counts=True)
+            x, y = key // len(names), key % len(names)
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in (names[x], names[y], sizes[x], sizes[y], count)], ["x", "y", "nx", "ny", "c"])
+
+        first, step = np.arange(len(token)), 0
+        while len(first):
+            step += 1
+            first = first[first + step < len(token)]
+            first = first[token[first] == token[first + step]]
+            x, y = first, first + step
+            own = (root[x] != root[y]) & (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9)
+            x, y = at[x[own]], at[y[own]]
+            for k in range(0, len(x), 2_000_000):
+                keys.append(np.minimum(x, y)[k : k + 2_000_000] * len(names) + np.maximum(x, y)[k : k + 2_000_000])
+                held += len(keys[-1])
+                if held >= 4_000_000:
+                    yield counted()
+                    keys, held = [], 0
+        if held:
+            yield counted()
+
+    n = max(count_partitions(sets.sparkSession), 1)
+    tokens = sets.select("node", "root", "n", F.explode("hashes").alias("token")).repartition(n, "token")
+    pairs = tokens.mapInArrow(run, "x bigint, y bigint, nx bigint, ny bigint, c bigint").groupBy("x", "y", "nx", "ny").agg(F.sum("c").alias("c"))
+    rest = F.ceil(similarity * F.greatest("nx", "ny") - 1e-9) - 1
+    return pairs.filter(F.col("c") + rest >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9).select("x", "y")
 
 
 def similar_documents(
@@ -253,33 +351,50 @@ def similar_documents(
     min_shingles: int = 0,
     max_group: int = 4096,
 ) -> DataFrame:
-    """doc_id, component_id of near copies: fingerprints propose links, the shingle sets of both texts decide.
+    """doc_id, component_id, digest, least: components of all pairs of texts whose sets of `words`-word shingles have the Jaccard similarity.
 
-    Proposed are each document with the least of its fingerprint, and the least documents of
-    linked fingerprints; a link counts where the Jaccard similarity of the `words`-word shingle sets
-    is at least `similarity`. Texts with the same words in the same order need no comparison. Only
-    the texts of documents in a proposed link are read again. Rows without doc_id have no part.
+    Links of near fingerprints come first: confirmed by the sets, they join most of what belongs
+    together. Shared prefixes of the sets then propose every other pair between two such groups, so
+    `budget`, `whole`, `min_shingles` and `max_group` decide about time and no result. Texts with the
+    same words in the same order are one node. `least` is true for the one text that stands for its
+    component, of the least doc_id. Rows without doc_id have no part.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.filter(F.col("doc_id").isNotNull())
     marked = materialize(fingerprints(docs, finger_words), "fingerprints")
     # the documents of one text are one node, so a text of very many copies is one node too
-    exact = materialize(marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min_by("fp", "doc_id").alias("fp"), F.max("shingles").alias("shingles")), "texts")
-    nodes = exact.groupBy("fp").agg(F.min("first_id").alias("fp_id"), F.max("shingles").alias("shingles"))
+    exact = marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min_by("fp", "doc_id").alias("fp"), F.max("shingles").alias("shingles"))
+    exact = materialize(exact.withColumn("node", F.monotonically_increasing_id()), "texts")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        named = exact.join(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "node").select("node", "digest", F.col("first_id").alias("doc_id"))
+        read = shingle_sets(docs.join(named.select("doc_id").distinct(), "doc_id", "left_semi"), words)
+        sets = named.join(read, ["doc_id", "digest"]).select("node", F.col("hashes").alias("s")).dropDuplicates(["node"])
+        common = F.size(F.array_intersect("sx", "sy"))
+        jaccard = common / (F.size("sx") + F.size("sy") - common)
+        x, y = sets.select(F.col("node").alias("x"), F.col("s").alias("sx")), sets.select(F.col("node").alias("y"), F.col("s").alias("sy"))
+        return pairs.join(x, "x").join(y, "y").filter(jaccard >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    nodes = exact.groupBy("fp").agg(F.min("node").alias("fp_node"), F.max("shingles").alias("shingles"))
     links = near_links(nodes.filter(F.col("shingles") >= min_shingles).select("fp"), budget, whole, max_group)
-    left, right = nodes.select(F.col("fp").alias("a"), F.col("fp_id").alias("x")), nodes.select(F.col("fp").alias("b"), F.col("fp_id").alias("y"))
+    left, right = nodes.select(F.col("fp").alias("a"), F.col("fp_node").alias("x")), nodes.select(F.col("fp").alias("b"), F.col("fp_node").alias("y"))
     across = links.distinct().join(left, "a").join(right, "b").select("x", "y")
-    within = exact.join(nodes.select("fp", "fp_id"), "fp").filter("first_id <> fp_id").select(F.col("fp_id").alias("x"), F.col("first_id").alias("y"))
+    within = exact.join(nodes.select("fp", "fp_node"), "fp").filter("node <> fp_node").select(F.col("fp_node").alias("x"), F.col("node").alias("y"))
     proposed = materialize(across.unionByName(within).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "proposed")
-    named = proposed.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    sets = docs.join(named, "doc_id", "left_semi").select("doc_id", shingle_hashes(F.col("text"), words).alias("s"))
-    x, y = sets.select(F.col("doc_id").alias("x"), F.col("s").alias("sx")), sets.select(F.col("doc_id").alias("y"), F.col("s").alias("sy"))
-    common = F.size(F.array_intersect("sx", "sy"))
-    jaccard = common / (F.size("sx") + F.size("sy") - common)
-    true_links = proposed.join(x, "x").join(y, "y").filter(jaccard >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    roots = connected_components(true_links).withColumnRenamed("node", "first_id")
-    placed = exact.join(roots, "first_id", "left").select("digest", F.coalesce("root", "first_id").alias("component_id"))
-    return marked.join(placed, "digest").select("doc_id", "component_id")
+    near = materialize(confirmed(proposed), "near")
+    roots = connected_components(near)
+
+    common = spark.sparkContext.broadcast(common_shingles(docs, words))
+    grouped = exact.join(roots, "node", "left").select("digest", F.col("first_id").alias("doc_id"), "node", F.coalesce("root", "node").alias("root"))
+    sets = shingle_sets(docs, words, similarity, common).join(grouped, ["digest", "doc_id"]).dropDuplicates(["node"])
+    pairs = materialize(prefix_pairs(sets, similarity), "pairs")
+    roots = connected_components(confirmed(pairs).unionByName(near))
+
+    placed = exact.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), F.struct("first_id", "digest").alias("name"))
+    least = placed.groupBy("root").agg(F.min("name").alias("least"))
+    named = placed.join(least, "root").select("digest", F.col("least.first_id").alias("component_id"), (F.col("name") == F.col("least")).alias("least"))
+    return marked.join(named, "digest").select("doc_id", "component_id", "digest", (F.col("least") & (F.col("doc_id") == F.col("component_id"))).alias("least"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -412,6 +412,44 @@ def test_similar_documents(spark):
     assert simhash.similar_documents(awkward(spark, []), 7, 2).count() == 0
 
 
+def shingles_of(text, size=5):
+    words = text.lower().split()
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)} or {tuple(words)}
+
+
+def similar_pairs(rows):
+    """(lesser id, greater id) -> Jaccard similarity of at least 0.8, by all pairs that share a shingle."""
+    sets = {r[0]: shingles_of(r[1]) for r in rows}
+    holders = defaultdict(list)
+    for i, own in sets.items():
+        for g in own:
+            holders[g].append(i)
+    pairs = {(a, b) for ids in holders.values() for a in ids for b in ids if a < b}
+    found = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in pairs}
+    return {p: j for p, j in found.items() if j >= 0.8}
+
+
+def same_as_all_pairs(spark, rows, **options):
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(awkward(spark, rows), 7, 2, min_shingles=9, **options).collect()}
+    return got == by_union({r[0] for r in rows}, list(similar_pairs(rows)))
+
+
+def edited(rng, words, spread, more, vocabulary):
+    out = list(words)
+    for k in rng.sample(range(len(out)), spread):
+        out[k] = rng.choice(vocabulary)
+    return out + rng.choices(vocabulary, k=more)
+
+
+def test_every_true_link_of_a_large_group_joins(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    base = rng.choices(vocabulary, k=150)
+    rows = [(k, " ".join(edited(rng, base, rng.randint(2, 4), 0, vocabulary)), "en", "a", 1) for k in range(120)]
+    assert len(similar_pairs(rows)) > 100
+    assert same_as_all_pairs(spark, rows)
+
+
 def plain_removal(rows, window=50):
     seen, out = {}, Counter()
     for i, data in sorted((r for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
