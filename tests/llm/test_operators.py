@@ -450,6 +450,25 @@ def test_every_true_link_of_a_large_group_joins(spark):
     assert same_as_all_pairs(spark, rows)
 
 
+def planted_pairs(rng, each):
+    """Pairs of texts of 30 to 500 words, with words appended or changed here and there, from under 0.8 to nearly 1."""
+    vocabulary = [f"w{k}" for k in range(5000)]
+    rows = []
+    for size in (30, 60, 150, 500):
+        for share in (0.01, 0.02, 0.04, 0.08, 0.12, 0.16, 0.2, 0.24):
+            for k in range(2 * each):
+                words = rng.choices(vocabulary, k=size)
+                spread, more = (0, max(1, int(share * size))) if k % 2 else (max(1, int(share * size / 9)), 0)
+                rows += [(len(rows) + j, " ".join(w), "en", "a", 1) for j, w in enumerate((words, edited(rng, words, spread, more, vocabulary)))]
+    return rows
+
+
+def test_near_copies_of_every_similarity_are_found(spark):
+    rows = planted_pairs(random.Random(12), 5)
+    assert len(similar_pairs(rows)) > 200
+    assert same_as_all_pairs(spark, rows)
+
+
 def plain_removal(rows, window=50):
     seen, out = {}, Counter()
     for i, data in sorted((r for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
