@@ -469,6 +469,17 @@ def test_near_copies_of_every_similarity_are_found(spark):
     assert same_as_all_pairs(spark, rows)
 
 
+def test_short_near_copies(spark):
+    rows = []
+    for size in range(1, 13):
+        words = [f"s{size}x{k}" for k in range(size)]
+        for text in (words, [*words, "more"], [*words, "other"], ["first", *words[1:]]):
+            rows.append((len(rows), " ".join(text), "en", "a", 1))
+    linked = {(len(rows[a][1].split()), len(rows[b][1].split())) for a, b in similar_pairs(rows)}
+    assert {(8, 9), (9, 10), (10, 11)} <= linked and (7, 8) not in linked
+    assert same_as_all_pairs(spark, rows)
+
+
 def plain_removal(rows, window=50):
     seen, out = {}, Counter()
     for i, data in sorted((r for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
