@@ -5,8 +5,8 @@ query. Scores are BM25 with each item's own full score as the unit, so that one
 items of any length. Items stand in blocks, and each term has its greatest score in each block. Where the
 block maxima of a passage's terms cannot add up to the threshold, the block is skipped; this test is
 made for all passages of some texts at once. In the other blocks WAND walks the postings. What is
-found counts where the item's question and its answer are
-both there, as word n-grams of the passage.
+found counts where the item's question and its answer are both there, as word n-grams of the passage,
+or, for items that are one text, where enough of the whole is there wherever words are changed or cut.
 
 The index is built from item blocks of a bounded number of words; further blocks are further passes
 over the documents, so that nothing unbounded is sent to the executors.
@@ -31,6 +31,10 @@ FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else
 #: Items in a block of the index.
 BLOCK = 4
 K1, B = 1.2, 0.75
+#: Parts of fewer words are compared by word pairs too.
+SHORT = 15
+#: Of an item that is one text, this share of the whole is a leak.
+WHOLE_SHARE = 0.6
 #: Words of texts that are matched together, and passages times blocks of one table of bounds.
 WORDS_AT_ONCE, BOUNDS_AT_ONCE = 200_000, 4_000_000
 
@@ -43,6 +47,12 @@ def _grams(words: list[bytes], n: int) -> set:
     return set(zip(*(words[k:] for k in range(n)), strict=False)) if 0 < n <= len(words) else set()
 
 
+def _part(words: list[bytes], gram: int) -> list[set]:
+    """The n-grams of a part of an item; of a short part the word pairs too, as one changed word spoils fewer of them."""
+    own = [_grams(words, min(gram, len(words)))]
+    return [*own, _grams(words, 2)] if 2 < gram <= len(words) < SHORT else own
+
+
 class ItemIndex:
     """Inverted index of items (item_id, question words, answer words), in blocks of BLOCK items.
 
@@ -55,7 +65,7 @@ class ItemIndex:
         self.longest = max((len(q) + len(a) for _, q, a in items), default=1)
         self.n_blocks = len(items) // BLOCK + 1
         self.terms: dict[bytes, int] = {}
-        self.grams: list[tuple[set, set]] = []
+        self.grams: list[tuple[list[set], list[set], list[set]]] = []
         self.lists: dict[int, list[tuple[int, float]]] = {}
         for place, (_, question, answer) in enumerate(items):
             counts = Counter(question + answer)
@@ -68,7 +78,7 @@ class ItemIndex:
             for term, score in scores.items():
                 k = self.terms.setdefault(term, len(self.terms))
                 self.lists.setdefault(k * self.n_blocks + place // BLOCK, []).append((place, score / full))
-            self.grams.append((_grams(question, min(gram, len(question))), _grams(answer, min(gram, len(answer)))))
+            self.grams.append((_part(question, gram), _part(answer, gram), _part(question + answer, gram)))
         keys = np.array(sorted(self.lists), np.int64)
         self.block_max = {key: max(score for _, score in own) for key, own in self.lists.items()}
         self.blocks = keys % self.n_blocks
@@ -117,11 +127,11 @@ class ItemIndex:
         return found
 
 
-def _overlap(wanted: set, words: list[bytes]) -> float:
-    return len(wanted & _grams(words, len(next(iter(wanted))))) / len(wanted) if wanted else 1.0
+def _overlap(part: list[set], words: list[bytes]) -> float:
+    return max(len(wanted & _grams(words, len(next(iter(wanted))))) / len(wanted) if wanted else 1.0 for wanted in part)
 
 
-def find_leaks(texts: list[list[bytes]], index: ItemIndex, threshold: float, question_share: float, answer_share: float) -> list[tuple[int, int, float, float, float, int]]:
+def find_leaks(texts: list[list[bytes]], index: ItemIndex, threshold: float, question_share: float, answer_share: float, whole_share: float | None = None) -> list[tuple[int, int, float, float, float, int]]:
     """(place of the text, item_id, score, question overlap, answer overlap, first word of the passage), the best passage of each item.
 
     A passage is two halves, each as long as the longest item, and starts at every half, so any
@@ -148,9 +158,10 @@ def find_leaks(texts: list[list[bytes]], index: ItemIndex, threshold: float, que
             passage, start = None, (h - int(first[text])) * half
             for place, score in index.search(sorted(set(terms[at:until].tolist())), block, threshold):
                 passage = texts[text][start : start + 2 * half] if passage is None else passage
-                q, a = (_overlap(part, passage) for part in index.grams[place])
+                q, a, whole = (_overlap(part, passage) for part in index.grams[place])
                 known = best.get((text, place))
-                if q >= question_share and a >= answer_share and (known is None or (q + a, score) > (known[1] + known[2], known[0])):
+                held = (q >= question_share and a >= answer_share) or (whole_share is not None and whole >= whole_share)
+                if held and (known is None or (q + a, score) > (known[1] + known[2], known[0])):
                     best[text, place] = (score, q, a, start)
     return [(text, index.ids[place], *rest) for (text, place), rest in sorted(best.items())]
 
@@ -188,12 +199,14 @@ def with_leaks(
     answer_share: float = 0.6,
     gram: int = 3,
     max_words: int = 500_000,
+    whole_share: float | None = None,
 ) -> DataFrame:
     """docs with one more column: array<struct> of the items in each text, empty where there is none.
 
     docs: text and any other columns, kept as they are. items: item_id (an integer), question,
     answer; a null part is empty and an empty part overlaps fully; items without words match
     nothing. Null, empty and wordless texts hold no item; repeated items each match.
+    With `whole_share`, for items that are one text, so much of the whole item counts as well as both parts.
     Items go through the driver in blocks of at most `max_words` words, and each block is searched
     by a column of its own.
     """
@@ -209,11 +222,11 @@ def with_leaks(
         df_own = df.join(spark.createDataFrame([(w.decode(),) for w in own], "term string"), "term") if n_words > max_words else df
         shared = spark.sparkContext.broadcast((block, {r["term"].encode(): r["count"] for r in df_own.collect()}, n_items, n_words / n_items, gram))
 
-        columns.append(F.arrow_udf(_searcher(shared, arrow, threshold, question_share, answer_share), LEAKS)(F.col("text")))
+        columns.append(F.arrow_udf(_searcher(shared, arrow, threshold, question_share, answer_share, whole_share), LEAKS)(F.col("text")))
     return docs.withColumn(name, F.concat(*columns))
 
 
-def _searcher(shared: Broadcast, arrow: pa.DataType, threshold: float, question_share: float, answer_share: float):
+def _searcher(shared: Broadcast, arrow: pa.DataType, threshold: float, question_share: float, answer_share: float, whole_share: float | None):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = ItemIndex(*shared.value)
         for batch in batches:
@@ -223,7 +236,7 @@ def _searcher(shared: Broadcast, arrow: pa.DataType, threshold: float, question_
                 texts.append(fold_words(text.as_py()))
                 size += len(texts[-1])
                 if size >= WORDS_AT_ONCE or k + 1 == len(batch):
-                    for at, item, score, q, a, begin in find_leaks(texts, index, threshold, question_share, answer_share):
+                    for at, item, score, q, a, begin in find_leaks(texts, index, threshold, question_share, answer_share, whole_share):
                         found[start + at].append({"item_id": item, "score": score, "question_overlap": q, "answer_overlap": a, "passage_start": begin})
                     texts, start, size = [], k + 1, 0
             yield pa.array(found, arrow)
@@ -252,4 +265,4 @@ def split_items(benchmark: DataFrame, answer_words: int = 8) -> DataFrame:
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(read_table(spark, sf_dir, "documents"), split_items(read_table(spark, sf_dir, "benchmark")))
+    return contaminated(read_table(spark, sf_dir, "documents"), split_items(read_table(spark, sf_dir, "benchmark")), whole_share=WHOLE_SHARE)

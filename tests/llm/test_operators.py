@@ -60,6 +60,29 @@ def test_leaks_against_all_pairs(spark):
     assert want and found == want
 
 
+def test_leaks_with_a_changed_word_or_a_cut_end(spark):
+    rng = random.Random(21)
+    vocabulary = [f"v{k}" for k in range(800)]
+    filler = [f"f{k}" for k in range(300)]
+    items, rows, want = [], [], set()
+    for size in (14, 15, 20, 27, 37, 46, 59):
+        words = rng.choices(vocabulary, k=size)
+        items.append((size, " ".join(words)))
+        changed = [[*words[:k], "changed", *words[k + 1 :]] for k in range(size)]
+        for text in (words, words[:-4], words[4:], *changed):
+            want.add((len(rows), size))
+            rows.append((len(rows), " ".join([*rng.choices(filler, k=60), *text, *rng.choices(filler, k=60)]), "en", "a", 1))
+        rows.append((len(rows), " ".join([*rng.choices(filler, k=60), *words[: size // 2], *rng.choices(filler, k=60)]), "en", "a", 1))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = awkward(spark, rows)
+    for max_words in (500_000, 40):
+        found = decontaminate.contaminated(docs, decontaminate.split_items(benchmark), max_words=max_words, whole_share=decontaminate.WHOLE_SHARE).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == want
+    pairs = spark.createDataFrame([(1, " ".join(vocabulary[:20]), " ".join(vocabulary[20:28]))], "item_id bigint, question string, answer string")
+    rows = [(k, " ".join([*vocabulary[: 20 + k], "changed", *vocabulary[21 + k : 28]]), "en", "a", 1) for k in range(8)] + [(8, " ".join(vocabulary[:20]), "en", "a", 1)]
+    assert {r["doc_id"] for r in decontaminate.contaminated(awkward(spark, rows), pairs).collect()} == set(range(8))
+
+
 def test_wand_equals_full_scores():
     rng = random.Random(5)
     vocabulary = [b"w%d" % k for k in range(60)]
