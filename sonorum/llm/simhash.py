@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonorum.llm.common import count_partitions, materialize, read_table, small_batches
@@ -52,6 +52,16 @@ def simhash(text: str | None, words: int) -> tuple[int, int, bytes]:
     return int(bits.view(np.int64)[0]), n, _digest(found)
 
 
+def word_digest(text: Column) -> Column:
+    """The digest that fingerprints() gives."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([_digest(_folded(t.as_py())) for t in batch], pa.binary())
+
+    return F.arrow_udf(run, "binary")(text)
+
+
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp bigint, shingles int, digest binary (128 bits of the words in order), one row for each row of docs.
 

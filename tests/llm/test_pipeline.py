@@ -40,5 +40,14 @@ def test_stages_on_awkward_rows(spark):
     assert kept == {1, 3, 5, None}
 
 
+def test_texts_with_one_doc_id_all_stay_unless_copied(spark):
+    rng = random.Random(4)
+    one, two, three = (" ".join(rng.choices([f"w{k}" for k in range(900)], k=100)) for _ in range(3))
+    rows = [(1, one, "en", "b", 1), (1, two, "en", "a", 1), (2, three, "en", "a", 1), (3, one, "en", "a", 1), (3, three + " more", "en", "a", 1), (1, one.upper(), "en", "c", 1), (1, one, "en", "a", 1)]
+    for order in (rows, rows[::-1]):
+        kept = [tuple(r) for r in pipeline.near_dedup(spark, spark.createDataFrame(order, DOCS), SF).collect()]
+        assert sorted(kept) == sorted([(1, one.upper(), "en", "c", 1), (1, two, "en", "a", 1), (2, three, "en", "a", 1)])
+
+
 def test_run(spark):
     assert pipeline.run(spark, SF).count() > 100
