@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +21,41 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that materialize() wrote in this process and that were not dropped since.
+_WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    The table stays until drop_tables() is called, at the end of `only_the_last_stays`, or for good.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Whole texts go to Python at most `rows` at a time, so that a batch of long ones fits a worker."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, rows)
+def drop_tables(spark: SparkSession, since: int = 0, keep_last: int = 0) -> None:
+    """Deletes what materialize() wrote, from the table number `since` on, but for the last `keep_last`.
+
+    Only for tables that no DataFrame still in use reads.
+    """
+    sc = spark.sparkContext
+    gone = _WRITTEN[since : len(_WRITTEN) - keep_last]
+    del _WRITTEN[since : len(_WRITTEN) - keep_last]
+    for path in gone:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def only_the_last_stays(spark: SparkSession) -> Iterator[None]:
+    """Of the tables written inside, all but the last one are deleted at the end."""
+    since = len(_WRITTEN)
+    yield
+    drop_tables(spark, since, keep_last=1)
 
 
 def trimmed(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import materialize
+from sonorum.llm.common import materialize, only_the_last_stays
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -29,11 +29,13 @@ def connected_components(links: DataFrame) -> DataFrame:
     aggregated before they meet the links again, so a node of any degree is spread over tasks.
     """
     links = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = materialize(links, "links")
     state = None
-    while True:
-        links = materialize(_small_stars(_stars(links)), "links")
-        now = links.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state or now[0] == 0:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        state = now
+    with only_the_last_stays(links.sparkSession):
+        links = materialize(links, "links")
+        while True:
+            links = materialize(_small_stars(_stars(links)), "links")
+            now = links.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if now == state or now[0] == 0:
+                break
+            state = now
+    return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -15,51 +15,64 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import is_held_out, read_table, small_batches
+from sonorum.llm.common import is_held_out, read_table
 
-SYMBOLS = 64
 UNKNOWN = "und"
 _SCALE = 1 << 20
+#: Trigrams that are bound and bundled at once.
+AT_ONCE = 4096
 
 
 class Profiler:
-    """Texts to hypervectors. Letters a-z have a symbol each; other letters share the rest by hash; 0 is no letter."""
+    """Texts to hypervectors. Every letter, of whatever script, has its own seeded vector; 0 is no letter."""
 
     def __init__(self, dims: int, seed: int):
-        rng = np.random.default_rng(seed)
-        letters = rng.choice(np.array([-1, 1], np.int8), (SYMBOLS, dims))
-        self.places = [np.roll(letters, 2 - k, axis=1) for k in range(3)]
-        self.dims = dims
-        self.symbols = np.array([self._symbol(chr(c)) for c in range(0x3000)], np.uint8)
-
-    @staticmethod
-    def _symbol(char: str) -> int:
-        if "a" <= char <= "z":
-            return ord(char) - 96
-        return 27 + ord(char) * 2654435761 % 4294967296 % (SYMBOLS - 27) if char.isalpha() else 0
-
-    def trigrams(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Trigrams around each letter as numbers, with counts; what stands beside a word is symbol 0."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        codes = self.symbols[np.minimum(points, 0x2FFF)]
-        for high in np.unique(points[points >= 0x3000]):
-            codes[points == high] = self._symbol(chr(high))
-        codes = np.r_[np.uint8(0), codes, np.uint8(0)].astype(np.int32)
-        found = (codes[:-2] << 12 | codes[1:-1] << 6 | codes[2:])[codes[1:-1] > 0]
+        self.dims, self.seed, self.size = dims, seed, 0
+        self.numbers = np.full(0x110000, -1, np.int32)  # code point -> symbol; -1: not met yet
+        self.places = [np.zeros((256, dims), np.int8) for _ in range(3)]
+        self._add([0])
+
+    def _add(self, points: list[int]) -> None:
+        """Numbers and vectors of code points that are met for the first time; a vector depends on seed and code point alone."""
+        letters = [c for c in points if c == 0 or chr(c).isalpha()]
+        self.numbers[points] = 0
+        self.numbers[letters] = self.size + np.arange(len(letters))
+        if self.size + len(letters) > len(self.places[0]):
+            more = np.zeros((self.size + len(letters), self.dims), np.int8)
+            self.places = [np.concatenate([own, more]) for own in self.places]
+        for letter in letters:
+            vector = np.random.default_rng((self.seed, letter)).integers(0, 2, self.dims, np.int8) * 2 - 1
+            for k, own in enumerate(self.places):
+                own[self.size] = np.roll(vector, 2 - k)
+            self.size += 1
+
+    def trigrams(self, text: str | bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Trigrams around each letter as numbers (21 bits a letter), with counts; what stands beside a word is symbol 0.
+
+        Bytes that are no UTF-8 are no letters.
+        """
+        said = text.decode("utf-8", "replace") if isinstance(text, bytes) else text
+        points = np.frombuffer(said.lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        codes = self.numbers[points]
+        if len(codes) and codes.min() < 0:
+            self._add(np.unique(points[codes < 0]).tolist())
+            codes = self.numbers[points]
+        codes = np.concatenate(([0], codes, [0])).astype(np.int64)
+        found = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[codes[1:-1] > 0]
         found.sort()
         starts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, np.int64)
         return found[starts], np.diff(np.r_[starts, len(found)])
 
-    def vector(self, text: str | None) -> np.ndarray | None:
+    def vector(self, text: str | bytes | None) -> np.ndarray | None:
         """Unit vector of the text, or None where it has no letter."""
         grams, counts = self.trigrams(text or "")
         if not len(grams):
             return None
-        total = np.zeros(self.dims, np.float32)
-        for k in range(0, len(grams), 4096):
-            g = grams[k : k + 4096]
-            bound = self.places[0][g >> 12] * self.places[1][g >> 6 & 63] * self.places[2][g & 63]
-            total += counts[k : k + 4096].astype(np.float32) @ bound.astype(np.float32)
+        total, low = np.zeros(self.dims, np.float32), (1 << 21) - 1
+        for k in range(0, len(grams), AT_ONCE):
+            g = grams[k : k + AT_ONCE]
+            bound = self.places[0][g >> 42] * self.places[1][g >> 21 & low] * self.places[2][g & low]
+            total += counts[k : k + AT_ONCE].astype(np.float32) @ bound.astype(np.float32)
         norm = float(np.sqrt(total @ total))
         return total / norm if norm else total
 
@@ -89,7 +102,7 @@ def train_profiles(labelled: DataFrame, dims: int = 1024, seed: int = 11, max_do
         for lang, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dims), pa.array(range(dims), pa.int32()), pa.array(total)], ["lang", "dim", "total"])
 
-    parts = chosen.select(F.col(lang_col).cast("string").alias("lang"), "text").mapInArrow(bundle, "lang string, dim int, total bigint")
+    parts = chosen.select(F.col(lang_col).cast("string").alias("lang"), F.col("text").cast("binary").alias("text")).mapInArrow(bundle, "lang string, dim int, total bigint")
     sums: dict[str, np.ndarray] = {}
     for row in parts.groupBy("lang", "dim").agg(F.sum("total").alias("total")).collect():
         sums.setdefault(row["lang"], np.zeros(dims))[row["dim"]] = row["total"]
@@ -121,16 +134,16 @@ def predict_language(text: Column, profiles: dict[str, list[float]], dims: int =
                     scores.append(min(1.0, max(0.0, float(cosines[best]))))
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    return run(text)
+    return run(text.cast("binary"))
 
 
 def identify_languages(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep`, held_out, lang_pred, score for each row of docs (doc_id, text, lang).
 
-    Profiles come from the rows that are not held out and have a lang. Null, empty and letterless
-    texts are `und` with score 0; repeated rows stay repeated; other columns are not read.
+    Profiles come from the rows that are not held out and have a lang. Whole texts are read, however
+    long. Null, empty and letterless texts are `und` with score 0; of languages as near the first by
+    name is taken; repeated rows stay repeated and count in a profile each; an empty table gives no rows; other columns are not read.
     """
-    small_batches(docs.sparkSession)
     profiles = train_profiles(docs.filter(~is_held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     found = docs.withColumn("__found", predict_language(F.col("text"), profiles))
     return found.select(*keep, is_held_out(F.col("doc_id")).alias("held_out"), "__found.lang_pred", "__found.score")

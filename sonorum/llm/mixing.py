@@ -1,12 +1,15 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
-A source's target is met with whole documents. Documents are counted by exact length; each length
-gives its even share of the budget, and what is left of it is fitted by a bounded knapsack over
-the lengths still to be had. The documents of a length are then taken in the order of a seeded hash.
+A source's target is met with whole documents, each taken not at all, once or twice. Documents are
+counted by exact length. Each length first gives its even share of the target; a bounded knapsack
+over the lengths then takes some more and gives some back until the words are as near the target as
+they can be. The documents of a length are taken in the order of a seeded hash.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,58 +17,118 @@ from pyspark.sql import functions as F
 
 from sonorum.llm.common import materialize, read_table, split_words
 
-#: Words that the exact fit works on at most; greater rests first take whole long documents.
-FIT_WORDS = 1 << 16
+#: How far from the even share the fit looks, in words, one step after the other while the target is not met exactly.
+REACHES = (1 << 14, 1 << 18, 1 << 22)
+#: Different sums that the search over all selections may hold.
+ALL_SUMS = 1 << 22
+
+
+def _moves(lengths: list[int], least: list[int], most: list[int]) -> list[tuple[int, int]]:
+    """(length, times) so that every number of times from `least` (at most 0) to `most` is a sum of some: powers of two and a rest."""
+    found = []
+    for n, down, up in sorted(zip(lengths, least, most, strict=True)):
+        for left, sign in ((up, 1), (-down, -1)):
+            step = 1
+            while left > 0:
+                k = min(step, left)
+                found.append((n, sign * k))
+                left, step = left - k, step * 2
+    return found
 
 
-def fit_lengths(lengths: list[int], counts: list[int], budget: int) -> dict[int, int]:
-    """Documents to take of each length so that their words reach `budget`, or the greatest sum below it.
+def fit_moves(lengths: list[int], least: list[int], most: list[int], wanted: float, reach: int) -> dict[int, int]:
+    """length -> how many more (or, below 0, fewer) documents to take so that their words come nearest `wanted`.
 
-    Bounded knapsack over sums 0..budget, reachable sums as the bits of one integer; each sum
-    remembers the item that first reached it. `budget` is at most about FIT_WORDS.
+    Bounded knapsack over the sums from -reach to reach that single moves lead to, reachable sums as the
+    bits of one integer, which begin at -reach. A sum remembers the move that first reached it. It
+    ends early where no other sum could be nearer. Of two sums as near the lesser is taken.
     """
-    mask, reach = (1 << budget + 1) - 1, 1
-    items: list[tuple[int, int]] = []
-    first = np.full(budget + 1, -1, np.int32)
-    for length, count in sorted(zip(lengths, counts, strict=True)):
-        step = 1
-        while count > 0 and 0 < length <= budget and not reach >> budget & 1:
-            k = min(step, count)
-            new = reach << length * k & mask & ~reach
-            if new:
-                bits = np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8)
-                first[np.flatnonzero(np.unpackbits(bits, bitorder="little")[: budget + 1])] = len(items)
-                items.append((length, k))
-                reach |= new
-            count, step = count - k, step * 2
+    goal = math.ceil(wanted - 0.5) + reach
+    mask, reached, first = (1 << 2 * reach + 1) - 1, 1 << reach, np.full(2 * reach + 1, -1, np.int32)
+    moves = _moves(lengths, least, most)
+    for number, (length, times) in enumerate(moves):
+        if reached >> goal & 1:
+            break
+        by = length * times
+        new = (reached << by if by > 0 else reached >> -by) & mask & ~reached if abs(by) <= 2 * reach else 0
+        if new:
+            bits = np.unpackbits(np.frombuffer(new.to_bytes(reach // 4 + 1, "little"), np.uint8), bitorder="little")
+            first[np.flatnonzero(bits[: 2 * reach + 1])] = number
+            reached |= new
+    below = (reached & (1 << goal + 1) - 1).bit_length() - 1
+    above = reached >> goal
+    above = goal + (above & -above).bit_length() - 1 if above else -1
+    at = below if above < 0 or (below >= 0 and goal_distance(below, reach, wanted) <= goal_distance(above, reach, wanted)) else above
+    taken: dict[int, int] = {}
+    while at != reach:
+        length, times = moves[first[at]]
+        taken[length] = taken.get(length, 0) + times
+        at -= length * times
+    return taken
+
+
+def goal_distance(at: int, reach: int, wanted: float) -> float:
+    return abs(at - reach - wanted)
+
+
+def fit_all(lengths: list[int], most: list[int], wanted: float, limit: int) -> dict[int, int] | None:
+    """The selection nearest `wanted` of all there are, or None where they have more than `limit` different sums."""
+    sums, parents = np.zeros(1, np.int64), []
+    moves = _moves(lengths, [0] * len(lengths), most)
+    for length, times in moves:
+        more = sums + length * times
+        new = more[~np.isin(more, sums, assume_unique=True)]
+        parents.append(new)
+        sums = np.union1d(sums, new)
+        if len(sums) > limit:
+            return None
+    at = int(sums[np.lexsort((sums, np.abs(sums - wanted)))[0]])
     taken: dict[int, int] = {}
-    at = reach.bit_length() - 1
-    while at > 0:
-        length, k = items[first[at]]
-        taken[length] = taken.get(length, 0) + k
-        at -= length * k
+    for (length, times), new in zip(reversed(moves), reversed(parents), strict=True):
+        k = np.searchsorted(new, at)
+        if k < len(new) and new[k] == at:
+            taken[length] = taken.get(length, 0) + times
+            at -= length * times
     return taken
 
 
-def plan_source(lengths: list[int], counts: list[int], target: float) -> tuple[int, dict[int, int]]:
-    """(copies of every document, length -> documents that get one copy more)."""
-    total = sum(n * c for n, c in zip(lengths, counts, strict=True))
-    if not total:
-        return 0, {}
-    wanted = round(target)
-    base = min(2, wanted // total)
-    rest = 0 if base == 2 else wanted - base * total
-    extra = {n: c * rest // total for n, c in zip(lengths, counts, strict=True)}
-    spare = {n: c - extra[n] for n, c in zip(lengths, counts, strict=True)}
-    rest -= sum(n * k for n, k in extra.items())
-    for n in sorted((n for n in spare if n), reverse=True):
-        if rest <= FIT_WORDS:
+def plan_source(lengths: list[int], counts: list[int], target: float, reaches: tuple[int, ...] = REACHES, all_sums: int = ALL_SUMS) -> dict[int, int]:
+    """length -> documents to take of it, from 0 to twice its count, with words as near the target as can be.
+
+    Lengths are divided by their greatest common divisor. Where moves of up to a reach around the even
+    share meet the target, that is the result. If none does, all selections are searched where they
+    are few enough (few documents, however long); else the nearest sum of the last reach stands.
+    The number of moves from one selection to a best one is below twice the greatest length, and
+    their words add up to less than its square: with lengths below the root of the last reach (2,048
+    words, after division) the result is a best one in any case, and with longer ones wherever the target is met.
+    """
+    known = sorted((n, c) for n, c in zip(lengths, counts, strict=True) if n > 0 and c > 0)
+    if not known:
+        return {}
+    unit = math.gcd(*[n for n, _ in known])
+    sizes, most = [n // unit for n, _ in known], [2 * c for _, c in known]
+    wanted = min(target / unit, float(sum(n * m for n, m in zip(sizes, most, strict=True))))
+    share = wanted / sum(n * m for n, m in zip(sizes, most, strict=True))
+    even = [min(m, int(m * share)) for m in most]
+    rest = wanted - sum(n * k for n, k in zip(sizes, even, strict=True))
+    # the rounding of the even shares is made up for by the longest first, so that the fit is over a small rest
+    for i in reversed(range(len(sizes))):
+        k = min(most[i] - even[i], int(rest // sizes[i]))
+        even[i], rest = even[i] + k, rest - k * sizes[i]
+    best = None
+    whole = sum(n * m for n, m in zip(sizes, most, strict=True))
+    for reach in reaches:
+        if rest + 1 > reach:
+            continue
+        moved = fit_moves(sizes, [-k for k in even], [m - k for m, k in zip(most, even, strict=True)], rest, reach)
+        best = {n: k + moved.get(n, 0) for n, k in zip(sizes, even, strict=True)}
+        if reach >= whole or abs(sum(n * k for n, k in best.items()) - wanted) <= 0.5:
             break
-        k = min(spare[n], rest // n, -(-(rest - FIT_WORDS) // n))
-        extra[n], spare[n], rest = extra[n] + k, spare[n] - k, rest - n * k
-    for n, k in fit_lengths(list(spare), list(spare.values()), min(rest, 2 * FIT_WORDS)).items():
-        extra[n] += k
-    return base, extra
+    else:
+        found = fit_all(sizes, most, wanted, all_sums)
+        if found is not None or best is None:
+            best = found if found is not None else dict(zip(sizes, even, strict=True))
+    return {n * unit: k for n, k in best.items() if k}
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -104,10 +167,12 @@ def mix_sources(
     """doc_id, source, size, source_size, target, copies, taken; one row for each row of docs.
 
     docs: doc_id, source and (for the default size, its words) text; other columns are not read.
-    size defaults to the number of words, 0 for null texts. A null source is a source of its own,
-    last in order. copies is 0, 1 or 2 and taken = copies * size. Repeated rows each count as a
-    document; an empty table gives an empty mix. Equal input and seed give equal results. A length
-    that very many documents of a source share is ranked in `slots` parts by hash.
+    size defaults to the number of words of the whole text, however long, 0 for null texts. A null
+    source is a source of its own, last in order. copies is 0, 1 or 2 and taken = copies * size; texts without words
+    are taken 0 times. Repeated rows each count as a document; an empty table gives an empty mix.
+    Equal input and seed give equal results: ties of the seeded hash go to the lesser doc_id, null
+    first, and rows alike in both are alike. A length that very many documents of a source share is
+    ranked in `slots` parts by hash. A source's plan is made from its different lengths alone.
     """
     size = F.size(split_words(F.col("text"))).cast("long") if size is None else size
     key = [F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")]
@@ -117,10 +182,11 @@ def mix_sources(
     targets = source_targets(sources, weights, share, most)
 
     def plan(rows: pd.DataFrame) -> pd.DataFrame:
-        base, extra = plan_source(rows["size"].tolist(), rows["n"].tolist(), float(rows["target"].iloc[0]))
+        taken = plan_source(rows["size"].tolist(), rows["n"].tolist(), float(rows["target"].iloc[0]))
+        times = np.array([taken.get(int(n), 0) for n in rows["size"]], np.int64)
         return pd.DataFrame({
             "no_source": rows["no_source"], "source": rows["source"], "size": rows["size"],
-            "base": base, "quota": [extra.get(int(n), 0) for n in rows["size"]],
+            "base": times // rows["n"], "quota": times % rows["n"],
             "source_size": rows["source_size"], "target": rows["target"],
         })
 

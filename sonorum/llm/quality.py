@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import is_held_out, read_table, small_batches
+from sonorum.llm.common import is_held_out, read_table
 from sonorum.llm.linear import dual_coordinate_descent, log_count_ratios, sigmoid
 
 #: Hashed trigrams, then runs of two, three, ... equal words.
@@ -24,9 +24,9 @@ SIZE = TRIGRAMS + RUNS
 SLOPE = 3.0
 
 
-def ngram_ids(text: str | None) -> np.ndarray:
+def ngram_ids(text: str | bytes | None) -> np.ndarray:
     """Distinct feature numbers of the text, ascending."""
-    data = (text or "").encode("utf-8", "surrogatepass")
+    data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
     b = np.frombuffer(data, np.uint8).astype(np.uint32)
     grams = ((b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2654435761) >> np.uint32(14)).astype(np.int32) if len(b) > 2 else np.zeros(0, np.int32)
     grams.sort()
@@ -68,7 +68,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
         idx = np.r_[used, SIZE].astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(idx), pa.array(np.r_[ratios[used], 0.0]), pa.array(weights[idx])], ["idx", "ratio", "weight"])
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
     ids = docs.schema["doc_id"].dataType.simpleString()
     model = texts.mapInArrow(extract, f"doc_id {ids}, ids binary, label int").repartition(1).mapInArrow(fit, "idx int, ratio double, weight double").toArrow()
     idx = model.column("idx").to_numpy()
@@ -95,16 +95,17 @@ def quality_score(text: Column, model: tuple[np.ndarray, np.ndarray, float], spa
                 scores.append(float(sigmoid(SLOPE * ((float(product[x].sum()) / norm if norm else 0.0) + shift))))
             yield pa.array(scores, pa.float64())
 
-    return run(text)
+    return run(text.cast("binary"))
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep`, held_out, score, predicted for each row of docs (doc_id, text).
 
-    Only labels of rows that are not held out are learned from. Null and empty texts are scored too;
-    repeated rows stay repeated; of other columns none is read; an empty table gives no rows.
+    Only labels of rows that are not held out are learned from. Whole texts are scored, however long,
+    as bytes, whether they are UTF-8 or not. Null and empty texts get the score of the bias; equal
+    texts have equal scores, and a score of 0.5 is predicted 1. Repeated rows stay repeated, and a doc_id with
+    two labels is learned with both; of other columns none is read; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     model = train_quality(docs, labels.filter(~is_held_out(F.col("doc_id"))))
     scored = docs.select(*keep, is_held_out(F.col("doc_id")).alias("held_out"), quality_score(F.col("text"), model, spark).alias("score"))

@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op5_url_filter": url_rules.op5_url_filter,
         "op6_rule_ledger": rule_ledger.op6_rule_ledger,
+        "op6_rule_ablation": rule_ledger.op6_ablation,
         "op7_chat_format": chat_format.op7_chat_format,
         "op8_simhash": simhash.op8_simhash,
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
@@ -29,6 +30,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_url_filter": url_rules.ORACLE_SQL,
         "op6_rule_ledger": rule_ledger.ORACLE_SQL,
+        "op6_rule_ablation": rule_ledger.ABLATION_SQL,
         "op7_chat_format": chat_format.ORACLE_SQL,
         "op9_suffix_dedup": suffix_dedup.ORACLE_SQL,
     }

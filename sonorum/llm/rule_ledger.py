@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from sonorum.llm.common import SPACE_CHARS, let, read_table, split_words
 
+#: Words of a window; a power of two.
 WINDOW = 8
+SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 #: Name of each rule and when a document fails it, over the measurements. The place is the bit.
 RULES: tuple[tuple[str, str], ...] = (
@@ -43,7 +45,7 @@ def _covered(starts: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words in windows of eight words that are found twice or more in the row's own words.
 
-    Windows are compared by a 64-bit hash of their words' hashes; both ends stay in the row.
+    Windows are compared by a 64-bit hash of their words in order, made of the hashes of their halves.
     """
     hashed = F.transform(words, lambda w: F.xxhash64(w))
 
@@ -56,16 +58,21 @@ def repeated_words(words: Column) -> Column:
 
         return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(let(ranked, lambda s: let(starts(s), _covered)))
 
-    def windows(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda k: F.xxhash64(F.slice(h, k, F.lit(WINDOW))))
+    def doubled(step: int):
+        """Hashes of runs of 2 * step words from those of step words."""
+        return lambda h: F.zip_with(F.slice(h, F.lit(1), F.size(h) - step), F.slice(h, F.lit(1 + step), F.size(h) - step), lambda a, b: F.xxhash64(a, b))
 
-    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(let(let(hashed, windows), count)).cast("long")
+    windows, step = hashed, 1
+    while step < WINDOW:
+        windows, step = let(windows, doubled(step)), step * 2
+    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(let(windows, count)).cast("long")
 
 
 def ledger(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """One row for each row of docs: `keep`, the measurements, failed int (bit k: rule k failed).
 
-    Null, empty and blank texts have no words, no lines and no symbols, and fail few_words. Other
+    Null, empty and blank texts have no words, no lines and no symbols, and fail few_words. Whole texts
+    are measured, however long; equal lines or windows all count but the first line. Other
     columns of docs are not read; repeated rows stay repeated; an empty table gives an empty ledger.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -75,8 +82,8 @@ def ledger(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str =
     measured = base.select(
         *keep,
         F.size("__words").cast("long").alias("n_words"),
-        F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
-        (F.length("__text") - F.length(F.regexp_replace("__text", "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
+        F.length(F.translate("__text", SPACE_CHARS, "")).cast("long").alias("word_chars"),
+        (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("__lines").cast("long").alias("n_lines"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("__words")).alias("n_repeat_words"),
@@ -115,7 +122,12 @@ def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "failed")
 
 
-ORACLE_SQL = r"""
+def op6_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the second policy removes, and removes alone."""
+    return ablation(ledger(read_table(spark, sf_dir, "documents")), "v2")
+
+
+_LEDGER_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
@@ -137,5 +149,13 @@ f AS (
     + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END)
     + (CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 14 * n_words) THEN 16 ELSE 0 END) AS failed
   FROM m)
+"""
+ORACLE_SQL = _LEDGER_SQL + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, CAST(failed AS INTEGER) AS failed FROM f
 """
+ABLATION_SQL = _LEDGER_SQL + """
+SELECT rule, count(*) FILTER (WHERE failed & bit <> 0) AS n_failed, count(*) FILTER (WHERE failed = bit) AS n_only,
+  CAST(coalesce(bit_or(CASE WHEN failed & bit <> 0 THEN failed END), 0) AS INTEGER) AS seen_with
+FROM f, (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('word_length', 16)) AS r(rule, bit)
+GROUP BY rule
+"""

@@ -18,29 +18,28 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import count_partitions, materialize, read_table, small_batches
+from sonorum.llm.common import count_partitions, materialize, read_table
 from sonorum.llm.components import connected_components
 
 SEED = 42
 
 
-def _folded(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _folded(text: str | bytes | None) -> list[bytes]:
+    data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    return data.lower().split()
 
 
 def _digest(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words)) if words else b""
 
 
-def simhash(text: str | None, words: int) -> tuple[int, int, bytes]:
-    """The fingerprint as a signed 64-bit integer, the number of shingles, and a hash of the words in order."""
-    found = _folded(text)
+def fingerprint(found: list[bytes], words: int) -> tuple[int, int]:
+    """The fingerprint of a text's words as a signed 64-bit integer, and the number of shingles."""
     if not found:
-        return 0, 0, b""
+        return 0, 0
     shingles = map(b" ".join, zip(*(found[k:] for k in range(words)), strict=False)) if len(found) >= words else [b" ".join(found)]
     n = max(1, len(found) - words + 1)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
@@ -49,7 +48,7 @@ def simhash(text: str | None, words: int) -> tuple[int, int, bytes]:
         part = hashes[k : k + 8192].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > n, bitorder="little")
-    return int(bits.view(np.int64)[0]), n, _digest(found)
+    return int(bits.view(np.int64)[0]), n
 
 
 def word_digest(text: Column) -> Column:
@@ -59,22 +58,23 @@ def word_digest(text: Column) -> Column:
         for batch in batches:
             yield pa.array([_digest(_folded(t.as_py())) for t in batch], pa.binary())
 
-    return F.arrow_udf(run, "binary")(text)
+    return F.arrow_udf(run, "binary")(text.cast("binary"))
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp bigint, shingles int, digest binary (128 bits of the words in order), one row for each row of docs.
+    """doc_id, fp bigint, shingles int, one row for each row of docs.
 
-    Null, empty and blank texts have fingerprint 0.
+    Null, empty and blank texts have fingerprint 0. Whole texts count, however long; bytes that are no
+    UTF-8 are bytes of a word.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [simhash(t.as_py(), words) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[k] for f in fps], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.binary())))], ["doc_id", "fp", "shingles", "digest"])
+            fps = [fingerprint(_folded(t.as_py()), words) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f for f, _ in fps], pa.int64()), pa.array([n for _, n in fps], pa.int32())], ["doc_id", "fp", "shingles"])
 
     ids = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int, digest binary")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int")
 
 
 def _finer(fixed: list[list[int]], budget: int, whole: int) -> list[list[int]]:
@@ -241,7 +241,6 @@ def near_duplicates(
     without words have fingerprint 0 and link like any other. A null doc_id is reported with its
     component but never names one; repeated rows stay repeated; extra columns of docs are not read.
     """
-    small_batches(docs.sparkSession)
     marked = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.max("shingles").alias("shingles"))
     roots = connected_components(near_links(nodes.filter(F.col("shingles") >= min_shingles).select("fp"), budget, whole, max_group)).withColumnRenamed("node", "fp")
@@ -259,96 +258,158 @@ def shingle_set(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, max(1, len(words) - size + 1)).view(np.int64))
 
 
-def shingle_sets(docs: DataFrame, size: int, similarity: float | None = None, common: Broadcast | None = None) -> DataFrame:
-    """doc_id, digest, n, hashes: n distinct shingles of each text, and all of them or its prefix.
+def at_least(similarity: float, n: int) -> int:
+    """The least whole number that is `similarity` of n."""
+    return math.ceil(similarity * n - 1e-9)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
+
 
-    The shingles have one order, the `common` ones last, and a prefix is so long that two sets of the
-    similarity share a shingle of both prefixes: if not, the rest of one would be too few.
+def signatures(docs: DataFrame, words: int, finger_words: int, similarity: float) -> DataFrame:
+    """doc_id, fp, shingles, digest (128 bits of the words in order), prefix: one row for each row of docs.
+
+    prefix has so many of the least hashes of the text's set of `words`-word shingles that two sets of
+    the similarity share one of both prefixes: if not, the rest of one would be too few.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, sizes, kept = [], [], []
+            fps, digests, prefixes = [], [], []
             for text in batch.column(1):
                 found = _folded(text.as_py())
-                own = shingle_set(found, size)
+                own = shingle_set(found, words)
+                fps.append(fingerprint(found, finger_words))
                 digests.append(_digest(found))
-                sizes.append(len(own))
-                if similarity is not None:
-                    often = np.isin(own, common.value)
-                    own = np.r_[own[~often], own[often]][: len(own) - at_least(similarity, len(own)) + 1]
-                kept.append(own)
-            ends = pa.array(np.cumsum([0, *map(len, kept)]), pa.int32())
-            hashes = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *kept])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), hashes], ["doc_id", "digest", "n", "hashes"])
+                prefixes.append(own[: len(own) - at_least(similarity, len(own)) + 1])
+            columns = [batch.column(0), pa.array([f for f, _ in fps], pa.int64()), pa.array([n for _, n in fps], pa.int32()), pa.array(digests, pa.binary()), _lists(prefixes)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "shingles", "digest", "prefix"])
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, digest binary, n int, hashes array<bigint>")
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int, digest binary, prefix array<bigint>")
 
 
-def at_least(similarity: float, n: int) -> int:
-    """The least whole number that is `similarity` of n."""
-    return math.ceil(similarity * n - 1e-9)
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, digest, hashes: the whole shingle set of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_folded(text.as_py()) for text in batch.column(1)]
+            columns = [batch.column(0), pa.array(map(_digest, found), pa.binary()), _lists([shingle_set(f, size) for f in found])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "hashes"])
+
+    ids = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {ids}, digest binary, hashes array<bigint>")
 
 
-def common_shingles(docs: DataFrame, size: int, share: int = 16, least: int = 8, most: int = 250_000) -> np.ndarray:
-    """Sorted hashes of shingles that many documents hold, by a sample. They only order the shingles: no result depends on them."""
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
-    counts = shingle_sets(sample, size).select(F.explode("hashes").alias("h")).groupBy("h").count().filter(F.col("count") >= least)
-    return np.sort(np.array([r["h"] for r in counts.orderBy(F.desc("count"), "h").limit(most).collect()], np.int64))
+def _least_share(similarity: float, n: Column) -> Column:
+    return F.ceil(similarity * n - 1e-9).cast("int")
 
 
-def prefix_pairs(sets: DataFrame, similarity: float) -> DataFrame:
-    """x, y (x < y): pairs of nodes of different roots that may have the similarity, every one that has it.
+def token_sets(sets: DataFrame, similarity: float) -> DataFrame:
+    """node, n, lone, token: the tokens by which sets (node, hashes) find each other, and how many shingles of a node no other set has.
 
-    sets: node, root, n, hashes (prefixes). Sets of n and m shingles that share c of both prefixes share at
-    most c and what is left of one set. Pairs are counted inside tasks before they are summed.
+    Two sets of the similarity share a token. A node's shingles are in order of how many sets hold
+    them, and its tokens are the first of them, without the `lone` ones, which no pair shares. A set
+    with more lone shingles than the similarity allows has no partner and no token. That is found out first among
+    all sets and then again among the rest.
     """
+    for _ in range(2):
+        sets = sets.withColumn("n", F.size("hashes"))
+        held = sets.select("node", F.explode("hashes").alias("token"))
+        alone = held.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).filter("c = 1").groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("lone"))
+        left = sets.join(alone, "node", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+        sets = materialize(left.filter(F.col("n") - F.col("lone") >= F.greatest(F.lit(1), _least_share(similarity, F.col("n")))).select("node", "hashes"), "sets")
+    held = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
+    counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    ordered = held.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("tokens"))
+    ordered = ordered.withColumn("lone", F.col("n") - F.size("tokens"))
+    wanted = F.col("n") - _least_share(similarity, F.col("n")) + 1 - F.col("lone")
+    return ordered.filter(wanted > 0).select("node", "n", "lone", F.explode(F.slice("tokens", F.lit(1), wanted)).alias("t")).select("node", "n", "lone", "t.token")
+
+
+def _can_be(similarity: float, n: str, lone: str, m: str, alone: str) -> Column:
+    """Whether sets of n and m shingles, of which so many are in no other set, can have the similarity."""
+    shared = F.least(F.col(n) - F.col(lone), F.col(m) - F.col(alone))
+    return (shared >= similarity * (shared + F.col(lone) + F.col(alone)) - 1e-9) & (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9)
+
+
+def likely_pairs(tokens: DataFrame, similarity: float, order: Column) -> DataFrame:
+    """x, y: for every node the likeliest partner of another root, by tokens (node, root, n, lone, token).
+
+    A token names its first node in `order`, to nodes of that root its first of another. Only least
+    values of tokens are aggregated, so no token is too frequent, and a node gets one partner, the one that most
+    of its tokens name.
+    """
+    name = F.struct(order.alias("o"), F.col("lone").alias("lone"), F.col("node").alias("node"), F.col("root").alias("root"), F.col("n").alias("n"))
+    named = tokens.withColumn("own", name)
+    first = named.groupBy("token").agg(F.min("own").alias("first"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token", "first")
+    met = named.join(first, "token")
+    second = met.filter(F.col("root") != F.col("first.root")).groupBy("token").agg(F.min("own").alias("second"))
+    met = met.join(second, "token").withColumn("other", F.when(F.col("root") != F.col("first.root"), F.col("first")).otherwise(F.col("second")))
+    pairs = met.select(F.col("node").alias("x"), "n", "lone", F.col("other.node").alias("y"), F.col("other.n").alias("m"), F.col("other.lone").alias("alone")).filter(_can_be(similarity, "n", "lone", "m", "alone"))
+    named = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"), F.min("alone").alias("alone"))
+    best = named.groupBy("x").agg(F.max_by("y", F.struct(F.col("c"), -F.col("alone"), -F.col("y"))).alias("y"))
+    return best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) -> DataFrame:
+    """x, y: all pairs of nodes of different roots that share a token and can have the similarity.
+
+    Within a token the nodes of the root that most of its nodes have meet only those of other roots. They are dealt to
+    shards of about `most`, and the others are copied to each.
+    """
+    sizes = tokens.groupBy("token", "root").count()
+    of_token = sizes.groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+    shards = F.ceil(F.col("all") / most).cast("int")
+    met = tokens.join(of_token.select("token", "major", shards.alias("shards")), "token").withColumn("minor", F.col("root") != F.col("major"))
+    own = F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")
+    met = met.withColumn("shard", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("shards") - 1)).otherwise(F.array(own))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
+        group, parts = None, []
+        for batch in batches:
+            keys = list(zip(batch.column("token").to_pylist(), batch.column("shard").to_pylist(), strict=True))
+            cuts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)] if keys else [0]
+            for begin, end in zip(cuts, cuts[1:], strict=False):
+                if keys[begin] != group:
+                    yield from meet(parts)
+                    group, parts = keys[begin], []
+                parts.append([batch.column(c).to_numpy(zero_copy_only=False)[begin:end] for c in ("node", "root", "n", "lone", "minor")])
+        yield from meet(parts)
+
+    def meet(parts: list) -> Iterator[pa.RecordBatch]:
+        if not parts:
             return
-        table = pa.Table.from_batches(got)
-        token, node, root, n = (table.column(k).to_numpy() for k in ("token", "node", "root", "n"))
-        order = np.lexsort((root, token))
-        token, root = token[order], root[order]
-        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        ends = np.r_[starts[1:], len(token)]
-        live = np.repeat(root[starts] != root[ends - 1], ends - starts)  # a shingle of one root alone links nothing new
-        token, root, node, n = token[live], root[live], node[order][live], n[order][live]
-        names, at = np.unique(node, return_inverse=True)
-        sizes = np.zeros(len(names), np.int64)
-        sizes[at] = n
-        keys, held = [], 0
-
-        def counted() -> pa.RecordBatch:
-            key, count = np.unique(np.concatenate(keys), return_counts=True)
-            x, y = key // len(names), key % len(names)
-            return pa.RecordBatch.from_arrays([pa.array(v) for v in (names[x], names[y], sizes[x], sizes[y], count)], ["x", "y", "nx", "ny", "c"])
-
-        first, step = np.arange(len(token)), 0
-        while len(first):
-            step += 1
-            first = first[first + step < len(token)]
-            first = first[token[first] == token[first + step]]
-            x, y = first, first + step
-            own = (root[x] != root[y]) & (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9)
-            x, y = at[x[own]], at[y[own]]
-            for k in range(0, len(x), 2_000_000):
-                keys.append(np.minimum(x, y)[k : k + 2_000_000] * len(names) + np.maximum(x, y)[k : k + 2_000_000])
-                held += len(keys[-1])
-                if held >= 4_000_000:
-                    yield counted()
-                    keys, held = [], 0
+        node, root, n, lone, minor = (np.concatenate(c) for c in zip(*parts, strict=True))
+        found, held = [], 0
+        for k in np.flatnonzero(minor):
+            shared = np.minimum(n - lone, n[k] - lone[k])
+            close = (shared >= similarity * (shared + lone + lone[k]) - 1e-9) & (np.minimum(n, n[k]) >= similarity * np.maximum(n, n[k]) - 1e-9)
+            other = node[close & (root != root[k]) & (~minor | (node < node[k]))]
+            found.append(np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])]))
+            held += len(other)
+            if held >= 100_000:
+                x, y = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+                found, held = [], 0
         if held:
-            yield counted()
+            x, y = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
-    n = max(count_partitions(sets.sparkSession), 1)
-    tokens = sets.select("node", "root", "n", F.explode("hashes").alias("token")).repartition(n, "token")
-    pairs = tokens.mapInArrow(run, "x bigint, y bigint, nx bigint, ny bigint, c bigint").groupBy("x", "y", "nx", "ny").agg(F.sum("c").alias("c"))
-    rest = F.ceil(similarity * F.greatest("nx", "ny") - 1e-9) - 1
-    return pairs.filter(F.col("c") + rest >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9).select("x", "y")
+    dealt = met.select("token", "shard", "node", "root", "n", "lone", "minor").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "shard").sortWithinPartitions("token", "shard")
+    return dealt.mapInArrow(run, "x bigint, y bigint").distinct()
+
+
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """node, root after more links (a, b): only the roots that they join are put together."""
+    own_a, own_b = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    between = links.join(own_a, "a", "left").join(own_b, "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    joined = connected_components(between)
+    moved = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    return moved.unionByName(joined)
 
 
 def similar_documents(
@@ -360,46 +421,55 @@ def similar_documents(
     finger_words: int = 3,
     min_shingles: int = 0,
     max_group: int = 4096,
+    rounds: int = 2,
 ) -> DataFrame:
     """doc_id, component_id, digest, least: components of all pairs of texts whose sets of `words`-word shingles have the Jaccard similarity.
 
-    Links of near fingerprints come first: confirmed by the sets, they join most of what belongs
-    together. Shared prefixes of the sets then propose every other pair between two such groups, so
-    `budget`, `whole`, `min_shingles` and `max_group` decide about time and no result. Texts with the
-    same words in the same order are one node. `least` is true for the one text that stands for its
-    component, of the least doc_id. Rows without doc_id have no part.
+    Texts with the same words in the same order are one node. Links of near fingerprints come first:
+    confirmed by the sets, they join most of what belongs together. Texts that share shingles then find what
+    the fingerprints missed: in each round every node meets its likeliest partner of another group,
+    and last of all every pair of different groups that can have the similarity is confirmed. So
+    `budget`, `whole`, `min_shingles`, `max_group` and `rounds` decide about time and no result. Pairs within a
+    group are never listed. `least` is true for the one text that stands for its component, of the
+    least doc_id. Rows without doc_id have no part.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     docs = docs.filter(F.col("doc_id").isNotNull())
-    marked = materialize(fingerprints(docs, finger_words), "fingerprints")
+    marked = materialize(signatures(docs, words, finger_words, similarity), "signatures")
     # the documents of one text are one node, so a text of very many copies is one node too
-    exact = marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min_by("fp", "doc_id").alias("fp"), F.max("shingles").alias("shingles"))
+    exact = marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("fp").alias("fp"), F.min("shingles").alias("shingles"))
     exact = materialize(exact.withColumn("node", F.monotonically_increasing_id()), "texts")
 
+    # texts that share a shingle of both prefixes with another text; all others have no partner
+    short = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("bigint")
+    prefixes = marked.select(short.alias("short"), F.explode("prefix").alias("token"))
+    shared = prefixes.groupBy("token").agg(F.min("short").alias("low"), F.max("short").alias("high")).filter("low <> high").select("token")
+    living = prefixes.join(shared, "token", "left_semi").select("short").distinct()
+    named = materialize(exact.withColumn("short", short).join(living, "short", "left_semi").select("node", "digest", F.col("first_id").alias("doc_id")), "living")
+    read = shingle_sets(docs.join(named.select("doc_id").distinct(), "doc_id", "left_semi"), words)
+    sets = materialize(read.join(named, ["doc_id", "digest"]).groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        named = exact.join(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "node").select("node", "digest", F.col("first_id").alias("doc_id"))
-        read = shingle_sets(docs.join(named.select("doc_id").distinct(), "doc_id", "left_semi"), words)
-        sets = named.join(read, ["doc_id", "digest"]).select("node", F.col("hashes").alias("s")).dropDuplicates(["node"])
         common = F.size(F.array_intersect("sx", "sy"))
         jaccard = common / (F.size("sx") + F.size("sy") - common)
-        x, y = sets.select(F.col("node").alias("x"), F.col("s").alias("sx")), sets.select(F.col("node").alias("y"), F.col("s").alias("sy"))
-        return pairs.join(x, "x").join(y, "y").filter(jaccard >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        x, y = sets.select(F.col("node").alias("x"), F.col("hashes").alias("sx")), sets.select(F.col("node").alias("y"), F.col("hashes").alias("sy"))
+        return pairs.join(x, "x").join(y, "y").filter(jaccard >= similarity - 1e-12).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
     nodes = exact.groupBy("fp").agg(F.min("node").alias("fp_node"), F.max("shingles").alias("shingles"))
     links = near_links(nodes.filter(F.col("shingles") >= min_shingles).select("fp"), budget, whole, max_group)
     left, right = nodes.select(F.col("fp").alias("a"), F.col("fp_node").alias("x")), nodes.select(F.col("fp").alias("b"), F.col("fp_node").alias("y"))
     across = links.distinct().join(left, "a").join(right, "b").select("x", "y")
     within = exact.join(nodes.select("fp", "fp_node"), "fp").filter("node <> fp_node").select(F.col("fp_node").alias("x"), F.col("node").alias("y"))
-    proposed = materialize(across.unionByName(within).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "proposed")
-    near = materialize(confirmed(proposed), "near")
-    roots = connected_components(near)
-
-    common = spark.sparkContext.broadcast(common_shingles(docs, words))
-    grouped = exact.join(roots, "node", "left").select("digest", F.col("first_id").alias("doc_id"), "node", F.coalesce("root", "node").alias("root"))
-    sets = shingle_sets(docs, words, similarity, common).join(grouped, ["digest", "doc_id"]).dropDuplicates(["node"])
-    pairs = materialize(prefix_pairs(sets, similarity), "pairs")
-    roots = connected_components(confirmed(pairs).unionByName(near))
+    proposed = across.unionByName(within).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    roots = connected_components(confirmed(proposed))
+
+    tokens = materialize(token_sets(sets, similarity), "tokens")
+    for turn in range(rounds + 1):
+        rooted = tokens.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        order = F.col("lone").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        pairs = materialize(likely_pairs(rooted, similarity, order) if turn < rounds else remaining_pairs(rooted, similarity), "pairs")
+        near = materialize(confirmed(pairs), "near")
+        if not near.isEmpty():
+            roots = materialize(joined_roots(roots, near), "roots")
 
     placed = exact.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), F.struct("first_id", "digest").alias("name"))
     least = placed.groupBy("root").agg(F.min("name").alias("least"))

@@ -17,11 +17,15 @@ Equal windows have equal anchors at equal offsets, and one anchor serves many ne
 A block speaks once about equal things however often it holds them, so a passage of very many
 documents costs a bucket one row for each block. An anchor in more than `hot_blocks` blocks is
 spread over buckets by the content of its windows.
+
+Messages are blocks times buckets, so both grow with the root of the input: a message keeps about
+`LEAST_MESSAGE` anchors at least, and there is one for so many bytes of input at any size.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +42,8 @@ MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6
 #: A null doc_id comes after all others.
 NO_ID = np.iinfo(np.int64).max
 CHUNK = 1 << 20
+#: Anchors that a block tells a bucket on average, at least, and bytes of text for each anchor.
+LEAST_MESSAGE, ANCHOR_BYTES = 1000, 16
 #: Columns of the result besides those kept.
 RESULTS = ("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -169,7 +175,7 @@ def _slices(sorted_buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
 
 def _texts(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
     ids = table.column("doc_id").fill_null(NO_ID).to_numpy().astype(np.int64)
-    return ids, [b"" if t is None else t for t in table.column("text").cast(pa.binary()).to_pylist()]
+    return ids, [b"" if t is None else t for t in table.column("text").to_pylist()]
 
 
 def report_anchors(table: pa.Table, shape: Shape) -> Iterator[tuple[int, bytes]]:
@@ -374,6 +380,12 @@ def _rows(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.T
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def deal_sizes(total: int, block_bytes: int, bucket_bytes: int, least_message: int = LEAST_MESSAGE) -> tuple[int, int]:
+    """(number of blocks, number of buckets): blocks and buckets are enlarged alike until a message has `least_message` anchors."""
+    grow = max(1.0, math.sqrt(total * ANCHOR_BYTES * least_message / (block_bytes * bucket_bytes)))
+    return max(1, int(total / (block_bytes * grow))), max(1, int(total / (bucket_bytes * grow)))
+
+
 def remove_repeated_windows(
     docs: DataFrame,
     window: int = 50,
@@ -386,21 +398,23 @@ def remove_repeated_windows(
 
     kept_sha256 is of the bytes that are left; text is what is left of whole characters.
 
-    Texts are UTF-8 bytes, null is empty. Every byte goes that is covered by a `window`-byte string
+    Texts are UTF-8 bytes, null is empty; other bytes count like any, and text keeps them where nothing
+    is removed. Every byte goes that is covered by a `window`-byte string
     that also starts in a document with a smaller doc_id; a null doc_id is greater than any other,
-    and rows with equal doc_id do not count against each other. Texts shorter than a window are
-    left alone. A block holds about `block_bytes` of texts and a bucket the anchors of about
-    `bucket_bytes`; both fit a task's memory whatever the input's size. Columns outside doc_id, text and `keep` are not read, and one in
-    `keep` that has the name of a result is left out. doc_id is an integer.
+    and rows with equal doc_id do not count against each other, so repeated rows lose the same bytes. Texts shorter than a window are
+    left alone; an empty table gives no rows. A block holds about `block_bytes` of texts and a bucket
+    the anchors of about `bucket_bytes`, both more by one factor, the root of the input's size over 2 GB:
+    some 15 and 30 MB at 30 GB, 280 and 570 MB at 10 TB. Columns outside doc_id, text and `keep` are not
+    read, and one in `keep` that has the name of a result is left out. doc_id is an integer.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, total // block_bytes)
+    blocks, buckets = deal_sizes(total, block_bytes, bucket_bytes)
     anchor = max(8, window * 2 // 5)
-    shape = Shape(window, anchor, min(61, max(32, int(total).bit_length() + 14)), int(max(1, total // bucket_bytes)))
+    shape = Shape(window, anchor, min(61, max(32, int(total).bit_length() + 14)), buckets)
     binary, i32 = pa.binary(), pa.int32()
-    dealt = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(blocks)).cast("int")
+    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     extra = [c for c in keep if c not in RESULTS]
-    placed = docs.select(dealt.alias("__block"), F.col("doc_id").cast("long").alias("doc_id"), "text", *extra)
+    placed = docs.select(dealt.alias("__block"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *extra)
 
     def report(table: pa.Table) -> pa.Table:
         block = table.column("__block")[0].as_py()
@@ -436,7 +450,7 @@ def remove_repeated_windows(
             "n_bytes": pa.array([len(text) + removed for _, text, removed, _ in done], pa.int64()),
             "n_removed": pa.array([removed for _, _, removed, _ in done], pa.int64()),
             "n_spans": pa.array([spans for _, _, _, spans in done], pa.int64()),
-            "text": pa.array([text.decode("utf-8", "ignore" if removed else "strict") for _, text, removed, _ in done], pa.string()),
+            "text": pa.array([text.decode("utf-8", "ignore").encode() if removed else text for _, text, removed, _ in done], pa.binary()),
             "kept_sha256": pa.array([hashlib.sha256(text).hexdigest() for text in kept], pa.string()),
         })
 
@@ -447,8 +461,9 @@ def remove_repeated_windows(
     null = F.lit(None)
     heard = told.select("block", null.cast("int").alias("bucket"), "anchors", null.cast("binary").alias("lengths"), null.cast("binary").alias("values")).unionByName(answered)
     kinds = "".join(f", `{c}` {placed.schema[c].dataType.simpleString()}" for c in extra)
-    schema = f"doc_id bigint{kinds}, n_bytes bigint, n_removed bigint, n_spans bigint, text string, kept_sha256 string"
-    return placed.groupBy("__block").cogroup(heard.groupBy("block")).applyInArrow(remove, schema)
+    schema = f"doc_id bigint{kinds}, n_bytes bigint, n_removed bigint, n_spans bigint, text binary, kept_sha256 string"
+    left = placed.groupBy("__block").cogroup(heard.groupBy("block")).applyInArrow(remove, schema)
+    return left.withColumn("text", F.col("text").cast("string"))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

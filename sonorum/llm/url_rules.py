@@ -1,9 +1,10 @@
 """URL filters as a sort-merge range join.
 
 A rule (host, path, verdict) fits its host and all subdomains where the url's path starts with
-the rule's path. A url stands once at every host level that a rule can name; its canonical key
-there is the reversed level host and then the path. A rule is the interval from its own key to
-the last key with that prefix, so the intervals of one level nest. One sorted sweep over the
+the rule's path. The canonical key of a url or rule is its reversed host and then its path. As rules
+bind a host and a path, a url stands once at each reversed parent of its host that a rule can name, and
+inside such a level a rule is the interval from its own path to the last path with that prefix, so
+the intervals of one level nest. One sorted sweep over the
 openings, closings and urls of a level keeps the stack of active rules: the running sum of
 openings and closings is the depth, and the top of the stack is the last opening at the depth
 of the row. The longest rule over all levels decides.
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import LOWER, UPPER, read_table
+from sonorum.llm.common import LOWER, UPPER, materialize, read_table
 
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Rules of the registered query: (host, path, verdict).
@@ -47,8 +48,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("pag
     pages outside `keep` and `url_col` are not read. rules: host, path, verdict; rows with a null
     are ignored, and of two equal rules ``block`` wins over ``allow`` (the greater string).
     Of fitting rules the longest host and path together wins, then the longer host.
-    A level that very many urls share is dealt to shards of about `rows_per_shard` urls, each with
-    a copy of that level's rules.
+    Urls may have any length. A level that very many urls share is dealt to shards of about
+    `rows_per_shard` urls, each with a copy of that level's rules. Equal urls are judged once; where one has more pages than
+    `rows_per_shard` its verdict is copied so often that no join task gets more of them.
     """
     urls = pages.select(*keep, url_host(F.col(url_col)).alias("__host"), url_path(F.col(url_col)).alias("__path"))
     rules = (
@@ -58,7 +60,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("pag
         .withColumn("level", _reversed(F.col("host")))
     )
     deepest = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
-    at = urls.groupBy("__host", "__path").agg(F.lit(1).alias("one")).select("__host", "__path", F.explode(_levels(F.col("__host"), deepest)).alias("level"))
+    distinct = materialize(urls.groupBy("__host", "__path").agg(F.count(F.lit(1)).alias("n")), "urls")
+    salts = -(-(distinct.agg(F.max("n")).first()[0] or 1) // rows_per_shard)
+    at = distinct.select("__host", "__path", F.explode(_levels(F.col("__host"), deepest)).alias("level"))
     named = rules.select("level").distinct()
     load = at.join(named, "level", "left_semi").groupBy("level").count().select("level", F.ceil(F.col("count") / rows_per_shard).cast("int").alias("shards"))
 
@@ -83,7 +87,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("pag
     )
     length = F.struct(F.length("top.host") + F.length("top.path"), F.length("top.host"))
     best = swept.groupBy("__host", "__path").agg(F.max_by("top", length).alias("top"))
-    return urls.join(best, ["__host", "__path"], "left").select(
+    key = ["__host", "__path"]
+    if salts > 1:
+        key = [*key, "__salt"]
+        urls = urls.withColumn("__salt", F.pmod(F.xxhash64(*keep), F.lit(salts)).cast("int"))
+        best = best.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
+    return urls.join(best, key, "left").select(
         *keep, F.col("__host").alias("host"), F.col("__path").alias("path"),
         F.concat("top.host", "top.path").alias("rule"), F.coalesce("top.verdict", F.lit(default)).alias("verdict"),
     )
