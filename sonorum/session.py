@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -24,11 +25,17 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8, **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir.
+
+    Where it is unset, a session whose executors are threads of the driver (master local) gets a
+    temporary one, as in tests; on a cluster that would be another folder on each machine, so it is an error.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
