@@ -268,27 +268,32 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
 
 
+#: Share of a set by which its prefix is longer than one shared shingle asks for.
+EXTRA = 0.1
+
+
 def signatures(docs: DataFrame, words: int, finger_words: int, similarity: float) -> DataFrame:
-    """doc_id, fp, shingles, digest (128 bits of the words in order), prefix: one row for each row of docs.
+    """doc_id, fp, shingles, digest (128 bits of the words in order), n, needed, prefix: one row for each row of docs.
 
-    prefix has so many of the least hashes of the text's set of `words`-word shingles that two sets of
-    the similarity share one of both prefixes: if not, the rest of one would be too few.
+    prefix has so many of the least hashes of the text's set of n `words`-word shingles that a set of
+    the similarity has at least `needed` of them in its own prefix: if not, the rest of one would be too few.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, digests, prefixes = [], [], []
+            rows, prefixes = [], []
             for text in batch.column(1):
                 found = _folded(text.as_py())
                 own = shingle_set(found, words)
-                fps.append(fingerprint(found, finger_words))
-                digests.append(_digest(found))
-                prefixes.append(own[: len(own) - at_least(similarity, len(own)) + 1])
-            columns = [batch.column(0), pa.array([f for f, _ in fps], pa.int64()), pa.array([n for _, n in fps], pa.int32()), pa.array(digests, pa.binary()), _lists(prefixes)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "shingles", "digest", "prefix"])
+                least = at_least(similarity, len(own))
+                prefixes.append(own[: len(own) - least + max(1, int(EXTRA * len(own)))])
+                rows.append((*fingerprint(found, finger_words), _digest(found), len(own), max(1, int(EXTRA * least))))
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, _lists(prefixes)], ["doc_id", "fp", "shingles", "digest", "n", "needed", "prefix"])
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int, digest binary, prefix array<bigint>")
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {ids}, fp bigint, shingles int, digest binary, n int, needed int, prefix array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -436,15 +441,16 @@ def similar_documents(
     docs = docs.filter(F.col("doc_id").isNotNull())
     marked = materialize(signatures(docs, words, finger_words, similarity), "signatures")
     # the documents of one text are one node, so a text of very many copies is one node too
-    exact = marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("fp").alias("fp"), F.min("shingles").alias("shingles"))
+    once = [F.min(c).alias(c) for c in ("fp", "shingles", "n", "needed")]
+    exact = marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), *once, F.min(F.size("prefix")).alias("held"))
     exact = materialize(exact.withColumn("node", F.monotonically_increasing_id()), "texts")
 
-    # texts that share a shingle of both prefixes with another text; all others have no partner
+    # texts that share enough shingles of their prefixes with other texts; the rest have no partner
     short = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("bigint")
-    prefixes = marked.select(short.alias("short"), F.explode("prefix").alias("token"))
-    shared = prefixes.groupBy("token").agg(F.min("short").alias("low"), F.max("short").alias("high")).filter("low <> high").select("token")
-    living = prefixes.join(shared, "token", "left_semi").select("short").distinct()
-    named = materialize(exact.withColumn("short", short).join(living, "short", "left_semi").select("node", "digest", F.col("first_id").alias("doc_id")), "living")
+    holders = marked.select(short.alias("short"), F.explode("prefix").alias("token")).groupBy("token").agg(F.min("short").alias("short"), F.max("short").alias("high"))
+    lone = holders.filter("short = high").groupBy("short").agg(F.count(F.lit(1)).alias("lone"))
+    living = exact.filter("n > 0").withColumn("short", short).join(lone, "short", "left").filter(F.col("held") - F.coalesce("lone", F.lit(0)) >= F.col("needed"))
+    named = materialize(living.select("node", "digest", F.col("first_id").alias("doc_id")), "living")
     read = shingle_sets(docs.join(named.select("doc_id").distinct(), "doc_id", "left_semi"), words)
     sets = materialize(read.join(named, ["doc_id", "digest"]).groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
 
