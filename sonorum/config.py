@@ -16,3 +16,14 @@ RESPONSE_FORMATS = ("json", "verbose_json", "text")
 DEFAULT_FORMAT = "json"
 DEFAULT_LANGUAGE = "en"
 DEFAULT_SUFFIX = ".wav"
+
+#: Detail texts of rejects. Clients read them.
+DETAIL_UNREADABLE = "Failed to read uploaded audio: %s"
+DETAIL_EMPTY = "Audio upload is empty"
+DETAIL_TOO_LARGE = "Audio upload exceeds the %d MB limit"
+DETAIL_TOP_K = "top_k must be >= 1"
+DETAIL_TOP_K_TEXT = "Invalid top_k value: %s"
+DETAIL_UNDECODABLE = "Unable to decode the uploaded audio."
+DETAIL_DURATION = "Audio duration must be between %s and %s seconds (received %.3f seconds)."
+DETAIL_INFERENCE = "Model inference failed: %s"
+DETAIL_NO_PREDICTIONS = "Model returned no intent predictions"

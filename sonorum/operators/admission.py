@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonorum import config
-from sonorum.functions.scalars import duration_s, resolve_top_k
+from sonorum.functions.scalars import duration_ms3, duration_s, resolve_top_k
 
 
 def read_requests(df: DataFrame) -> DataFrame:
@@ -32,29 +32,26 @@ def bad_duration(n_samples: Column) -> Column:
     return ~n_samples.between(config.MIN_SAMPLES, config.MAX_SAMPLES)
 
 
-def _size_mb() -> str:
-    return str(config.MAX_UPLOAD_BYTES // (1024 * 1024))
-
-
 def early_rules(readable: Column, payload_bytes: Column, response_format: Column, top_k: Column) -> list[tuple[Column, str, int, Column]]:
     """Rules that need no decoding: (fails, name, status, detail)."""
+    no_number = top_k.cast("string").try_cast("int").isNull()
     return [
-        (bad_format(response_format), "bad_format", 422, F.lit("response_format must be json, verbose_json or text")),
-        (~readable, "unreadable", 400, F.lit("the audio file could not be read")),
-        (payload_bytes == 0, "empty", 422, F.lit("the audio file is empty")),
-        (payload_bytes > config.MAX_UPLOAD_BYTES, "too_large", 413, F.lit(f"the audio file is over {_size_mb()} MB")),
-        (bad_top_k(top_k), "bad_top_k", 422, F.lit("top_k must be an integer of at least 1")),
+        (bad_format(response_format), "bad_format", 422, F.lit(f"response_format must be one of {', '.join(config.RESPONSE_FORMATS)}")),
+        (~readable, "unreadable", 400, F.lit(config.DETAIL_UNREADABLE % "no such file")),
+        (payload_bytes == 0, "empty", 422, F.lit(config.DETAIL_EMPTY)),
+        (payload_bytes > config.MAX_UPLOAD_BYTES, "too_large", 413, F.lit(config.DETAIL_TOO_LARGE % (config.MAX_UPLOAD_BYTES // (1024 * 1024)))),
+        (bad_top_k(top_k), "bad_top_k", 422, F.when(no_number, F.format_string(config.DETAIL_TOP_K_TEXT, top_k.cast("string"))).otherwise(config.DETAIL_TOP_K)),
     ]
 
 
 def late_rules(n_samples: Column, decode_error: Column, model_error: Column, n_intents: Column) -> list[tuple[Column, str, int, Column]]:
     """Rules over what decoding and the model gave."""
-    seconds = F.format_string("the clip must last from 0.5 to 10 seconds (it lasts %.3f)", duration_s(n_samples))
+    bounds = [F.lit(f"{seconds:g}") for seconds in (config.MIN_SECONDS, config.MAX_SECONDS)]
     return [
-        (decode_error.isNotNull() | n_samples.isNull(), "undecodable", 422, F.lit("the audio could not be decoded")),
-        (bad_duration(n_samples), "bad_duration", 422, seconds),
-        (model_error.isNotNull(), "inference_failed", 500, F.concat(F.lit("inference failed: "), model_error)),
-        (n_intents == 0, "no_predictions", 500, F.lit("the model gave no intent")),
+        (decode_error.isNotNull() | n_samples.isNull(), "undecodable", 422, F.lit(config.DETAIL_UNDECODABLE)),
+        (bad_duration(n_samples), "bad_duration", 422, F.format_string(config.DETAIL_DURATION, *bounds, duration_ms3(n_samples))),
+        (model_error.isNotNull(), "inference_failed", 500, F.format_string(config.DETAIL_INFERENCE, model_error)),
+        (n_intents == 0, "no_predictions", 500, F.lit(config.DETAIL_NO_PREDICTIONS)),
     ]
 
 

@@ -14,10 +14,10 @@ def check_dense(df: DataFrame, column: str) -> DataFrame:
 
 
 def missing_codes(df: DataFrame, column: str) -> DataFrame:
-    """Codes between 0 and the greatest that no row has."""
+    """Codes between 0 and the greatest that no row has, as rows of a range, so that a sparse code needs no array."""
     codes = df.select(F.col(column).cast("bigint").alias("code"))
-    wanted = codes.agg(F.max("code").alias("top")).filter("top is not null").select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("top"))).alias("code"))
-    return wanted.join(codes, "code", "left_anti")
+    top = codes.agg(F.max("code")).first()[0]
+    return df.sparkSession.range(0 if top is None else top + 1).withColumnRenamed("id", "code").join(codes, "code", "left_anti")
 
 
 def label_mismatches(forward: DataFrame, reverse: DataFrame) -> DataFrame:

@@ -19,22 +19,50 @@ def mean_pool_long(frames: DataFrame, key: str, vec: str = "vec") -> DataFrame:
     return frames.select(key, F.posexplode(vec).alias("dim", "x")).groupBy(key, "dim").agg(F.avg(F.col("x").cast("double")).alias("value"))
 
 
-def pack_head(head: DataFrame, max_classes: int = 100_000) -> DataFrame:
-    """head (class_idx, weight array, bias) as one row with an array ordered by class. The number of classes is checked first."""
-    n = head.count()
-    if n > max_classes:
-        raise ValueError(f"{n} classes are too many for one row of weights (at most {max_classes})")
-    return head.agg(F.sort_array(F.collect_list(F.struct("class_idx", F.col("weight").cast("array<double>").alias("weight"), F.col("bias").cast("double").alias("bias")))).alias("head"))
+#: Bytes of a packed head or label map that may be broadcast.
+MAX_PACKED_BYTES = 64 << 20
 
 
-def linear_head(features: DataFrame, head: DataFrame, column: str = "features") -> DataFrame:
-    """features with logits array<struct<class_idx, z>>, z = weight . x + bias. The packed head is one row, so the join is a broadcast of it."""
+def _packed(column: Column, n_bytes: Column, what: str, other: str) -> Column:
+    """column, or an error where its bytes are too many to be broadcast."""
+    words = F.format_string(f"a {what} of %s bytes is too large to be broadcast (at most {MAX_PACKED_BYTES}); use {other}", n_bytes.cast("bigint"))
+    return F.when(F.coalesce(n_bytes, F.lit(0)) > MAX_PACKED_BYTES, F.raise_error(words)).otherwise(column)
+
+
+def _class_rows() -> Column:
+    return F.struct("class_idx", F.col("weight").cast("array<double>").alias("weight"), F.col("bias").cast("double").alias("bias"))
+
 
+def pack_head(head: DataFrame) -> DataFrame:
+    """head (class_idx, weight array, bias) as one row with an array ordered by class; larger than MAX_PACKED_BYTES it is an error when run."""
+    size = F.sum(F.size("weight") * 8 + 16)
+    return head.agg(F.sort_array(F.collect_list(_class_rows())).alias("head"), size.alias("bytes")).select(_packed(F.col("head"), F.col("bytes"), "head", "linear_head_in_blocks").alias("head"))
+
+
+def _logit(column: str):
     def logit(c: Column) -> Column:
         products = F.zip_with(F.col(column).cast("array<double>"), c["weight"], lambda x, w: x * w)
         return F.struct(c["class_idx"].alias("class_idx"), F.aggregate(products, c["bias"], lambda s, p: s + p).alias("z"))
 
-    return features.crossJoin(F.broadcast(pack_head(head))).withColumn("logits", F.transform("head", logit)).drop("head")
+    return logit
+
+
+def linear_head(features: DataFrame, head: DataFrame, column: str = "features") -> DataFrame:
+    """features with logits array<struct<class_idx, z>>, z = weight . x + bias. The packed head is one row, so the join is a broadcast of it."""
+    return features.crossJoin(F.broadcast(pack_head(head))).withColumn("logits", F.transform("head", _logit(column))).drop("head")
+
+
+def linear_head_in_blocks(features: DataFrame, head: DataFrame, key: str, column: str = "features", block_classes: int = 4096) -> DataFrame:
+    """key, column, logits: the same for a head of any size; key names a row of features.
+
+    Every block of classes is one row, to which the features are copied by a join on the block; a row's logits are put together again by key.
+    """
+    blocks = head.withColumn("block", F.floor(F.col("class_idx") / block_classes)).groupBy("block").agg(F.collect_list(_class_rows()).alias("head"))
+    numbers = blocks.agg(F.collect_list("block").alias("blocks"))
+    copied = features.select(key, column).crossJoin(F.broadcast(numbers)).withColumn("block", F.explode("blocks")).drop("blocks")
+    scored = copied.join(blocks, "block").select(key, F.transform("head", _logit(column)).alias("part"))
+    merged = scored.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("logits"))
+    return features.join(merged, key)
 
 
 def check_width(df: DataFrame, n_classes: int, column: str = "logits") -> DataFrame:
@@ -85,28 +113,29 @@ def check_confidence(p: Column) -> Column:
     return F.coalesce(~F.isnan(p) & (p >= 0) & (p <= 1), F.lit(False))
 
 
-def named_intents(df: DataFrame, labels: DataFrame, column: str = "ranked", max_classes: int = 100_000) -> DataFrame:
-    """Adds intents array<struct<intent, confidence>> in rank order, null where an index has no label.
+def pack_labels(labels: DataFrame) -> DataFrame:
+    """One row: n_labels and names map<class_idx, intent>; larger than MAX_PACKED_BYTES it is an error when run."""
+    size = F.sum(F.coalesce(F.octet_length("intent"), F.lit(0)) + 16)
+    packed = labels.agg(F.count(F.lit(1)).cast("int").alias("n_labels"), F.map_from_entries(F.collect_list(F.struct("class_idx", "intent"))).alias("names"), size.alias("bytes"))
+    return packed.select("n_labels", _packed(F.col("names"), F.col("bytes"), "label map", "top_k_rows and attach_labels").alias("names"))
 
-    The label map of at most `max_classes` rows goes along as one broadcast map, so clips stay one row.
-    """
-    n = labels.count()
-    if n > max_classes:
-        raise ValueError(f"{n} labels are too many for one map (at most {max_classes})")
-    names = labels.agg(F.map_from_entries(F.collect_list(F.struct("class_idx", "intent"))).alias("names"))
-    found = F.transform(column, lambda c: F.struct(F.try_element_at(F.col("names"), c["class_idx"]).alias("intent"), c["p"].alias("confidence")))
-    out = df.crossJoin(F.broadcast(names)).withColumn("intents", found).drop("names")
-    return out.withColumn("intents", F.when(~F.exists("intents", lambda i: i["intent"].isNull()), F.col("intents")))
+
+def named_intents(ranked: Column, names: Column) -> Column:
+    """array<struct<intent, confidence>> in rank order, null where an index has no label."""
+    found = F.transform(ranked, lambda c: F.struct(F.try_element_at(names, c["class_idx"]).alias("intent"), c["p"].alias("confidence")))
+    return F.when(~F.exists(found, lambda i: i["intent"].isNull()), found)
 
 
 def classify_features(features: DataFrame, head: DataFrame, labels: DataFrame, k: Column | int = 5, keep: tuple[str, ...] = ("clip_id",)) -> DataFrame:
     """`keep`, intents, top_intent, confidence: head, softmax, top k and labels, one row for each row of features.
 
-    intents is null where a class has no label or the logits are not one for each label.
+    intents is null where a class has no label or the logits are not one for each label. Head and
+    labels are one broadcast row each, so clips stay one row and nothing is run before the result is asked for.
     """
     k = F.lit(k) if isinstance(k, int) else k
-    n = labels.count()
-    scored = check_width(linear_head(features, head), n)
-    scored = scored.withColumn("ranked", F.when(F.col("width_ok"), top_k(softmax(F.col("logits")), F.least(k, F.lit(n)))))
-    named = named_intents(scored, labels)
-    return named.select(*keep, "intents", F.get("intents", F.lit(0))["intent"].alias("top_intent"), F.get("intents", F.lit(0))["confidence"].alias("confidence"))
+    scored = linear_head(features, head).crossJoin(F.broadcast(pack_labels(labels)))
+    wide = F.size("logits") == F.col("n_labels")
+    scored = scored.withColumn("ranked", F.when(wide, top_k(softmax(F.col("logits")), F.least(k, F.col("n_labels")))))
+    named = scored.withColumn("intents", named_intents(F.col("ranked"), F.col("names")))
+    best = F.get("intents", F.lit(0))
+    return named.select(*keep, "intents", best["intent"].alias("top_intent"), best["confidence"].alias("confidence"))

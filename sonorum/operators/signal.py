@@ -54,12 +54,27 @@ def mono_16k(samples: np.ndarray, rate: int, channels: int, taps: int = 16) -> n
     return np.clip(np.round(mono), -32768, 32767).astype(np.int16)
 
 
+def list_rows(column: pa.Array) -> list[np.ndarray | None]:
+    """The rows of an Arrow list column as views of its values, null rows as None."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    return [values[a:b] if ok else None for a, b, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), there.tolist(), strict=True)]
+
+
+def list_column(rows: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
+    """The reverse, with one copy of the values."""
+    there = [r for r in rows if r is not None]
+    values = pa.array(np.concatenate(there) if there else np.zeros(0), kind)
+    ends = np.cumsum([0, *(0 if r is None else len(r) for r in rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array([r is None for r in rows], pa.bool_()))
+
+
 def decode_clips(audio: DataFrame, decoder: Decoder = pcm_wav, key: str = "path") -> DataFrame:
     """key, samples array<smallint> at 16 kHz mono, rate and channels of the file, n_samples, error.
 
     audio: key and content. A null content gives a row of nulls; any error of the decoder gives the
-    row's error and no samples, never a failed task. A row may hold megabytes, so set
-    spark.sql.execution.arrow.maxRecordsPerBatch to about 64.
+    row's error and no samples, never a failed task. A batch of rows is bounded in bytes by
+    spark.sql.execution.arrow.maxBytesPerBatch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,8 +93,9 @@ def decode_clips(audio: DataFrame, decoder: Decoder = pcm_wav, key: str = "path"
                     rows.append((clip, rate, channels, len(clip), None))
                 except Exception as problem:
                     rows.append((None, None, None, None, f"{type(problem).__name__}: {problem}"))
-            kinds = (pa.list_(pa.int16()), pa.int32(), pa.int32(), pa.int32(), pa.string())
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)]
+            clips, *rest = zip(*rows, strict=True) if rows else [[]] * 5
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string())
+            columns = [list_column(list(clips), pa.int16()), *(pa.array(c, k) for c, k in zip(rest, kinds, strict=True))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "samples", "rate", "channels", "n_samples", "error"])
 
     kind = audio.schema[key].dataType.simpleString()
@@ -113,20 +129,24 @@ def spectrogram(samples: np.ndarray, filters: np.ndarray, frames: int, win: int,
     signal = np.zeros(sounding * hop + win, np.float32)
     signal[win // 2 : win // 2 + heard] = samples[:heard].astype(np.float32) / 32768.0
     windows = np.lib.stride_tricks.sliding_window_view(signal, win)[::hop][:sounding]
-    power = np.abs(np.fft.rfft(windows * np.hanning(win + 1)[:-1].astype(np.float32), axis=1)) ** 2
-    logs = np.full((len(filters), frames), np.log10(floor))
-    logs[:, :sounding] = np.log10(np.maximum(filters @ power.T, floor))
-    return ((np.maximum(logs, logs.max() - span) + 4.0) / 4.0).astype(np.float32)
+    bins = np.fft.rfft(windows * np.hanning(win + 1)[:-1].astype(np.float32), axis=1)
+    logs = np.log10(np.maximum(filters @ (bins.real**2 + bins.imag**2).T, floor))
+    low = max(np.log10(floor), logs.max(initial=np.log10(floor)) - span)
+    out = np.full((len(filters), frames), (low + 4.0) / 4.0, np.float32)
+    out[:, :sounding] = (np.maximum(logs, low) + 4.0) / 4.0
+    return out
 
 
-def log_mel(clips: DataFrame, key: str = "path", n_mels: int = config.N_MELS, frames: int = config.N_FRAMES, win: int = 400, hop: int = 160, floor: float = 1e-10, span: float = 8.0) -> DataFrame:
-    """key, mel array<float> of n_mels * frames values; null samples give a null. The filter bank is a constant of each task."""
+def log_mel(clips: DataFrame, key: str = "path", n_mels: int = config.N_MELS, frames: int = config.N_FRAMES, win: int = 400, hop: int = 160, floor: float = 1e-10, span: float = 8.0, at_once: int = 32) -> DataFrame:
+    """key, mel array<float> of n_mels * frames values; null samples give a null. The filter bank is a constant of each task, and `at_once` spectrograms are held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = mel_filters(n_mels, win)
+        filters = mel_filters(n_mels, win).astype(np.float32)
         for batch in batches:
-            mels = [None if s.as_py() is None else spectrogram(np.asarray(s.as_py(), np.int16), filters, frames, win, hop, floor, span).ravel() for s in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mels, pa.list_(pa.float32()))], [key, "mel"])
+            rows = list_rows(batch.column(1))
+            for k in range(0, len(rows), at_once):
+                mels = [None if s is None else spectrogram(s, filters, frames, win, hop, floor, span).ravel() for s in rows[k : k + at_once]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, at_once), list_column(mels, pa.float32())], [key, "mel"])
 
     kind = clips.schema[key].dataType.simpleString()
     return clips.select(key, "samples").mapInArrow(run, f"`{key}` {kind}, mel array<float>")

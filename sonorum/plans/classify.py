@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonorum import config
@@ -14,20 +14,24 @@ from sonorum.functions.envelopes import render
 from sonorum.functions.scalars import clamp_top_k, duration_s, resolve_top_k
 from sonorum.operators.admission import early_rules, first_failure, late_rules, read_requests
 from sonorum.operators.predict import MakePredict, isolated
-from sonorum.operators.scoring import named_intents, softmax, top_k
-from sonorum.operators.signal import Decoder, mel_filters, mono_16k, pcm_wav, spectrogram
-from sonorum.sources.audio import attach_audio
+from sonorum.operators.scoring import named_intents, pack_labels, softmax, top_k
+from sonorum.operators.signal import Decoder, list_column, mel_filters, mono_16k, pcm_wav, spectrogram
 
+#: Fields of a request that its outcome needs.
+FIELDS = ("request_id", "path", "payload_bytes", "response_format", "top_k", "language", "early")
 
-def score_clips(audio: DataFrame, make_predict: MakePredict, decoder: Decoder = pcm_wav, key: str = "request_id", n_mels: int = config.N_MELS, frames: int = config.N_FRAMES, batch_size: int = config.BATCH_SIZE) -> DataFrame:
-    """key, n_samples, decode_error, logits, model_error: decoding, spectrogram and model in one pass over key and content.
 
-    Samples and spectrograms stay in the Python worker. A clip out of the duration bounds is not
-    scored; a clip that fails has its error and no logits.
+def score_clips(
+    clips: DataFrame, make_predict: MakePredict, decoder: Decoder = pcm_wav, keep: tuple[str, ...] = ("request_id",), n_mels: int = config.N_MELS, frames: int = config.N_FRAMES, batch_size: int = config.BATCH_SIZE
+) -> DataFrame:
+    """`keep`, n_samples, decode_error, logits, model_error: decoding, spectrogram and model in one pass, one row for each row of clips.
+
+    Samples and spectrograms stay in the Python worker. A null content gives nulls; a clip out of
+    the duration bounds is not scored; a clip that fails has its error and no logits.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict, filters = make_predict(), mel_filters(n_mels, 400)
+        predict, filters = make_predict(), mel_filters(n_mels, 400).astype(np.float32)
         for batch in batches:
             n, problems, mels = [None] * batch.num_rows, [None] * batch.num_rows, {}
             logits, errors = [None] * batch.num_rows, [None] * batch.num_rows
@@ -37,7 +41,9 @@ def score_clips(audio: DataFrame, make_predict: MakePredict, decoder: Decoder =
                     logits[k], errors[k] = row, error
                 mels.clear()
 
-            for k, content in enumerate(batch.column(1)):
+            for k, content in enumerate(batch.column(len(keep))):
+                if not content.is_valid:
+                    continue
                 try:
                     clip = mono_16k(*decoder(content.as_py()))
                     if not len(clip):
@@ -52,40 +58,35 @@ def score_clips(audio: DataFrame, make_predict: MakePredict, decoder: Decoder =
                         score()
             if mels:
                 score()
-            columns = [pa.array(n, pa.int64()), pa.array(problems, pa.string()), pa.array(logits, pa.list_(pa.float64())), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "n_samples", "decode_error", "logits", "model_error"])
+            columns = [pa.array(n, pa.int64()), pa.array(problems, pa.string()), list_column(logits, pa.float64()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], [*keep, "n_samples", "decode_error", "logits", "model_error"])
 
-    kind = audio.schema[key].dataType.simpleString()
-    return audio.select(key, "content").mapInArrow(run, f"`{key}` {kind}, n_samples bigint, decode_error string, logits array<double>, model_error string")
+    kinds = "".join(f"`{c}` {clips.schema[c].dataType.simpleString()}, " for c in keep)
+    return clips.select(*keep, "content").mapInArrow(run, f"{kinds}n_samples bigint, decode_error string, logits array<double>, model_error string")
 
 
-def classify_audio(requests: DataFrame, audio: DataFrame, make_predict: MakePredict, labels: DataFrame, decoder: Decoder = pcm_wav, device: str = "spark") -> DataFrame:
-    """request_id, path, status, rule, detail, n_samples, duration_s, k, intents, top_intent, confidence, response.
+def with_early(requests: DataFrame) -> DataFrame:
+    """requests, with payload_bytes (null: no such file), and early struct<rule, status, detail> of the rules that need no decoding."""
+    early = early_rules(F.col("payload_bytes").isNotNull(), F.col("payload_bytes"), F.col("response_format"), F.col("top_k"))
+    return requests.withColumn("early", first_failure(early))
 
-    One row for each request. Files are opened only for requests that pass the cheap rules.
-    """
-    rows = read_requests(requests)
-    sized = attach_audio(rows, audio)
-    early = first_failure(early_rules(F.col("payload_bytes").isNotNull(), F.col("payload_bytes"), F.col("response_format"), F.col("top_k")))
-    sized = sized.withColumn("early", early)
-    # clips are heavy for their bytes: a fixed number of partitions, which adaptive execution leaves alone, on the join's own key
-    parts = int(audio.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bodies = audio.filter(F.col("length").between(1, config.MAX_UPLOAD_BYTES)).select("path", "content").repartition(parts, "path")
-    wanted = sized.filter("early.status = 200").select("request_id", "path").join(bodies, "path")
-    scored = score_clips(wanted, make_predict, decoder)
-    n = labels.count()
-    wide = F.size("logits") == n
-    k = clamp_top_k(resolve_top_k(F.col("top_k").try_cast("int")), n)
+
+def outcomes_of(sized: DataFrame, make_predict: MakePredict, labels: DataFrame, decoder: Decoder = pcm_wav, device: str = "spark", keep: tuple[str, ...] = ()) -> DataFrame:
+    """classify_audio's columns and `keep`, one row for each row of sized: FIELDS and content, null where it isn't wanted."""
+    scored = score_clips(sized, make_predict, decoder, (*FIELDS, *keep)).crossJoin(F.broadcast(pack_labels(labels)))
+    wide = F.size("logits") == F.col("n_labels")
     indexed = F.transform("logits", lambda z, i: F.struct(i.alias("class_idx"), z.alias("z")))
+
+    def lacking(fails: Column, words: str) -> Column:
+        return F.coalesce("model_error", F.when(fails, F.lit(words)))
+
     out = (
-        sized.join(scored, "request_id", "left")
-        .withColumn("k", k)
-        .withColumn("model_error", F.coalesce("model_error", F.when(~wide, F.lit("as many logits as labels are needed"))))
+        scored.withColumn("k", clamp_top_k(resolve_top_k(F.col("top_k").try_cast("int")), F.col("n_labels")))
+        .withColumn("model_error", lacking(~wide, "as many logits as labels are needed"))
         .withColumn("ranked", F.when(wide & F.col("model_error").isNull(), top_k(softmax(indexed), F.col("k"))))
+        .withColumn("intents", named_intents(F.col("ranked"), F.col("names")))
+        .withColumn("model_error", lacking(F.col("ranked").isNotNull() & F.col("intents").isNull(), "a class has no label"))
     )
-    out = named_intents(out, labels)
-    unnamed = F.col("ranked").isNotNull() & F.col("intents").isNull()
-    out = out.withColumn("model_error", F.coalesce("model_error", F.when(unnamed, F.lit("a class has no label"))))
     late = first_failure(late_rules(F.col("n_samples"), F.col("decode_error"), F.col("model_error"), F.size("intents")))
     out = out.withColumn("final", F.when(F.col("early.status") != 200, F.col("early")).otherwise(late))
     best = F.get("intents", F.lit(0))
@@ -93,5 +94,21 @@ def classify_audio(requests: DataFrame, audio: DataFrame, make_predict: MakePred
     return out.select(
         "request_id", "path", "final.status", "final.rule", "final.detail", "n_samples", duration_s(F.col("n_samples")).alias("duration_s"), "k",
         F.when(ok, F.col("intents")).alias("intents"), F.when(ok, best["intent"]).alias("top_intent"), F.when(ok, best["confidence"]).alias("confidence"),
-        F.when(ok, render(F.col("response_format"), best["intent"], best["confidence"], F.col("n_samples"), F.col("language"), F.col("intents"), device)).alias("response"),
+        F.when(ok, render(F.col("response_format"), best["intent"], best["confidence"], F.col("n_samples"), F.col("language"), F.col("intents"), device)).alias("response"), *keep,
     )
+
+
+def classify_audio(requests: DataFrame, audio: DataFrame, make_predict: MakePredict, labels: DataFrame, decoder: Decoder = pcm_wav, device: str = "spark") -> DataFrame:
+    """request_id, path, status, rule, detail, n_samples, duration_s, k, intents, top_intent, confidence, response.
+
+    One row for each row of requests, whatever their ids: nothing is joined by request_id. Sizes come from a
+    scan without content, and only requests that pass the cheap rules are given content.
+    """
+    sizes = audio.select("path", F.col("length").alias("payload_bytes"))
+    sized = with_early(read_requests(requests).join(sizes, "path", "left"))
+    # clips are heavy for their bytes: a fixed number of partitions, which adaptive execution leaves alone, on the join's own key
+    parts = int(audio.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bodies = audio.filter(F.col("length").between(1, config.MAX_UPLOAD_BYTES)).select(F.col("path").alias("body_path"), "content").repartition(parts, "body_path")
+    wanted = F.when(F.col("early.status") == 200, F.col("path"))
+    joined = sized.join(bodies, wanted == F.col("body_path"), "left")
+    return outcomes_of(joined, make_predict, labels, decoder, device)

@@ -15,8 +15,11 @@ from sonorum.plans import fixtures
 from sonorum.plans.classify import classify_audio
 from sonorum.plans.fixtures import REQUESTS_SQL, SCORES_SQL, table
 from sonorum.session import shared_dir
-from sonorum.sources.audio import attach_audio
+from sonorum.sources.audio import attach_audio, scan_audio, stream_audio
+from sonorum.sources.labels import read_labels
+from sonorum.sources.sinks import write_outcomes, write_rejects
 from sonorum.streaming.bundles import bundle_stream
+from sonorum.streaming.clips import classify_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, tuple[Query, str | None]] = {}
@@ -34,6 +37,55 @@ def _r(column: Column | str, places: int = 6) -> Column:
     return F.round(column, places)
 
 
+def _folder(spark: SparkSession, what: str) -> str:
+    """A new folder among the shared ones."""
+    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+# ---- sources and sinks ------------------------------------------------------------------------
+
+_FILES_SQL = "SELECT label, sum(length(CAST(vec_id AS VARCHAR)) + 1) AS length, count(*) AS n_lines FROM embeddings GROUP BY label"
+
+
+def _label_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a text file for each label, a line for each of its embeddings."""
+    path = _folder(spark, "files")
+    lines = table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").cast("string").alias("value"))
+    lines.repartition("label").write.partitionBy("label").text(path)
+    return path
+
+
+def _file_facts(files: DataFrame) -> DataFrame:
+    lines = F.size(F.split(F.col("content").cast("string"), "\n")) - 1
+    return files.select(F.regexp_extract("path", "label=([0-9]+)/", 1).cast("int").alias("label"), "length", lines.cast("bigint").alias("n_lines"))
+
+
+@_query("a1_scan_audio", _FILES_SQL)
+def _scan(spark, sf_dir):
+    return _file_facts(scan_audio(spark, _label_files(spark, sf_dir), "*.txt"))
+
+
+@_query("a2_stream_audio", _FILES_SQL)
+def _stream(spark, sf_dir):
+    place = _folder(spark, "stream")
+    arriving = _file_facts(stream_audio(spark, f"{_label_files(spark, sf_dir)}/*", max_files=3))
+    writer = arriving.writeStream.format("parquet").option("checkpointLocation", f"{place}/state")
+    writer.trigger(availableNow=True).start(f"{place}/out").awaitTermination()
+    return spark.read.schema("label int, length bigint, n_lines bigint").parquet(f"{place}/out")
+
+
+@_query("a4_read_labels", """SELECT 'forward' AS side, n_name AS intent, CAST(n_nationkey AS INT) AS class_idx FROM nation
+UNION ALL SELECT 'reverse', CASE WHEN n_nationkey % 7 = 3 THEN 'X' ELSE n_name END, CAST(n_nationkey AS INT) FROM nation""")
+def _read_labels(spark, sf_dir):
+    path = _folder(spark, "labels")
+    forward, reverse = (f(spark, sf_dir) for f in _NATION_MAPS)
+    names = forward.agg(F.map_from_entries(F.collect_list(F.struct("intent", "class_idx"))).alias("intent_to_idx"))
+    codes = reverse.agg(F.map_from_entries(F.collect_list(F.struct(F.col("class_idx").cast("string"), "intent"))).alias("idx_to_intent"))
+    names.crossJoin(codes).select(F.to_json(F.struct("intent_to_idx", "idx_to_intent")).alias("value")).write.text(path)
+    sides = read_labels(spark, path)
+    return sides[0].select(F.lit("forward").alias("side"), "intent", "class_idx").unionByName(sides[1].select(F.lit("reverse").alias("side"), "intent", "class_idx"))
+
+
 # ---- requests ---------------------------------------------------------------------------------
 
 
@@ -57,9 +109,30 @@ def _rule_flags(spark, sf_dir):
     return r.select("request_id", early["bad_format"].alias("bad_format"), early["empty"].alias("empty_file"), early["too_large"].alias("too_large"), early["bad_top_k"].alias("bad_top_k"), admission.bad_duration(F.col("n_samples")).alias("bad_duration"))
 
 
-@_query("b10_admit", f"WITH {REQUESTS_SQL}, {_ADMITTED_SQL} SELECT request_id, rule, status FROM adm")
+_DETAIL_SQL = """CASE rule WHEN 'bad_format' THEN 'response_format must be one of json, verbose_json, text'
+  WHEN 'empty' THEN 'Audio upload is empty' WHEN 'too_large' THEN 'Audio upload exceeds the 25 MB limit' WHEN 'bad_top_k' THEN 'top_k must be >= 1'
+  WHEN 'bad_duration' THEN printf('Audio duration must be between 0.5 and 10 seconds (received %.3f seconds).', floor((n_samples * 1000 + 8000) / 16000) / 1000.0::DOUBLE) END"""
+
+
+@_query("b10_admit", f"WITH {REQUESTS_SQL}, {_ADMITTED_SQL} SELECT request_id, rule, status, {_DETAIL_SQL} AS detail FROM adm")
 def _admit(spark, sf_dir):
-    return admission.admit(fixtures.requests(spark, sf_dir)).select("request_id", "rule", "status")
+    return admission.admit(fixtures.requests(spark, sf_dir)).select("request_id", "rule", "status", "detail")
+
+
+_MODEL_RULES_SQL = """CASE WHEN rule <> 'ok' THEN rule WHEN request_id % 5 = 0 THEN 'undecodable' WHEN request_id % 7 = 1 THEN 'inference_failed' WHEN request_id % 3 = 0 THEN 'no_predictions' ELSE 'ok' END"""
+
+
+@_query("b6_b8_b9_model_rules", f"""WITH {REQUESTS_SQL}, {_ADMITTED_SQL}, late AS (SELECT request_id, n_samples, {_MODEL_RULES_SQL} AS rule FROM adm)
+SELECT request_id, rule, CASE rule WHEN 'inference_failed' THEN 500 WHEN 'no_predictions' THEN 500 WHEN 'ok' THEN 200 WHEN 'unreadable' THEN 400 WHEN 'too_large' THEN 413 ELSE 422 END AS status,
+  CASE rule WHEN 'undecodable' THEN 'Unable to decode the uploaded audio.' WHEN 'inference_failed' THEN 'Model inference failed: out of memory at ' || request_id
+    WHEN 'no_predictions' THEN 'Model returned no intent predictions' ELSE {_DETAIL_SQL} END AS detail FROM late""")
+def _model_rules(spark, sf_dir):
+    r, i = fixtures.requests(spark, sf_dir), F.col("request_id")
+    told = r.withColumns({
+        "decode_error": F.when((i % 5 == 0) & F.col("n_samples").between(8000, 160000), "no frames"),
+        "model_error": F.when(i % 7 == 1, F.concat(F.lit("out of memory at "), i.cast("string"))), "n_intents": F.when(i % 3 == 0, 0).otherwise(5),
+    })
+    return admission.admit(told).select("request_id", "rule", "status", "detail")
 
 
 @_query("b11_check_confidence", "SELECT event_id, coalesce(value / 100 BETWEEN 0 AND 1, false) AS in_range FROM events")
@@ -96,7 +169,7 @@ def _scale(spark, sf_dir):
     return scaled.select("vec_id", _r(F.aggregate("s", F.lit(0.0), lambda a, x: a + x)).alias("total"), _r(F.get("s", F.lit(0))).alias("first"))
 
 
-@_query("c8_pad_or_trim", "SELECT vec_id, 100 AS n_long, 10 AS n_short, 0.0::DOUBLE AS padding, round(embedding[10]::DOUBLE, 6) AS last FROM embeddings")
+@_query("c8_pad_or_trim", "SELECT vec_id, len(list_resize(embedding, 100, 0.0)) AS n_long, len(embedding[1:10]) AS n_short, round(list_sum(list_transform((list_resize(embedding, 100, 0.0))[65:100], lambda x: abs(x)))::DOUBLE, 6) AS padding, round(embedding[10]::DOUBLE, 6) AS last FROM embeddings")
 def _pad(spark, sf_dir):
     vec = F.col("embedding").cast("array<double>")
     e = table(spark, sf_dir, "embeddings").select("vec_id", scalars.pad_or_trim(vec, 100).alias("long"), scalars.pad_or_trim(vec, 10).alias("short"))
@@ -141,7 +214,12 @@ def _softmax_long(spark, sf_dir):
     return scoring.softmax_long(_long(spark, sf_dir), "clip_id").select("clip_id", "class_idx", _r("p").alias("p"))
 
 
-@_query("f3_check_dense", "SELECT 'n_nationkey' AS code, count(*) AS n, count(DISTINCT n_nationkey) AS n_distinct, true AS dense FROM nation UNION ALL SELECT 'p_size', count(*), count(DISTINCT p_size), false FROM part UNION ALL SELECT 'r_regionkey', count(*), count(DISTINCT r_regionkey), true FROM region")
+def _dense_sql(table: str, column: str) -> str:
+    dense = f"coalesce(count(*) > 0 AND count(*) = count(DISTINCT {column}) AND min({column}) = 0 AND max({column}) = count(*) - 1, false)"
+    return f"SELECT '{column}' AS code, count(*) AS n, count(DISTINCT {column}) AS n_distinct, {dense} AS dense FROM {table}"
+
+
+@_query("f3_check_dense", " UNION ALL ".join(_dense_sql(*x) for x in (("nation", "n_nationkey"), ("part", "p_size"), ("region", "r_regionkey"))))
 def _check_dense(spark, sf_dir):
     found = [labels.check_dense(table(spark, sf_dir, t), c).select(F.lit(c).alias("code"), "n", "n_distinct", "dense") for t, c in (("nation", "n_nationkey"), ("part", "p_size"), ("region", "r_regionkey"))]
     return found[0].unionByName(found[1]).unionByName(found[2])
@@ -203,7 +281,10 @@ def _mismatches(spark, sf_dir):
     return labels.label_mismatches(*(f(spark, sf_dir) for f in _NATION_MAPS))
 
 
-@_query("q4_validate_labels", "SELECT count(*) AS n_classes, true AS forward_dense, true AS reverse_dense, count(*) FILTER (WHERE n_nationkey % 7 = 3) AS n_mismatches, false AS valid FROM nation")
+@_query("q4_validate_labels", f"""WITH f AS ({_dense_sql("nation", "n_nationkey")}),
+n AS (SELECT n_nationkey AS k, n_name AS a, CASE WHEN n_nationkey % 7 = 3 THEN 'X' ELSE n_name END AS b FROM nation),
+m AS (SELECT count(*) AS n_mismatches FROM n AS x FULL JOIN n AS y ON x.k = y.k WHERE x.a IS DISTINCT FROM y.b)
+SELECT f.n AS n_classes, f.dense AS forward_dense, f.dense AS reverse_dense, n_mismatches, f.dense AND n_mismatches = 0 AS valid FROM f, m""")
 def _validate(spark, sf_dir):
     return labels.validate_labels(*(f(spark, sf_dir) for f in _NATION_MAPS))
 
@@ -275,6 +356,28 @@ def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.withColumn("intents", F.array(F.struct(F.col("top_intent").alias("intent"), F.col("confidence").alias("confidence"))))
 
 
+@_query("a5_write_outcomes", f"""WITH {_OUTCOMES_SQL}
+SELECT 'json' AS fmt, status, count(*) AS n, count(DISTINCT top_intent) AS n_intents, CAST(sum(request_id) AS BIGINT) AS ids FROM o GROUP BY status
+UNION ALL SELECT 'parquet', status, count(*), count(DISTINCT top_intent), CAST(sum(request_id) AS BIGINT) FROM o GROUP BY status
+UNION ALL SELECT 'text', 200, count(*), count(DISTINCT top_intent), NULL FROM o WHERE status = 200""")
+def _write_outcomes(spark, sf_dir):
+    place, o = _folder(spark, "outcomes"), _outcomes(spark, sf_dir).withColumn("response", F.col("top_intent"))
+    found = None
+    for fmt in ("json", "parquet", "text"):
+        write_outcomes(o, f"{place}/{fmt}", fmt)
+        read = spark.read.text(f"{place}/{fmt}").withColumnRenamed("value", "top_intent").withColumn("request_id", F.lit(None).cast("bigint")) if fmt == "text" else spark.read.schema(o.schema).format(fmt).load(f"{place}/{fmt}")
+        facts = read.groupBy(F.lit(fmt).alias("fmt"), F.col("status").cast("int").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("top_intent").alias("n_intents"), F.sum("request_id").alias("ids"))
+        found = facts if found is None else found.unionByName(facts)
+    return found
+
+
+@_query("a6_write_rejects", f"WITH {_OUTCOMES_SQL} SELECT request_id, 'file-' || request_id AS path, status, rule, {_DETAIL_SQL} AS detail FROM o WHERE status <> 200")
+def _write_rejects(spark, sf_dir):
+    place = _folder(spark, "rejects")
+    write_rejects(_outcomes(spark, sf_dir).withColumn("path", F.concat(F.lit("file-"), F.col("request_id").cast("string"))), place, "json")
+    return spark.read.schema("request_id bigint, path string, rule string, detail string, status int").json(place).select("request_id", "path", "status", "rule", "detail")
+
+
 @_query("c9_json_envelope", f"WITH {_OUTCOMES_SQL} SELECT request_id, top_intent AS text, top_intent, round(confidence, 6) AS confidence, 'duration' AS kind, {_FIELDS_SQL} AS seconds FROM o WHERE status = 200")
 def _json(spark, sf_dir):
     made = _answers(spark, sf_dir).select("request_id", envelopes.json_envelope(F.col("top_intent"), F.col("confidence"), F.col("n_samples")).alias("j"))
@@ -318,14 +421,34 @@ def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("vec_id", F.flatten(F.array_repeat(once, 250)).alias("samples"))
 
 
-@_query("d4_log_mel")
+#: Spectrum of one frame in SQL: 400 samples from frame f of the sound that _signals() makes, a periodic Hann window, 201 bins, 80 triangles on the mel scale.
+_MEL_SQL = """
+once AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(least(floor(x::DOUBLE * 8000), 32767), -32768) / 32768.0::DOUBLE) AS s FROM embeddings),
+basis AS (SELECT k, i, (0.5 - 0.5 * cos(2 * pi() * i / 400)) * cos(2 * pi() * k * i / 400) AS re, (0.5 - 0.5 * cos(2 * pi() * i / 400)) * sin(2 * pi() * k * i / 400) AS im
+  FROM (SELECT unnest(range(201)) AS k), (SELECT unnest(range(400)) AS i)),
+folded AS (SELECT f, k, (f * 160 - 200 + i) % 64 AS j, sum(re) AS re, sum(im) AS im FROM basis, (SELECT unnest([50, 51]) AS f) GROUP BY ALL),
+flat AS (SELECT vec_id, unnest(s) AS v, unnest(range(64)) AS j FROM once),
+power AS (SELECT vec_id, f, k, sum(v * re) ** 2 + sum(v * im) ** 2 AS p FROM flat JOIN folded USING (j) GROUP BY ALL),
+edge AS (SELECT m, 700 * (10 ** (m * 2595 * log10(1 + 8000 / 700.0::DOUBLE) / 81 / 2595) - 1) AS hz FROM (SELECT unnest(range(82)) AS m)),
+filter AS (SELECT b.m, k, greatest(least((k * 40 - a.hz) / (b.hz - a.hz), (c.hz - k * 40) / (c.hz - b.hz)), 0) * 2 / (c.hz - a.hz) AS w
+  FROM edge AS a JOIN edge AS b ON b.m = a.m + 1 JOIN edge AS c ON c.m = a.m + 2, (SELECT unnest(range(201)) AS k)),
+mel AS (SELECT vec_id, f, m, log10(greatest(sum(p * w), 1e-10)) AS e FROM power JOIN filter USING (k) WHERE w > 0 GROUP BY ALL),
+top AS (SELECT vec_id, max(e) AS top FROM mel GROUP BY vec_id)"""
+
+
+@_query("d4_log_mel", f"""WITH {_MEL_SQL}
+SELECT vec_id, 80 * 3000 AS n, count(*) FILTER (WHERE f = 50) AS n_bands, round(sum((greatest(e, top - 8) + 4) / 4) FILTER (WHERE f = 50), 2) AS heard, least(3000, (200 + 250 * 64 + 159) // 160) AS n_frames
+FROM mel JOIN top USING (vec_id) GROUP BY vec_id, top""")
 def _log_mel(spark, sf_dir):
-    mel = signal.log_mel(_signals(spark, sf_dir), "vec_id", n_mels=20, frames=100)
-    return mel.select("vec_id", F.size("mel").alias("n"), _r(F.array_max("mel"), 3).alias("most"), _r(F.array_min("mel"), 3).alias("least"))
+    mel = signal.log_mel(_signals(spark, sf_dir), "vec_id").select("vec_id", F.size("mel").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(79)), lambda m: F.get("mel", m * 3000 + 50)).alias("heard"), F.slice("mel", 10 * 3000 + 1, 3000).alias("band"))
+    total = F.aggregate("heard", F.lit(0.0), lambda a, x: a + x)
+    sounding = F.filter("band", lambda x: x > F.element_at("band", -1) + 1e-4)
+    return mel.select("vec_id", "n", F.size("heard").alias("n_bands"), _r(total, 2).alias("heard"), F.size(sounding).alias("n_frames"))
 
 
-def _wav_bytes(samples: Column, times: Column) -> Column:
-    """Mono 16 kHz 16-bit WAV files, made by Spark: a RIFF header before the little-endian samples, so many times over."""
+def _wav_bytes(samples: Column, times: Column, rate: Column | None = None, channels: Column | None = None) -> Column:
+    """16-bit WAV files, mono at 16 kHz or as told, made by Spark: a RIFF header before the little-endian samples, so many times over."""
+    rate, channels = F.lit(16000) if rate is None else rate, F.lit(1) if channels is None else channels
 
     def little(n: Column, size: int) -> Column:
         text = F.lpad(F.hex(n), 2 * size, "0")
@@ -334,7 +457,8 @@ def _wav_bytes(samples: Column, times: Column) -> Column:
     once = F.array_join(F.transform(samples, lambda x: little(F.pmod(x.cast("int"), F.lit(65536)), 2)), "")
     body = F.repeat(once, times)
     n = F.size(samples) * times * 2
-    head = F.concat(F.lit("52494646"), little(n + 36, 4), F.lit("57415645666d74201000000001000100803E0000007D00000200100064617461"), little(n, 4))
+    kind = F.concat(little(channels, 2), little(rate, 4), little(rate * channels * 2, 4), little(channels * 2, 2))
+    head = F.concat(F.lit("52494646"), little(n + 36, 4), F.lit("57415645666d7420100000000100"), kind, F.lit("100064617461"), little(n, 4))
     return F.unhex(F.concat(head, body))
 
 
@@ -348,6 +472,20 @@ def _decode(spark, sf_dir):
     return found.select("vec_id", "n_samples", total.alias("total"), F.col("error").isNotNull().alias("failed"))
 
 
+@_query("d2_mono_16k", """WITH c AS (SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN 8000 WHEN 1 THEN 22050 WHEN 2 THEN 44100 ELSE 16000 END AS rate, 1 + vec_id % 2 AS channels,
+  2 * CAST(floor(embedding[1]::DOUBLE * 1000) AS BIGINT) AS a, 2 * CAST(floor(embedding[2]::DOUBLE * 1000) AS BIGINT) AS b FROM embeddings)
+SELECT vec_id, CAST(rate AS INT) AS rate, CAST(channels AS INT) AS channels, CAST(floor(4000 * 16000 / rate) AS INT) AS n_samples, CAST(CASE WHEN channels = 1 THEN a ELSE (a + b) / 2 END AS INT) AS middle FROM c""")
+def _mono(spark, sf_dir):
+    """Steady sounds of 4,000 frames in several rates, one or two channels: what comes out is the mean of the channels."""
+    rate = F.element_at(F.array(F.lit(8000), F.lit(22050), F.lit(44100), F.lit(16000)), (F.col("vec_id") % 4 + 1).cast("int"))
+    channels = (1 + F.col("vec_id") % 2).cast("int")
+    levels = [(F.floor(F.get("embedding", F.lit(k)).cast("double") * 1000) * 2).cast("smallint") for k in range(2)]
+    frame = F.when(channels == 1, F.array(levels[0])).otherwise(F.array(*levels))
+    clips = table(spark, sf_dir, "embeddings").select("vec_id", _wav_bytes(frame, F.lit(4000), rate, channels).alias("content"))
+    found = signal.decode_clips(clips, key="vec_id")
+    return found.select("vec_id", "rate", "channels", "n_samples", F.get("samples", F.floor(F.col("n_samples") / 2).cast("int")).cast("int").alias("middle"))
+
+
 def _make_predict():
     """Logits are the first ten values; an input whose first value is below -1.5 breaks the call it is in."""
 
@@ -428,6 +566,24 @@ def _classify_audio(spark, sf_dir):
     return found.select("request_id", "rule", "status", "n_samples", F.when(F.col("intents").isNotNull(), F.size("intents")).alias("n_intents"), F.coalesce(answered, F.lit(False)).alias("answered"))
 
 
+@_query("h1_classify_stream", """SELECT vec_id, CASE WHEN vec_id % 5 < 2 THEN 'rejects' ELSE 'results' END AS side, CASE WHEN vec_id % 5 = 0 THEN 'undecodable' WHEN vec_id % 5 = 1 THEN 'bad_duration' ELSE 'ok' END AS rule,
+  CASE WHEN vec_id % 5 < 2 THEN 422 ELSE 200 END AS status, CASE WHEN vec_id % 5 < 2 THEN NULL ELSE 5 END AS n_intents FROM embeddings""")
+def _classify_stream(spark, sf_dir):
+    """Every embedding as a WAV file (a file of text, whose last line break no decoder reads), classified as it arrives."""
+    place, part = _folder(spark, "clips"), F.col("vec_id") % 5
+    once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
+    content = F.when(part == 0, F.encode(F.lit("RIFF and no more"), "UTF-8")).otherwise(_wav_bytes(once, F.when(part == 1, 100).otherwise(250)))
+    table(spark, sf_dir, "embeddings").repartition(8).select("vec_id", content.cast("string").alias("value")).write.partitionBy("vec_id").text(f"{place}/in")
+    asked = spark.createDataFrame([], "path string, request_id string, response_format string, top_k string, language string")
+    stream = stream_audio(spark, f"{place}/in/*", max_files=1000)
+    query = classify_stream(stream, asked, _make_mel_predict, fixtures.labels(spark, sf_dir), f"{place}/out", f"{place}/state", availableNow=True)
+    query.awaitTermination()
+    number = F.regexp_extract("path", "vec_id=([0-9]+)/", 1).cast("bigint").alias("vec_id")
+    results = spark.read.parquet(f"{place}/out/results").select(number, F.lit("results").alias("side"), "rule", "status", F.size("intents").alias("n_intents"))
+    rejects = spark.read.parquet(f"{place}/out/rejects").select(number, F.lit("rejects").alias("side"), "rule", "status", F.lit(None).cast("int").alias("n_intents"))
+    return results.unionByName(rejects)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, (f, _) in _FOUND.items()}
 

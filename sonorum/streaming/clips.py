@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sonorum import config
+from sonorum.operators.admission import read_requests
 from sonorum.operators.predict import MakePredict
 from sonorum.operators.signal import Decoder, pcm_wav
-from sonorum.plans.classify import classify_audio
+from sonorum.plans.classify import outcomes_of, with_early
+
+REJECT_COLUMNS = ("request_id", "path", "status", "rule", "detail")
 
 
 def classify_stream(
@@ -21,19 +25,33 @@ def classify_stream(
     decoder: Decoder = pcm_wav,
     **trigger,
 ) -> StreamingQuery:
-    """Outcomes of every arriving file, as Parquet by batch_id.
+    """Outcomes of every arriving file as Parquet: <out_path>/results and <out_path>/rejects, each by batch_id.
 
-    A file without a request row gets the form defaults and its path as request_id. A replayed batch
-    overwrites its own partition, so each file has its outcomes once.
+    A file without a request row gets the form defaults and its path as request_id; with several
+    request rows it has an outcome for each. The size rule is part of the streaming plan, so content of
+    files that are too large is never read. A batch is scored once, into <out_path>/outcomes,
+    of which results and rejects are written; a replayed batch overwrites its own partitions.
     """
+    within = F.col("length").between(1, config.MAX_UPLOAD_BYTES)
+    fitting = audio_stream.filter(within).select("path", "length", "content")
+    other = audio_stream.filter(~within).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    arriving = fitting.unionByName(other)
 
     def write(files: DataFrame, batch_id: int) -> None:
-        files = files.persist()
-        asked = files.select("path").join(requests, "path", "left")
-        asked = asked.withColumn("request_id", F.coalesce(F.col("request_id").cast("string"), F.col("path")))
-        outcomes = classify_audio(asked, files, make_predict, labels, decoder).withColumn("batch_id", F.lit(batch_id))
-        outcomes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
-        files.unpersist()
-
-    writer = audio_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        spark = files.sparkSession
+        sized = files.withColumnRenamed("length", "payload_bytes").join(requests, "path", "left")
+        sized = sized.withColumn("request_id", F.coalesce(F.col("request_id").cast("string"), F.col("path")))
+        sized = with_early(read_requests(sized))
+        sized = sized.withColumn("content", F.when(F.col("early.status") == 200, F.col("content")))
+        outcomes = outcomes_of(sized, make_predict, labels, decoder).withColumn("batch_id", F.lit(batch_id))
+
+        def put(df: DataFrame, name: str) -> None:
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_path}/{name}")
+
+        put(outcomes, "outcomes")
+        scored = spark.read.schema(outcomes.schema).parquet(f"{out_path}/outcomes").filter(F.col("batch_id") == batch_id)
+        put(scored.filter("status = 200"), "results")
+        put(scored.filter("status <> 200").select(*REJECT_COLUMNS, "batch_id"), "rejects")
+
+    writer = arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

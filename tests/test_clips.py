@@ -11,12 +11,13 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from sonorum import config
 from sonorum.operators import bundles, outcomes, signal
 from sonorum.plans.classify import classify_audio
 from sonorum.sources import audio as audio_source
 from sonorum.sources.sinks import write_outcomes, write_rejects
 from sonorum.streaming.bundles import bundle_stream
-from sonorum.streaming.clips import classify_stream
+from sonorum.streaming.clips import REJECT_COLUMNS, classify_stream
 
 N_CLASSES = 6
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the executors can't import tests
@@ -145,10 +146,27 @@ def test_stream_equals_batch(spark, folder, labels, tmp_path):
         stream = audio_source.stream_audio(spark, str(folder), max_files=4)
         query = classify_stream(stream, asked, make_predict, labels, str(tmp_path / "out"), str(tmp_path / "state"), availableNow=True)
         query.awaitTermination(120)
-    rows = spark.read.parquet(str(tmp_path / "out"))
-    assert rows.select("batch_id").distinct().count() >= 2
-    assert rows.count() == len(CLIPS) - 1
-    assert {(r["request_id"], r["rule"], r["top_intent"]) for r in rows.collect()} == batch
+    results, rejects = (spark.read.parquet(str(tmp_path / "out" / side)) for side in ("results", "rejects"))
+    assert results.unionByName(rejects, allowMissingColumns=True).select("batch_id").distinct().count() >= 2
+    assert results.count() + rejects.count() == len(CLIPS) - 1
+    assert {(r["request_id"], r["rule"], r["top_intent"]) for r in results.collect()} | {(r["request_id"], r["rule"], None) for r in rejects.collect()} == batch
+    assert set(rejects.columns) == {*REJECT_COLUMNS, "batch_id"} and rejects.filter("detail is null or status = 200").isEmpty()
+
+
+def test_oversize_content_is_not_read(spark, folder, labels, tmp_path, monkeypatch):
+    monkeypatch.setattr(config, "MAX_UPLOAD_BYTES", 20_000)
+    query = classify_stream(audio_source.stream_audio(spark, str(folder)), requests(spark, folder), make_predict, labels, str(tmp_path / "out"), str(tmp_path / "state"), availableNow=True)
+    query.awaitTermination(120)
+    rejects = {r["request_id"]: r["rule"] for r in spark.read.parquet(str(tmp_path / "out" / "rejects")).collect()}
+    assert rejects["sine.wav"] == "too_large" and rejects["cut.wav"] == "undecodable"
+    assert {r["request_id"] for r in spark.read.parquet(str(tmp_path / "out" / "results")).collect()} == {"slow.wav"}
+
+
+def test_requests_with_one_id_or_one_file_each_have_their_outcome(spark, folder, labels):
+    path = f"file:{folder}/sine.wav"
+    asked = spark.createDataFrame([("a", path, "text"), ("a", path, "json"), ("a", f"{path}x", None), ("b", path, "srt")], "request_id string, path string, response_format string")
+    rows = classify_audio(asked, audio_source.scan_audio(spark, str(folder)), make_predict, labels).collect()
+    assert sorted((r["request_id"], r["rule"]) for r in rows) == [("a", "ok"), ("a", "ok"), ("a", "unreadable"), ("b", "bad_format")]
 
 
 def test_bundle_stream_equals_batch(spark, tmp_path):

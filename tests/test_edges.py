@@ -2,11 +2,13 @@ import json
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sonorum.functions import scalars
-from sonorum.operators import admission, bundles, labels, predict, scoring
+from sonorum.operators import admission, bundles, labels, predict, scoring, signal
+from sonorum.session import shared_dir
 from sonorum.sources.labels import read_labels
 
 
@@ -147,3 +149,45 @@ def test_wrong_number_of_results_is_an_error(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "id int, mel array<float>")
     out = predict.score_batches(df, lambda: lambda x: np.zeros((len(x) + 1, 2)), "id").collect()
     assert all(r["error"] and r["logits"] is None for r in out)
+
+
+def test_head_in_blocks_gives_the_same_logits(spark):
+    rng = np.random.default_rng(2)
+    features = spark.createDataFrame([(i, rng.random(4).tolist()) for i in range(20)], "clip_id int, features array<double>")
+    head = spark.createDataFrame([(c, rng.random(4).tolist(), float(c)) for c in range(11)], "class_idx int, weight array<double>, bias double")
+    one = {r["clip_id"]: r["logits"] for r in scoring.linear_head(features, head).collect()}
+    assert one == {r["clip_id"]: r["logits"] for r in scoring.linear_head_in_blocks(features, head, "clip_id", block_classes=3).collect()}
+
+
+def test_a_head_too_large_to_broadcast_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "MAX_PACKED_BYTES", 50)
+    features = spark.createDataFrame([(1, [1.0] * 4)], "clip_id int, features array<double>")
+    head = spark.createDataFrame([(c, [1.0] * 4, 0.0) for c in range(3)], "class_idx int, weight array<double>, bias double")
+    with pytest.raises(Exception, match="linear_head_in_blocks"):
+        scoring.linear_head(features, head).collect()
+
+
+def test_sparse_codes(spark):
+    codes = spark.createDataFrame([(3_000_000,), (0,)], "c bigint")
+    assert labels.missing_codes(codes, "c").count() == 2_999_999
+    assert labels.missing_codes(codes.limit(0), "c").count() == 0
+
+
+def test_list_rows_and_columns():
+    rows = [np.array([1, 2], np.int16), None, np.zeros(0, np.int16), np.array([3], np.int16)]
+    column = signal.list_column(rows, pa.int16())
+    assert column.to_pylist() == [[1, 2], None, [], [3]]
+    assert [None if r is None else r.tolist() for r in signal.list_rows(column.slice(1))] == [None, [], [3]]
+    assert signal.list_column([None], pa.float32()).to_pylist() == [None]
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
