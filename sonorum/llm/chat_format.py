@@ -131,7 +131,7 @@ def format_chats(rows: DataFrame, template: Template = CHAT, conv_col: str = "co
         after = moved(at["state"], turn["role"])
         stopped = at["bad"].isNotNull()
         return F.struct(
-            F.when(~stopped, after).alias("state"), (at["k"] + 1).alias("k"),
+            F.when(stopped, at["state"]).otherwise(F.coalesce(after, at["state"])).alias("state"), (at["k"] + 1).alias("k"),
             F.when(stopped, at["bad"]).when(after.isNull(), at["k"]).alias("bad"),
         )
 
@@ -149,7 +149,7 @@ def format_chats(rows: DataFrame, template: Template = CHAT, conv_col: str = "co
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.flatten(F.transform("turns", segments)).alias("segments"),
-        (F.col("ran.bad").isNull() & F.coalesce(F.col("ran.state").isin(*template.ends), F.lit(False))).alias("valid"),
+        (F.col("ran.bad").isNull() & F.col("ran.state").isin(*template.ends)).alias("valid"),
         F.col("ran.bad").alias("bad_turn"),
     )
 

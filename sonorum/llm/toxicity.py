@@ -127,6 +127,22 @@ def fit_fold(rows: list[np.ndarray], before: np.ndarray, positive: np.ndarray, f
     return np.array([w[rows[i]].sum() + before[i] @ e + b for i in outside]), (w, e, b)
 
 
+def _fold_fitter(category: int, chances: np.ndarray | None, n_folds: int, size: int, strongest: int):
+    """Table of all rows (model, doc_id, words, y, fold) -> (model, fitted); model k leaves fold k out, model n_folds none. chances: of the earlier categories, rows in their one order."""
+
+    def fit(table: pa.Table) -> pa.Table:
+        fold = table.column("model")[0].as_py()
+        got = sorted(zip(*(table.column(c).to_pylist() for c in ("doc_id", "words", "y", "fold")), strict=True))
+        positive, folds = np.array([y[category] for _, _, y, _ in got], bool), np.array([f for _, _, _, f in got])
+        rows = [np.array(w, np.int64) for _, w, _, _ in got]
+        margins, model = fit_fold(rows, np.zeros((len(got), 0)) if chances is None else chances, positive, folds, fold, size, strongest)
+        whole = fold == n_folds
+        packed = pickle.dumps((np.flatnonzero(folds == fold), margins, model if whole else None, positive if whole else None))
+        return pa.table({"model": pa.array([fold], pa.int32()), "fitted": pa.array([packed], pa.binary())})
+
+    return fit
+
+
 def finish_link(margins: np.ndarray, positive: np.ndarray, model: tuple[np.ndarray, np.ndarray, float] | None, size: int, earlier: int) -> Link:
     """The link of a category from its out-of-fold margins and the model of all rows; without both classes it says what all rows say."""
     if model is None:
@@ -172,18 +188,7 @@ def train_chain(
     tasks = numbered.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(n_folds)))).repartition(4 * (n_folds + 1), "model")
     size, links, chances = len(names), [], None
     for category in range(len(categories)):
-        before = chances
-
-        def fit(table: pa.Table, category=category, before=before) -> pa.Table:
-            fold = table.column("model")[0].as_py()
-            got = sorted((d, w, y, f) for d, w, y, f in zip(*(table.column(c).to_pylist() for c in ("doc_id", "words", "y", "fold")), strict=True))
-            positive, folds = np.array([y[category] for _, _, y, _ in got], bool), np.array([f for _, _, _, f in got])
-            features = [np.array(w, np.int64) for _, w, _, _ in got]
-            earlier = np.zeros((len(got), 0)) if before is None else before
-            margins, model = fit_fold(features, earlier, positive, folds, fold, size, strongest)
-            packed = pickle.dumps((np.flatnonzero(folds == fold), margins, model if fold == n_folds else None, positive if fold == n_folds else None))
-            return pa.table({"model": pa.array([fold], pa.int32()), "fitted": pa.array([packed], pa.binary())})
-
+        fit = _fold_fitter(category, chances, n_folds, size, strongest)
         found = {r["model"]: pickle.loads(r["fitted"]) for r in tasks.groupBy("model").applyInArrow(fit, "model int, fitted binary").collect()}
         if not found:  # no labelled row
             return Chain([], [Link(np.zeros(0), np.zeros(k), 0.0, 0.0, -40.0) for k in range(len(categories))])

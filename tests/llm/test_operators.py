@@ -12,10 +12,10 @@ import xxhash
 from oracle import compare
 from pyspark.sql import functions as F
 
-from sonorum.llm import chat_format, decontaminate, langid, mixing, quality, registry, rule_ledger, simhash, suffix_dedup, toxicity, url_rules
+from sonorum.llm import chat_format, decontaminate, langid, linear, mixing, quality, registry, rule_ledger, simhash, suffix_dedup, toxicity, url_rules
 from sonorum.llm.components import connected_components
 
-SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SMALL, MIDDLE, LARGE = (f"/root/testdata/sf{x}" for x in ("0.001", "0.01", "0.1"))
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names the operators use inside.
 CLASH = ("fp", "block", "size", "host", "path", "words", "leaks", "score", "label", "h", "slot", "component_id", "shingles")
@@ -83,21 +83,69 @@ def test_leaks_with_a_changed_word_or_a_cut_end(spark):
     assert {r["doc_id"] for r in decontaminate.contaminated(awkward(spark, rows), pairs).collect()} == set(range(8))
 
 
+def random_items(rng, vocabulary, n, longest=20):
+    return [(i, rng.choices(vocabulary, k=rng.randint(3, longest)), rng.choices(vocabulary, k=3)) for i in range(n)]
+
+
 def test_wand_equals_full_scores():
     rng = random.Random(5)
-    vocabulary = [b"w%d" % k for k in range(60)]
-    items = [(i, rng.choices(vocabulary, k=rng.randint(3, 20)), rng.choices(vocabulary, k=3)) for i in range(41)]
+    vocabulary = [b"w%d" % k for k in range(60)] + [b"r%d" % k for k in range(600)]
+    items = random_items(rng, vocabulary, 90)
     df = Counter(w for _, q, a in items for w in set(q + a))
-    index = decontaminate.ItemIndex(items, df, len(items), 14.0, 3)
-    for _ in range(200):
-        terms = sorted({index.terms[w] for w in rng.sample(vocabulary, 12) if w in index.terms})
+    terms, (index,) = decontaminate.build_indexes(items, df, len(items), 14.0, 3)
+    n_found = n_live = 0
+    for _ in range(300):
+        own = rng.choice(items)
+        words = {*rng.sample(vocabulary, 12), *rng.sample(own[1], min(len(own[1]), rng.randint(0, 12)))}
+        numbers = sorted(terms[w] for w in words if w in terms)
         full = defaultdict(float)
-        for t in terms:
-            for block in range(index.n_blocks):
-                for place, score in index.lists.get(t * index.n_blocks + block, ()):
-                    full[place] += score
-        got = {p: s for b in range(index.n_blocks) for p, s in index.search(terms, b, 0.3)}
-        assert set(got) == {p for p, s in full.items() if s >= 0.3}
+        for t in numbers:
+            for place, score in zip(*index.lists[t][:2]):
+                full[place] += score
+        for threshold in (0.45, 0.6, 0.9):
+            passages, blocks = index.live_blocks(np.full(len(numbers), 1), np.array(numbers), threshold)
+            live = blocks[passages == 1].tolist()
+            got = index.search(numbers, live, threshold) if live else []
+            assert {p for p, _ in got} == {p for p, s in full.items() if s >= threshold}
+            n_found, n_live = n_found + len(got), n_live + len(live)
+    assert n_found > 50 and n_live < 0.5 * 900 * index.n_blocks
+
+
+def test_leaks_do_not_depend_on_blocks_or_other_items(spark):
+    """The same with any max_words, and with a long item among the others or alone."""
+    rng = random.Random(6)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(6, 40))), " ".join(rng.choices(vocabulary, k=rng.randint(3, 9)))) for i in range(30)]
+    items.append((99, " ".join(rng.choices(vocabulary, k=700)), " ".join(rng.choices(vocabulary, k=8))))
+    rows = []
+    for i, q, a in items:
+        for gap in (0, 5, 300):
+            text = [*rng.choices(vocabulary, k=50), *q.split(), *rng.choices(vocabulary, k=gap), *a.split(), *rng.choices(vocabulary, k=50)]
+            rows.append((len(rows), " ".join(text), "en", "a", 1))
+    docs = awkward(spark, rows)
+    frame = spark.createDataFrame(items, "item_id bigint, question string, answer string")
+    found = []
+    for max_words in (500_000, 900, 100):
+        found.append({tuple(r) for r in decontaminate.contaminated(docs, frame, max_words=max_words).collect()})
+        with_column = decontaminate.with_leaks(docs, frame, max_words=max_words).select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.item_id").collect()
+        assert {tuple(r) for r in with_column} == {r[:2] for r in found[-1]}
+    assert found[0] == found[1] == found[2]
+    assert {r[:2] for r in found[0]} >= {(k, items[k // 3][0]) for k in range(len(rows)) if k % 3 < 2}
+    alone = decontaminate.contaminated(docs, frame.filter("item_id = 3")).collect()
+    assert {r["doc_id"] for r in alone} == {r[0] for r in found[0] if r[1] == 3} == {9, 10}
+
+
+def test_odd_bytes_do_not_stop_the_operators(spark):
+    odd = spark.sql("select 1L as doc_id, cast(unhex('61FF6220C3') as string) as text, 'en' as lang, 'a' as source, 1L as n_chars union all select 2L, 'plain words', 'en', 'a', 1L")
+    items = spark.createDataFrame([(1, "plain words", "here")], "item_id bigint, question string, answer string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id bigint, quality int, toxic int")
+    for found in (
+        decontaminate.with_leaks(odd, items), toxicity.classify_toxicity(odd, labels, toxicity.QUERY_CATEGORIES), quality.classify_quality(odd, labels),
+        langid.identify_languages(odd), simhash.near_duplicates(odd), simhash.similar_documents(odd, 7, 2), rule_ledger.ledger(odd), mixing.mix_sources(odd),
+    ):
+        assert len(found.drop("text").collect()) == 2
+    kept = suffix_dedup.remove_repeated_windows(odd).select("doc_id", F.hex("text").alias("h"), "n_bytes").collect()
+    assert {r["doc_id"]: (r["h"], r["n_bytes"]) for r in kept}[1] == ("61FF6220C3", 5)
 
 
 def test_leak_edges(spark):
@@ -153,35 +201,61 @@ def test_mix_edges(spark):
     rows = mixing.mix_sources(awkward(spark)).collect()
     assert len(rows) == 12 and all(r["copies"] in (0, 1, 2) for r in rows)
     assert {r["source"] for r in rows} == {None, "", "a", "b", "c"}
+    size = {(r["doc_id"], r["source"]): r["size"] for r in rows}
+    assert size[1, None] == size[2, ""] == size[3, "a"] == 0 and size[5, "b"] == 30_000 and size[8, "c"] == 1
+    assert all(r["copies"] == 0 for r in rows if not r["size"])
+    of_b = [r for r in rows if r["source"] == "b"]
+    assert abs(sum(r["taken"] for r in of_b) - of_b[0]["target"]) <= 15_000  # whole documents of 30,000 words
     assert mixing.mix_sources(awkward(spark, [])).count() == 0
     assert all(r["taken"] == 0 for r in mixing.mix_sources(awkward(spark, [(1, None, None, None, None)])).collect())
 
 
-def test_fit_is_a_best_subset():
+def all_sums(lengths, counts):
+    sums = {0}
+    for n, c in zip(lengths, counts):
+        sums = {s + n * k for s in sums for k in range(2 * c + 1)}
+    return sums
+
+
+def test_plan_is_nearest_of_all_sums():
     rng = random.Random(2)
-    for _ in range(200):
-        lengths = rng.sample(range(1, 30), 5)
-        counts = [rng.randint(0, 4) for _ in lengths]
-        budget = rng.randint(0, 150)
-        sums = {0}
-        for n, c in zip(lengths, counts):
-            sums = {s + n * k for s in sums for k in range(c + 1)}
-        taken = mixing.fit_lengths(lengths, counts, budget)
-        assert all(0 < k <= counts[lengths.index(n)] for n, k in taken.items())
-        assert sum(n * k for n, k in taken.items()) == max(s for s in sums if s <= budget)
+    for _ in range(600):
+        top = rng.choice([10, 60, 400, 200_000, 30_000_000])
+        lengths = rng.sample(range(1, top + 1), rng.randint(1, 5))
+        counts = [rng.randint(0, 3) for _ in lengths]
+        target = rng.random() * 2 * sum(n * c for n, c in zip(lengths, counts))
+        options = rng.choice([{}, {"reaches": (16, 64, 1 << 12)}])
+        taken = mixing.plan_source(lengths, counts, target, **options)
+        assert all(0 < k <= 2 * counts[lengths.index(n)] for n, k in taken.items())
+        assert abs(sum(n * k for n, k in taken.items()) - target) <= min(abs(s - target) for s in all_sums(lengths, counts)) + 1e-6
+
+
+def test_plans_of_long_and_of_single_documents():
+    assert mixing.plan_source([70_000, 100_000, 101_000], [1, 1, 1], 170_000) == {70_000: 1, 100_000: 1}
+    assert mixing.plan_source([100], [1], 199) == {100: 2} and mixing.plan_source([100], [1], 149) == {100: 1}
+    assert mixing.plan_source([], [], 0) == mixing.plan_source([0], [5], 0) == {}
+    rng = random.Random(3)
+    lengths = rng.sample(range(1, 60_000), 3000)
+    counts = [rng.randint(1, 40) for _ in lengths]
+    total = sum(n * c for n, c in zip(lengths, counts))
+    for share in (0.1, 0.9, 1.5, 2.0):
+        taken = mixing.plan_source(lengths, counts, share * total)
+        assert abs(sum(n * k for n, k in taken.items()) - share * total) <= 0.5
+    even = mixing.plan_source([2 * n for n in lengths], counts, total + 1)  # only even sums can be reached
+    assert abs(2 * sum(n * k for n, k in zip(lengths, [even.get(2 * n, 0) for n in lengths])) - total - 1) <= 1
 
 
 # ---- 3, 4, 10 ---------------------------------------------------------------------------------
 
 
 def test_toxicity_on_unseen_rows(spark):
-    docs, labels = spark.read.parquet(f"{MIDDLE}/documents.parquet"), spark.read.parquet(f"{MIDDLE}/labels.parquet")
+    """Never or always toxic fails both. A smaller table has too few toxic rows to learn from."""
+    docs, labels = spark.read.parquet(f"{LARGE}/documents.parquet"), spark.read.parquet(f"{LARGE}/labels.parquet")
     unseen = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
     out = toxicity.classify_toxicity(docs, labels.filter(~unseen), toxicity.QUERY_CATEGORIES)
     rows = out.join(labels.filter(unseen).select("doc_id", F.col("toxic").alias("y")), "doc_id").collect()
-    right = [r["toxic"] == bool(r["y"]) for r in rows]
-    assert sum(right) / len(right) > 0.85
-    assert not any(r["toxic"] for r in rows if not r["y"])
+    hits = sum(r["toxic"] and r["y"] for r in rows)
+    assert hits / sum(r["y"] for r in rows) >= 0.85 and hits / sum(r["toxic"] for r in rows) >= 0.95
     assert all(0 <= r["p_toxic"] <= 1 for r in rows)
 
 
@@ -189,23 +263,76 @@ def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 1), (5, None, None), (None, 1, 1), (7, 1, 1), (7, 1, 1)], "doc_id bigint, quality int, toxic int")
     for known in (labels, labels.limit(0), labels.filter("toxic = 0")):
         rows = toxicity.classify_toxicity(awkward(spark), known, toxicity.QUERY_CATEGORIES).collect()
-        assert len(rows) == 12
+        assert Counter(r["doc_id"] for r in rows) == Counter([1, 2, 3, 4, 5, 6, 6, None, None, 7, 8, 9])
+        of = defaultdict(set)
+        for r in rows:
+            of[r["doc_id"]].add((r["p_low_quality"], r["p_toxic"]))
+        assert of[1] == of[2] == of[3] and of[5] == of[6] and len(of[6]) == 1  # no words; equal texts
     assert not any(r["toxic"] for r in rows)
     assert toxicity.classify_toxicity(awkward(spark, []), labels, toxicity.QUERY_CATEGORIES).count() == 0
 
 
-def test_later_links_learn_from_out_of_fold_chances():
+def plain_chain(names, texts, labels, folds, n_folds):
+    """The chain with dense matrices, row by row."""
+    x = np.array([[n in t for n in names] for t in texts], float)
+    chances, links = np.zeros((len(texts), 0)), []
+    for y in labels.T:
+        def model(rows):
+            one, none = 1 + x[rows][y[rows]].sum(axis=0), 1 + x[rows][~y[rows]].sum(axis=0)
+            r = np.log(one / one.sum() / (none / none.sum()))
+            z = np.c_[x * r, chances, np.ones(len(x))]
+            w, dual = np.zeros(z.shape[1]), np.zeros(len(x))
+            most = 0.1 * np.where(y, len(rows) / (2 * y[rows].sum()), len(rows) / (2 * (~y[rows]).sum()))
+            order = np.random.default_rng(3)
+            for _ in range(10):
+                for i in rows[order.permutation(len(rows))]:
+                    s = 1 if y[i] else -1
+                    new = min(max(dual[i] - (s * (z[i] @ w) - 1) / (z[i] @ z[i]), 0), most[i])
+                    w, dual[i] = w + (new - dual[i]) * s * z[i], new
+            return z @ w
+        out = np.zeros(len(x))
+        for fold in range(n_folds):
+            out[folds == fold] = model(np.flatnonzero(folds != fold))[folds == fold]
+        slope, shift = toxicity.fit_sigmoid(out, y)
+        links.append(1 / (1 + np.exp(-(slope * model(np.arange(len(x))) + shift))))
+        chances = np.c_[chances, 1 / (1 + np.exp(-(slope * out + shift)))]
+    return chances
+
+
+def sparse_chain(names, texts, labels, folds, n_folds):
+    place = {n: k for k, n in enumerate(names)}
+    rows = [np.array(sorted(place[w] for w in t)) for t in texts]
+    chances, links = np.zeros((len(texts), 0)), []
+    for y in labels.T:
+        margins = np.zeros(len(texts))
+        for fold in range(n_folds):
+            margins[folds == fold], _ = toxicity.fit_fold(rows, chances, y, folds, fold, len(names), 20_000)
+        _, model = toxicity.fit_fold(rows, chances, y, folds, n_folds, len(names), 20_000)
+        links.append(toxicity.finish_link(margins, y, model, len(names), chances.shape[1]))
+        chances = np.c_[chances, links[-1].chances(margins)]
+    return chances, toxicity.Chain(names, links)
+
+
+def test_chain_equals_a_dense_version():
     rng = np.random.default_rng(4)
-    texts_, labels = [], []
-    for _ in range(400):
-        a = rng.random() < 0.5
-        texts_.append({b"bad" if a else b"fine", b"n%d" % rng.integers(5)})
-        labels.append((a, a))
-    chain = toxicity.fit_chain(texts_, np.array(labels), rng.integers(0, 4, 400))
-    before = [chain[0].chance({b"bad"}, [])]
-    assert before[0] > 0.9 and chain[1].chance({b"bad"}, before) > 0.9
-    assert chain[1].chance({b"fine"}, [chain[0].chance({b"fine"}, [])]) < 0.1
-    assert len(chain[1].earlier) == 1 and chain[1].earlier[0] > 0
+    names = sorted(b"n%d" % k for k in range(12)) + [b"zbad", b"zfine"]
+    texts_ = [{names[k] for k in rng.integers(0, 12, 4)} | {names[12 + (rng.random() < 0.5)]} for _ in range(120)]
+    labels = np.array([(b"zbad" in t, (b"zbad" in t) != (rng.random() < 0.1)) for t in texts_])
+    folds = rng.integers(0, 3, 120)
+    got, chain = sparse_chain(names, texts_, labels, folds, 3)
+    assert np.allclose(got, plain_chain(names, texts_, labels, folds, 3), atol=2e-3)
+    assert len(chain.links[1].earlier) == 1 and chain.links[1].earlier[0] > 0
+    bad, fine = chain.chances([b"zbad n1", b"zfine n1"])
+    assert bad.min() > 0.8 and fine.max() < 0.2
+
+
+def test_features_of_the_model_are_those_of_the_text():
+    found = sorted(toxicity.word_set("abcdef abcxyz abcd Abcdq x"))
+    links = [toxicity.Link(np.arange(1.0, len(found) + 1), np.zeros(0), 0.0, 1.0, 0.0)]
+    chain = toxicity.Chain(found, links)
+    for text in ("abcdef abcxyz", "abcd abcdef abcdq", "", None, "x y z"):
+        assert [chain.names[k] for k in chain.features(text)] == sorted(toxicity.word_set(text) & set(found))
+    assert b"abcd*2" in found and b"abcd*4" not in found
 
 
 def test_quality_on_held_out_rows(spark):
@@ -219,11 +346,36 @@ def test_quality_on_held_out_rows(spark):
     assert sum(r["predicted"] == r["quality"] for r in held) / len(held) > 0.95
 
 
+def test_coordinate_descent_reaches_the_dense_optimum():
+    """The dual of the hinge loss at its optimum: a dense fit by small steps finds no better primal value."""
+    rng = np.random.default_rng(8)
+    rows = [np.unique(rng.integers(0, 15, 5)) for _ in range(60)]
+    y = np.array([(3 in r) or rng.random() < 0.2 for r in rows])
+    values = [np.ones(len(r)) / np.sqrt(len(r)) for r in rows]
+    x = np.zeros((60, 16))
+    for i, (r, v) in enumerate(zip(rows, values)):
+        x[i, r], x[i, 15] = v, 1.0
+    s = np.where(y, 1.0, -1.0)
+    cost = np.where(y, 60 / (2 * y.sum()), 60 / (2 * (~y).sum()))
+    value = lambda w: 0.5 * w @ w + (cost * np.maximum(0, 1 - s * (x @ w))).sum()
+    got = value(linear.dual_coordinate_descent(rows, values, y, 15, epochs=400))
+    w, best = np.zeros(16), np.inf
+    for step in range(1, 40_000):
+        w = w - (w - x.T @ (cost * s * (s * (x @ w) < 1))) / (step + 10)
+        best = min(best, value(w))
+    assert got <= best * 1.001
+
+
 def test_quality_edges(spark):
     labels = spark.createDataFrame([(1, 1), (4, 0), (None, 1), (5, None), (7, 1), (7, 1)], "doc_id bigint, quality int")
     for known in (labels, labels.limit(0)):
         rows = quality.classify_quality(awkward(spark), known).collect()
         assert len(rows) == 12 and all(0 <= r["score"] <= 1 for r in rows)
+        of = defaultdict(set)
+        for r in rows:
+            of[r["doc_id"]].add((r["score"], r["predicted"]))
+            assert r["predicted"] == int(r["score"] >= 0.5)
+        assert of[1] == of[2] and of[5] == of[6] and len(of[6]) == 1
     assert quality.classify_quality(awkward(spark, []), labels).count() == 0
 
 
@@ -244,6 +396,17 @@ def test_language_edges(spark):
     assert langid.identify_languages(awkward(spark, [(1, "text", None, None, 1)])).first()["lang_pred"] == "und"
 
 
+def test_vectors_equal_a_plain_version():
+    p = langid.Profiler(256, 5)
+    for text in ("the cat, The Hat", "приветик мир", "日本語 テキスト", "aé ßx"):
+        codes = [c if c.isalpha() else "" for c in f" {text.lower()} "]
+        letter = lambda c: np.random.default_rng((5, ord(c) if c else 0)).integers(0, 2, 256, np.int8) * 2 - 1
+        total = sum(np.roll(letter(codes[i - 1]), 2) * np.roll(letter(codes[i]), 1) * letter(codes[i + 1]).astype(int) for i in range(1, len(codes) - 1) if codes[i])
+        assert np.allclose(p.vector(text), total / np.linalg.norm(total), atol=1e-5)
+    a, b = p.vector("приветик мир"), p.vector("бсюжжчэц эщо")
+    assert abs(a @ b) < 0.4  # other letters of one script are other letters
+
+
 def test_trigrams_count_letters_once():
     p = langid.Profiler(64, 1)
     grams, counts = p.trigrams("ab ab")
@@ -335,6 +498,47 @@ def test_chat_round_trip(spark):
     assert chat_format.format_chats(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("template", [
+    chat_format.Template(footer=" <|end|>\n"),
+    chat_format.Template(names={"user": "human"}, opening="<|turn|>", colon="<|says|>", footer="<|end|>", loss_roles=("user", "tool")),
+])
+def test_other_templates_read_back(spark, template):
+    rng = random.Random(2)
+    pieces = ["\\", "#", "###", "<|end|>", "<|turn|>", "<|says|>", " <|end|>\n", "<|end|", "|>", "<", "\\f", "\\d", ": ", "é"]
+    rows = [(c, t, rng.choice(["user", "assistant", "tool<|says|>: ", "", "="]), "".join(rng.choices(pieces, k=rng.randint(0, 6)))) for c in range(60) for t in range(4)]
+    chats = chat_format.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string"), template)
+    text = chat_format.joined(F.col("segments"))
+    mask = chat_format.loss_mask(F.col("segments"))
+    got = {r["conv_id"]: r for r in chats.select("conv_id", chat_format.parse_chats(text, template).alias("turns"), chat_format.masked_text(text, mask, template).alias("loss")).collect()}
+    for conv in range(60):
+        said = [(r, x) for c, _, r, x in rows if c == conv]
+        assert [(t["role"], t["text"]) for t in got[conv]["turns"]] == said
+        assert got[conv]["loss"] == "".join(x for r, x in said if r in template.loss_roles)
+
+
+def test_ambiguous_templates_are_errors():
+    for wrong in ({"footer": "\n", "controls": ("###",)}, {"colon": ""}, {"footer": "a\\"}, {"names": {"user": "a: b"}}, {"controls": ("aba", "</turn>"), "footer": "ba</turn>"}, {"names": {"a": "X", "b": "X"}}):
+        with pytest.raises(ValueError):
+            chat_format.Template(**wrong)
+
+
+def test_very_long_roles_and_texts(spark):
+    long = "r: \\#</turn>" * 10_000
+    df = spark.createDataFrame([(1, 0, long, "x"), (1, 1, "user", long)], "conv_id int, turn int, role string, text string")
+    chats = chat_format.format_chats(df).select(chat_format.parse_chats(chat_format.joined(F.col("segments"))).alias("turns")).first()
+    assert [tuple(t) for t in chats["turns"]] == [(long, "x"), ("user", long)]
+
+
+def test_states_are_not_roles(spark):
+    """At most two questions before an answer."""
+    template = chat_format.Template(start="s0", moves=(("s0", "user", "s1"), ("s1", "user", "s2"), ("s1", "assistant", "s0"), ("s2", "assistant", "s0")), ends=("s0",))
+    turns = {1: "ua", 2: "uua", 3: "uuua", 4: "uau", 5: "au"}
+    rows = [(c, t, {"u": "user", "a": "assistant"}[r], "x") for c, told in turns.items() for t, r in enumerate(told)]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    got = {r["conv_id"]: (r["valid"], r["bad_turn"]) for r in chat_format.format_chats(df, template).collect()}
+    assert got == {1: (True, None), 2: (True, None), 3: (False, 2), 4: (False, None), 5: (False, 0)}
+
+
 def test_chat_turn_order(spark):
     rows = [(1, 0, "system"), (1, 1, "user"), (1, 2, "assistant"), (2, 0, "user"), (2, 1, "user"), (2, 2, "assistant"), (3, 0, "user")]
     df = spark.createDataFrame([(c, t, r, "x") for c, t, r in rows], "conv_id bigint, turn bigint, role string, text string")
@@ -534,6 +738,19 @@ def test_suffix_edges(spark):
     assert suffix_dedup.remove_repeated_windows(awkward(spark, [])).count() == 0
 
 
+def test_messages_stay_large_at_any_size(spark):
+    for total in (10**7, 10**10, 10**12, 10**14):
+        blocks, buckets = suffix_dedup.deal_sizes(total, 4 << 20, 8 << 20)
+        assert total / 16 / (blocks * buckets) >= 999 and blocks * buckets <= total / 15_900 + 1
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    blocks, buckets = suffix_dedup.deal_sizes(total, 2_000, 3_000)  # as of 1,000 times the input
+    assert total / 16 / (blocks * buckets) >= 999
+    small = docs.filter("doc_id < 150")
+    got = [sorted(map(tuple, suffix_dedup.remove_repeated_windows(small, **o).drop("text").collect())) for o in ({}, {"block_bytes": 2_000, "bucket_bytes": 3_000})]
+    assert got[0] == got[1]
+
+
 @pytest.mark.parametrize("window", [20, 50, 64, 130])
 def test_other_windows(spark, window):
     rng = random.Random(window)
