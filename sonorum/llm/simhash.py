@@ -167,7 +167,8 @@ def near_links(distinct: DataFrame, budget: int = 2, whole: int = 1, max_group:
     """a, b: links among distinct fingerprints (column fp) that connect all that differ in at most `budget` bits.
 
     Of the links inside one trie only a spanning forest of the closest is returned, so rows stay
-    below the number of tries times the fingerprints, and components are those of all links.
+    below the number of tries times the fingerprints, and components are those of all links. Only the
+    values of tops that are cut again are listed apart from the fingerprints.
     """
     choices = math.comb(budget + whole, whole)
     rest = distinct.select(F.lit(0).alias("trie"), F.col("fp"))
@@ -178,17 +179,15 @@ def near_links(distinct: DataFrame, budget: int = 2, whole: int = 1, max_group:
         tries = F.array(*[F.lit(_mask(bits)).cast("bigint") for bits in masks])
         at = rest.select("fp", F.explode(children).alias("trie"))
         at = at.withColumn("top", F.col("fp").bitwiseAND(F.get(tries, F.col("trie"))))
-        sizes = at.groupBy("trie", "top").count().filter("count > 1")
-        at = at.join(sizes, ["trie", "top"])
-        deepest = 64 - len(masks[0]) <= 12
-        small = at if deepest else at.filter(F.col("count") <= max_group)
-        links = _joined_tries(small, masks, budget)
-        if not deepest:
-            rest = at.filter(F.col("count") > max_group).select("trie", "fp")
+        if 64 - len(masks[0]) <= 12:  # a group has 4,096 fingerprints at most
+            return _joined_tries(at, masks, budget) if found is None else found.unionByName(_joined_tries(at, masks, budget))
+        heavy = materialize(at.groupBy("trie", "top").count().filter(F.col("count") > max_group).select("trie", "top"), "heavy")
+        none = heavy.isEmpty()
+        links = _joined_tries(at if none else at.join(heavy, ["trie", "top"], "left_anti"), masks, budget)
         found = links if found is None else found.unionByName(links)
-        if deepest or rest.isEmpty():
+        if none:
             return found
-        rest = materialize(rest, "tries")
+        rest = materialize(at.join(heavy, ["trie", "top"], "left_semi").select("trie", "fp"), "tries")
 
 
 def _joined_tries(rows: DataFrame, masks: list[list[int]], budget: int) -> DataFrame:
@@ -202,6 +201,10 @@ def _joined_tries(rows: DataFrame, masks: list[list[int]], budget: int) -> DataF
         trie = table.column("trie").to_numpy()
         top = table.column("top").to_numpy()
         fps = table.column("fp").to_numpy().view(np.uint64)
+        order = np.lexsort((top, trie))
+        alike = (trie[order][1:] == trie[order][:-1]) & (top[order][1:] == top[order][:-1])
+        own = order[np.r_[False, alike] | np.r_[alike, False]]  # a fingerprint alone under its top has no partner there
+        trie, top, fps = trie[own], top[own], fps[own]
         for t in np.unique(trie):
             own = np.flatnonzero(trie == t)
             order = own[np.argsort(top[own], kind="stable")]
@@ -313,8 +316,29 @@ def _least_share(similarity: float, n: Column) -> Column:
     return F.ceil(similarity * n - 1e-9).cast("int")
 
 
+#: Words of 64 bits of a set's bitmap.
+BITMAP = 8
+
+
+def bitmaps(sets: DataFrame) -> DataFrame:
+    """node, bits: for each of 64 * BITMAP slots whether an odd number of the set's hashes fall there.
+
+    Two sets differ in at least as many hashes as their bitmaps differ in bits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(1).offsets.to_numpy()
+            slots = (batch.column(1).values.to_numpy().view(np.uint64) >> np.uint64(17)) % np.uint64(64 * BITMAP)
+            odd = [np.packbits(np.bincount(slots[a:b].astype(np.int64), minlength=64 * BITMAP).astype(np.uint8) & 1) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            flat = np.concatenate(odd).view(np.int64) if odd else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(odd) + 1) * BITMAP, pa.int32()), pa.array(flat))], ["node", "bits"])
+
+    return sets.select("node", "hashes").mapInArrow(run, "node bigint, bits array<bigint>")
+
+
 def token_sets(sets: DataFrame, similarity: float) -> DataFrame:
-    """node, n, lone, token: the tokens by which sets (node, hashes) find each other, and how many shingles of a node no other set has.
+    """node, n, lone, bits, token: the tokens by which sets (node, hashes) find each other, and how many shingles of a node no other set has.
 
     Two sets of the similarity share a token. A node's shingles are in order of how many sets hold
     them, and its tokens are the first of them, without the `lone` ones, which no pair shares. A set
@@ -332,29 +356,35 @@ def token_sets(sets: DataFrame, similarity: float) -> DataFrame:
     ordered = held.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("tokens"))
     ordered = ordered.withColumn("lone", F.col("n") - F.size("tokens"))
     wanted = F.col("n") - _least_share(similarity, F.col("n")) + 1 - F.col("lone")
-    return ordered.filter(wanted > 0).select("node", "n", "lone", F.explode(F.slice("tokens", F.lit(1), wanted)).alias("t")).select("node", "n", "lone", "t.token")
+    listed = ordered.filter(wanted > 0).select("node", "n", "lone", F.slice("tokens.token", F.lit(1), wanted).alias("token")).join(bitmaps(sets), "node")
+    return listed.select("node", "n", "lone", "bits", F.explode("token").alias("token"))
+
 
+def _can_be(similarity: float, one: str, other: str) -> Column:
+    """Whether two sets (structs with n, lone and bits) can have the similarity.
 
-def _can_be(similarity: float, n: str, lone: str, m: str, alone: str) -> Column:
-    """Whether sets of n and m shingles, of which so many are in no other set, can have the similarity."""
-    shared = F.least(F.col(n) - F.col(lone), F.col(m) - F.col(alone))
-    return (shared >= similarity * (shared + F.col(lone) + F.col(alone)) - 1e-9) & (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9)
+    They share no lone shingle, and differ in at least as many shingles as their bitmaps differ in bits.
+    """
+    n, m, lone, alone = F.col(f"{one}.n"), F.col(f"{other}.n"), F.col(f"{one}.lone"), F.col(f"{other}.lone")
+    shared = F.least(n - lone, m - alone)
+    apart = sum((F.bit_count(F.get(f"{one}.bits", F.lit(k)).bitwiseXOR(F.get(f"{other}.bits", F.lit(k)))) for k in range(BITMAP)), F.lit(0))
+    return (shared >= similarity * (shared + lone + alone) - 1e-9) & (n + m - apart >= similarity * (n + m + apart) - 1e-9) & (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9)
 
 
 def likely_pairs(tokens: DataFrame, similarity: float, order: Column) -> DataFrame:
-    """x, y: for every node the likeliest partner of another root, by tokens (node, root, n, lone, token).
+    """x, y: for every node the likeliest partner of another root, by tokens (node, root, n, lone, bits, token).
 
     A token names its first node in `order`, to nodes of that root its first of another. Only least
     values of tokens are aggregated, so no token is too frequent, and a node gets one partner, the one that most
     of its tokens name.
     """
-    name = F.struct(order.alias("o"), F.col("lone").alias("lone"), F.col("node").alias("node"), F.col("root").alias("root"), F.col("n").alias("n"))
+    name = F.struct(order.alias("o"), "lone", "node", "root", "n", "bits")
     named = tokens.withColumn("own", name)
     first = named.groupBy("token").agg(F.min("own").alias("first"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token", "first")
     met = named.join(first, "token")
     second = met.filter(F.col("root") != F.col("first.root")).groupBy("token").agg(F.min("own").alias("second"))
     met = met.join(second, "token").withColumn("other", F.when(F.col("root") != F.col("first.root"), F.col("first")).otherwise(F.col("second")))
-    pairs = met.select(F.col("node").alias("x"), "n", "lone", F.col("other.node").alias("y"), F.col("other.n").alias("m"), F.col("other.lone").alias("alone")).filter(_can_be(similarity, "n", "lone", "m", "alone"))
+    pairs = met.filter(_can_be(similarity, "own", "other")).select(F.col("node").alias("x"), F.col("other.node").alias("y"), F.col("other.lone").alias("alone"))
     named = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"), F.min("alone").alias("alone"))
     best = named.groupBy("x").agg(F.max_by("y", F.struct(F.col("c"), -F.col("alone"), -F.col("y"))).alias("y"))
     return best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
@@ -382,18 +412,22 @@ def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) ->
                 if keys[begin] != group:
                     yield from meet(parts)
                     group, parts = keys[begin], []
-                parts.append([batch.column(c).to_numpy(zero_copy_only=False)[begin:end] for c in ("node", "root", "n", "lone", "minor")])
+                own = batch.slice(begin, end - begin)
+                bits = own.column("bits").flatten().to_numpy().view(np.uint64).reshape(-1, BITMAP)
+                parts.append([*(own.column(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n", "lone", "minor")), bits])
         yield from meet(parts)
 
     def meet(parts: list) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
-        node, root, n, lone, minor = (np.concatenate(c) for c in zip(*parts, strict=True))
+        node, root, n, lone, minor, bits = (np.concatenate(c) for c in zip(*parts, strict=True))
         found, held = [], 0
         for k in np.flatnonzero(minor):
             shared = np.minimum(n - lone, n[k] - lone[k])
             close = (shared >= similarity * (shared + lone + lone[k]) - 1e-9) & (np.minimum(n, n[k]) >= similarity * np.maximum(n, n[k]) - 1e-9)
-            other = node[close & (root != root[k]) & (~minor | (node < node[k]))]
+            at = np.flatnonzero(close & (root != root[k]) & (~minor | (node < node[k])))
+            apart = np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1, dtype=np.int64)
+            other = node[at[n[at] + n[k] - apart >= similarity * (n[at] + n[k] + apart) - 1e-9]]
             found.append(np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])]))
             held += len(other)
             if held >= 100_000:
@@ -404,7 +438,7 @@ def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) ->
             x, y = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
-    dealt = met.select("token", "shard", "node", "root", "n", "lone", "minor").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "shard").sortWithinPartitions("token", "shard")
+    dealt = met.select("token", "shard", "node", "root", "n", "lone", "minor", "bits").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "shard").sortWithinPartitions("token", "shard")
     return dealt.mapInArrow(run, "x bigint, y bigint").distinct()
 
 

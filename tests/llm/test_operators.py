@@ -595,7 +595,7 @@ def test_spark_hashes_shingles_alike(spark):
     assert spark.range(1).select(F.xxhash64(F.lit(said)).alias("h")).first()["h"] % 2**64 == xxhash.xxh64_intdigest(said.encode(), 42)
 
 
-@pytest.mark.parametrize(("budget", "whole", "most"), [(2, 1, 4096), (2, 1, 3), (4, 2, 4096), (4, 2, 2)])
+@pytest.mark.parametrize(("budget", "whole", "most"), [(2, 1, 4096), (2, 1, 3), (4, 2, 4096), (4, 2, 8)])
 def test_trie_links_connect_all_near_pairs(spark, budget, whole, most):
     rng = random.Random(budget)
     fps = set()

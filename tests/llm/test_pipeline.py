@@ -4,9 +4,11 @@ import duckdb
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from sonorum.llm.common import materialize
+from llm.test_operators import by_union, similar_pairs
+from sonorum.llm import simhash
+from sonorum.llm.common import drop_tables, materialize
 
-SF = "/root/testdata/sf0.001"
+SF, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -49,5 +51,21 @@ def test_texts_with_one_doc_id_all_stay_unless_copied(spark):
         assert sorted(kept) == sorted([(1, one.upper(), "en", "c", 1), (1, two, "en", "a", 1), (2, three, "en", "a", 1)])
 
 
+def test_near_copies_of_the_table_are_one_group(spark):
+    """Every pair of different texts with a similarity of 0.8 or more, and no other, by all texts that share a shingle."""
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+    pairs = similar_pairs(rows)
+    texts = {i: t.encode().lower().split() for i, t in rows}
+    assert sum(texts[a] != texts[b] for a, b in pairs) >= 5
+    want = by_union({i for i, _ in rows}, [*pairs, *((min(i for i, u in texts.items() if u == t), k) for k, t in texts.items())])
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs, pipeline.NEAR_BITS, whole=2, min_shingles=pipeline.LEAST_SHINGLES, max_group=1024).collect()}
+    assert got == want
+    kept = {r["doc_id"] for r in pipeline.near_dedup(spark, docs, MIDDLE).collect()}
+    assert kept == set(want.values())
+
+
 def test_run(spark):
+    drop_tables(spark)
     assert pipeline.run(spark, SF).count() > 100
+    drop_tables(spark)
