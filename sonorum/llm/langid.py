@@ -27,7 +27,7 @@ class Profiler:
     """Texts to hypervectors. Every letter, of whatever script, has its own seeded vector; 0 is no letter."""
 
     def __init__(self, dims: int, seed: int):
-        self.dims, self.seed, self.size = dims, seed, 0
+        self.dims, self.seed, self.size, self.bits = dims, seed, 0, 10
         self.numbers = np.full(0x110000, -1, np.int32)  # code point -> symbol; -1: not met yet
         self.places = [np.zeros((256, dims), np.int8) for _ in range(3)]
         self._add([0])
@@ -47,18 +47,19 @@ class Profiler:
             self.size += 1
 
     def trigrams(self, text: str | bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Trigrams around each letter as numbers (21 bits a letter), with counts; what stands beside a word is symbol 0.
+        """Trigrams around each letter as numbers (`bits` bits a letter), with counts; what stands beside a word is symbol 0.
 
         Bytes that are no UTF-8 are no letters.
         """
         said = text.decode("utf-8", "replace") if isinstance(text, bytes) else text
-        points = np.frombuffer(said.lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        points = np.frombuffer(said.lower().encode("utf-32-le", "surrogatepass"), "<u4")
         codes = self.numbers[points]
         if len(codes) and codes.min() < 0:
             self._add(np.unique(points[codes < 0]).tolist())
             codes = self.numbers[points]
-        codes = np.concatenate(([0], codes, [0])).astype(np.int64)
-        found = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[codes[1:-1] > 0]
+        self.bits = 10 if self.size <= 1024 else 21
+        codes = np.concatenate(([0], codes, [0])).astype(np.int32 if self.bits == 10 else np.int64)
+        found = (codes[:-2] << 2 * self.bits | codes[1:-1] << self.bits | codes[2:])[codes[1:-1] > 0]
         found.sort()
         starts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, np.int64)
         return found[starts], np.diff(np.r_[starts, len(found)])
@@ -68,10 +69,10 @@ class Profiler:
         grams, counts = self.trigrams(text or "")
         if not len(grams):
             return None
-        total, low = np.zeros(self.dims, np.float32), (1 << 21) - 1
+        total, low = np.zeros(self.dims, np.float32), (1 << self.bits) - 1
         for k in range(0, len(grams), AT_ONCE):
             g = grams[k : k + AT_ONCE]
-            bound = self.places[0][g >> 42] * self.places[1][g >> 21 & low] * self.places[2][g & low]
+            bound = self.places[0][g >> 2 * self.bits] * self.places[1][g >> self.bits & low] * self.places[2][g & low]
             total += counts[k : k + AT_ONCE].astype(np.float32) @ bound.astype(np.float32)
         norm = float(np.sqrt(total @ total))
         return total / norm if norm else total

@@ -132,10 +132,14 @@ def _fold_fitter(category: int, chances: np.ndarray | None, n_folds: int, size:
 
     def fit(table: pa.Table) -> pa.Table:
         fold = table.column("model")[0].as_py()
-        got = sorted(zip(*(table.column(c).to_pylist() for c in ("doc_id", "words", "y", "fold")), strict=True))
-        positive, folds = np.array([y[category] for _, _, y, _ in got], bool), np.array([f for _, _, _, f in got])
-        rows = [np.array(w, np.int64) for _, w, _, _ in got]
-        margins, model = fit_fold(rows, np.zeros((len(got), 0)) if chances is None else chances, positive, folds, fold, size, strongest)
+        words = table.column("words").combine_chunks()
+        ends, numbers = words.offsets.to_numpy(), words.values.to_numpy()
+        rows = [numbers[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        ids, y, of_row = (table.column(c).to_pylist() for c in ("doc_id", "y", "fold"))
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], y[i], of_row[i], rows[i].tobytes()))
+        rows, folds = [rows[i] for i in order], np.array([of_row[i] for i in order])
+        positive = np.array([y[i][category] for i in order], bool)
+        margins, model = fit_fold(rows, np.zeros((len(rows), 0)) if chances is None else chances, positive, folds, fold, size, strongest)
         whole = fold == n_folds
         packed = pickle.dumps((np.flatnonzero(folds == fold), margins, model if whole else None, positive if whole else None))
         return pa.table({"model": pa.array([fold], pa.int32()), "fitted": pa.array([packed], pa.binary())})
