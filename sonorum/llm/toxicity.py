@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import materialize, read_table
+from sonorum.llm.common import count_partitions, materialize, read_table
 from sonorum.llm.linear import dual_coordinate_descent, fit_sigmoid, log_count_ratios, sigmoid
 
 #: ASCII letters to lower case; other ASCII characters that are no letter or digit to space.
@@ -177,6 +177,7 @@ def train_chain(
 
     ids = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y", "fold")
+    rows = rows.repartition(count_partitions(spark))  # few rows of much work
     sample = materialize(rows.mapInArrow(extract, f"doc_id {ids}, words array<binary>, y array<int>, fold int"), "sample")
     common = sample.select(F.explode("words").alias("word")).groupBy("word").count().filter(F.col("count") >= min_docs)
     names = sorted(bytes(r["word"]) for r in common.orderBy(F.desc("count"), "word").limit(max_features).collect())
