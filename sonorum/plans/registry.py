@@ -437,13 +437,12 @@ top AS (SELECT vec_id, max(e) AS top FROM mel GROUP BY vec_id)"""
 
 
 @_query("d4_log_mel", f"""WITH {_MEL_SQL}
-SELECT vec_id, 80 * 3000 AS n, count(*) FILTER (WHERE f = 50) AS n_bands, round(sum((greatest(e, top - 8) + 4) / 4) FILTER (WHERE f = 50), 2) AS heard, least(3000, (200 + 250 * 64 + 159) // 160) AS n_frames
+SELECT vec_id, 80 * 3000 AS n, count(*) FILTER (WHERE f = 50) AS n_bands, round((max(e) FILTER (WHERE f = 50) + 4) / 4, 2) AS heard, least(3000, (200 + 250 * 64 + 159) // 160) AS n_frames
 FROM mel JOIN top USING (vec_id) GROUP BY vec_id, top""")
 def _log_mel(spark, sf_dir):
     mel = signal.log_mel(_signals(spark, sf_dir), "vec_id").select("vec_id", F.size("mel").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(79)), lambda m: F.get("mel", m * 3000 + 50)).alias("heard"), F.slice("mel", 10 * 3000 + 1, 3000).alias("band"))
-    total = F.aggregate("heard", F.lit(0.0), lambda a, x: a + x)
     sounding = F.filter("band", lambda x: x > F.element_at("band", -1) + 1e-4)
-    return mel.select("vec_id", "n", F.size("heard").alias("n_bands"), _r(total, 2).alias("heard"), F.size(sounding).alias("n_frames"))
+    return mel.select("vec_id", "n", F.size("heard").alias("n_bands"), _r(F.array_max("heard").cast("double"), 2).alias("heard"), F.size(sounding).alias("n_frames"))
 
 
 def _wav_bytes(samples: Column, times: Column, rate: Column | None = None, channels: Column | None = None) -> Column:
