@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sonorum.llm import alignment, chat_format, decontaminate, langid, mixing, quality, rule_ledger, simhash, suffix_dedup, toxicity, url_rules
+from sonorum.llm import alignment, chat_format, decontaminate, langid, mixing, quality, rule_ledger, simhash, suffix_dedup, toxicity, url_rules, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": simhash.op8_simhash,
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_language_id": langid.op10_language_id,
+        "op11_whitening": whitening.op11_whitening,
         "op13_token_alignment": alignment.op13_token_alignment,
     }
 
