@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sonorum.llm import alignment, chat_format, decontaminate, langid, mixing, quality, rule_ledger, simhash, suffix_dedup, toxicity, url_rules, whitening
+from sonorum.llm import alignment, chat_format, decontaminate, langid, mixing, parity, quality, rule_ledger, simhash, suffix_dedup, toxicity, url_rules, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_language_id": langid.op10_language_id,
         "op11_whitening": whitening.op11_whitening,
+        "op12_jaccard_join": parity.op12_jaccard_join,
         "op13_token_alignment": alignment.op13_token_alignment,
     }
 

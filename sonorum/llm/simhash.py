@@ -391,22 +391,32 @@ def likely_pairs(tokens: DataFrame, similarity: float, order: Column) -> DataFra
 
 
 def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) -> DataFrame:
-    """x, y: all pairs of nodes of different roots that share a token and can have the similarity.
+    """x, y: all pairs of nodes of different roots that share a token and can have the similarity, each once."""
+    return listed_pairs(tokens, similarity, most).distinct()
 
-    Within a token the nodes of the root that most of its nodes have meet only those of other roots. They are dealt to
-    shards of about `most`, and the others are copied to each.
+
+def listed_pairs(tokens: DataFrame, similarity: float, most: int) -> DataFrame:
+    """The same, each pair once for every token it shares.
+
+    Within a token the nodes of the root that most of its nodes have (the major ones) meet only those of other roots. Both kinds are dealt to
+    blocks of about `most` nodes. A cell is two blocks of minor nodes, or one of minor and one of major nodes, and
+    lists the pairs between the two, so each pair of a token is listed in one cell, and no cell is larger than two blocks.
     """
     sizes = tokens.groupBy("token", "root").count()
-    of_token = sizes.groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
-    shards = F.ceil(F.col("all") / most).cast("int")
-    met = tokens.join(of_token.select("token", "major", shards.alias("shards")), "token").withColumn("minor", F.col("root") != F.col("major"))
-    own = F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")
-    met = met.withColumn("shard", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("shards") - 1)).otherwise(F.array(own))))
+    of_token = sizes.groupBy("token").agg(F.max("count").alias("majors"), F.max_by("root", F.struct("count", "root")).alias("major"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+    blocks = lambda n: F.ceil(n / most).cast("int")
+    met = tokens.join(of_token.select("token", "major", blocks(F.col("all") - F.col("majors")).alias("minor_blocks"), blocks(F.col("majors")).alias("major_blocks")), "token")
+    minor, width = F.col("root") != F.col("major"), F.col("minor_blocks") + F.col("major_blocks")
+    own = F.pmod(F.xxhash64("node"), F.when(minor, F.col("minor_blocks")).otherwise(F.col("major_blocks"))).cast("int")
+    met = met.withColumn("own", F.when(minor, own).otherwise(F.col("minor_blocks") + own)).withColumn("width", width)
+    others = F.sequence(F.lit(0), F.when(minor, F.col("width")).otherwise(F.col("minor_blocks")) - 1)
+    met = met.withColumn("other", F.explode(others)).withColumn("cell", F.least("own", "other").cast("bigint") * F.col("width") + F.greatest("own", "other"))
+    met = met.withColumn("first", F.col("own") <= F.col("other")).withColumn("second", F.col("own") >= F.col("other"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, parts = None, []
         for batch in batches:
-            keys = list(zip(batch.column("token").to_pylist(), batch.column("shard").to_pylist(), strict=True))
+            keys = list(zip(batch.column("token").to_pylist(), batch.column("cell").to_pylist(), strict=True))
             cuts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)] if keys else [0]
             for begin, end in zip(cuts, cuts[1:], strict=False):
                 if keys[begin] != group:
@@ -414,21 +424,23 @@ def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) ->
                     group, parts = keys[begin], []
                 own = batch.slice(begin, end - begin)
                 bits = own.column("bits").flatten().to_numpy().view(np.uint64).reshape(-1, BITMAP)
-                parts.append([*(own.column(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n", "lone", "minor")), bits])
+                parts.append([*(own.column(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n", "lone", "first", "second")), bits])
         yield from meet(parts)
 
     def meet(parts: list) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
-        node, root, n, lone, minor, bits = (np.concatenate(c) for c in zip(*parts, strict=True))
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        one, two = columns[4].astype(bool), columns[5].astype(bool)  # of a cell of one block every node is on both sides
+        node, root, n, lone, _, within, bits = (c[two] for c in columns)
         found, held = [], 0
-        for k in np.flatnonzero(minor):
-            shared = np.minimum(n - lone, n[k] - lone[k])
-            close = (shared >= similarity * (shared + lone + lone[k]) - 1e-9) & (np.minimum(n, n[k]) >= similarity * np.maximum(n, n[k]) - 1e-9)
-            at = np.flatnonzero(close & (root != root[k]) & (~minor | (node < node[k])))
-            apart = np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1, dtype=np.int64)
-            other = node[at[n[at] + n[k] - apart >= similarity * (n[at] + n[k] + apart) - 1e-9]]
-            found.append(np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])]))
+        for i, r, m, alone, _, same, own_bits in zip(*(c[one] for c in columns), strict=True):
+            shared = np.minimum(n - lone, m - alone)
+            close = (shared >= similarity * (shared + lone + alone) - 1e-9) & (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9)
+            at = np.flatnonzero(close & (root != r) & ((i < node) if same else True))
+            apart = np.bitwise_count(bits[at] ^ own_bits).sum(axis=1, dtype=np.int64)
+            other = node[at[n[at] + m - apart >= similarity * (n[at] + m + apart) - 1e-9]]
+            found.append(np.stack([np.minimum(other, i), np.maximum(other, i)]))
             held += len(other)
             if held >= 100_000:
                 x, y = np.concatenate(found, axis=1)
@@ -438,8 +450,8 @@ def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) ->
             x, y = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
-    dealt = met.select("token", "shard", "node", "root", "n", "lone", "minor", "bits").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "shard").sortWithinPartitions("token", "shard")
-    return dealt.mapInArrow(run, "x bigint, y bigint").distinct()
+    dealt = met.select("token", "cell", "node", "root", "n", "lone", "first", "second", "bits").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "cell").sortWithinPartitions("token", "cell")
+    return dealt.mapInArrow(run, "x bigint, y bigint")
 
 
 def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
