@@ -104,7 +104,17 @@ def test_parts_have_the_tokens_of_the_whole(own):
     parts = alignment.chunks(text, 50)
     assert len(parts) > 50 and " ".join(parts) == text
     (a, b), = alignment.encode(own, [text.encode()])
-    assert a.tolist() == own.a.encode(f" {text}", add_special_tokens=False).ids and b.tolist() == own.b.encode(text)
-    assert [i for p in parts for i in own.a.encode(f" {p}", add_special_tokens=False).ids] == a.tolist()
+    assert a.tolist() == own.a(f" {text}") and b.tolist() == own.b.encode(text)
+    assert [i for p in parts for i in own.a(f" {p}")] == a.tolist()
     assert [i for p in parts for i in own.b.encode(p)] == b.tolist()
     assert not any("▁" in own.b.id_to_piece(i).lstrip("▁") for i in range(own.b.get_piece_size()))  # so no piece goes on over a space
+
+
+def test_encoder_gives_the_tokens_of_the_file(own):
+    """Every token of the vocabulary, and texts of all kinds."""
+    file = Tokenizer.from_file(f"{alignment.TOKENIZERS}/{alignment.A_FILE}")
+    file.encode_special_tokens = True
+    tokens = [t.decode(errors="ignore") for t in own.a_bytes]
+    texts = duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet' where text is not null").fetchall()
+    for text in [*tokens, *filter(None, TEXTS), *(t for (t,) in texts), "a" + " " * 200_000 + "b", "\n" * 50_000, "x" * 200_000]:
+        assert own.a(text) == file.encode(text, add_special_tokens=False).ids
