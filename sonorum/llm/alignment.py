@@ -44,7 +44,7 @@ def byte_of_char() -> dict[str, int]:
 
 @dataclass
 class Tokenizers:
-    """The contents of the two files; what is made of them is made once in each Python worker."""
+    """The contents of the two files, and what is made of them when it is first used."""
 
     a_json: str
     b_model: bytes
@@ -54,8 +54,10 @@ class Tokenizers:
         with open(f"{folder}/{a_file}", encoding="utf-8") as a, open(f"{folder}/{b_file}", "rb") as b:
             return cls(a.read(), b.read())
 
-    def __getstate__(self) -> dict:
-        return {"a_json": self.a_json, "b_model": self.b_model}
+    def shared(self, spark: SparkSession) -> Callable[[], Tokenizers]:
+        """A function that gives these tokenizers in a task. Each Python worker makes what it needs of the files, a few MB, once."""
+        held = spark.sparkContext.broadcast({"files": (self.a_json, self.b_model)})
+        return lambda: held.value.get("own") or held.value.setdefault("own", Tokenizers(*held.value["files"]))
 
     @cached_property
     def a_vocabulary(self) -> dict[bytes, int]:
@@ -205,11 +207,10 @@ def align(docs: DataFrame, tokenizers: Tokenizers, tokens: bool = True, links: b
     Texts may have any length: they are encoded in parts, cut where no token can go on. Repeated rows
     stay repeated, null ids are ids, an empty table stays empty, and extra columns of docs are not read.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(tokenizers)  # two files of a few MB
+    shared = tokenizers.shared(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = shared()
         for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             texts = (t.as_py() for t in batch.column(1))
             rows, arrays = [], []
@@ -238,10 +239,9 @@ def pair_counts(linked: DataFrame, tokenizers: Tokenizers) -> DataFrame:
 
     A task adds its regular links up in one vector and its irregular ones in runs of equal pairs before anything is shuffled.
     """
-    shared = linked.sparkSession.sparkContext.broadcast(tokenizers)
+    identity = tokenizers.identity
 
     def one_to_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        identity = shared.value.identity
         total = np.zeros(len(identity), np.int64)
         for batch in batches:
             total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=len(total))

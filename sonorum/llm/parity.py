@@ -2,16 +2,16 @@
 
 Every hash of a set flips one bit of its sketch, so two sketches differ in no more bits than the sets differ in
 hashes. Sizes are cut into bands, each so wide that two sets of the similarity are in one band or in neighbours. For sets
-of a band and the next the similarity leaves at most k different hashes; their sketches have k + 1 words, of
-which two similar sets share at least one. The words of a band, by place, are the keys of the join. Sets that share no key with another
-have no partner. The others meet by keys: in two rounds each with its likeliest partner of another group, and last
+of a band and the next the similarity leaves at most k different hashes; their sketches have k + 1 + spare words, of
+which two similar sets share at least 1 + spare. The words of a band, by place, are the keys of the join. Words of few
+bits are often equal by chance, so a set that has at most `spare` of them leaves them out: a shared word is left out by both sets or by
+none, and one more is left. Sets that share no key with another have no partner. The others meet by keys: in two rounds each with its likeliest partner of another group, and last
 with all of other groups, where whole-set sketches of a fixed size rule pairs out and the sets themselves decide.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,7 @@ from sonorum.llm.components import connected_components
 from sonorum.llm.simhash import _folded, _lists, bitmaps, joined_roots, likely_pairs, remaining_pairs, shingle_set
 
 
-@lru_cache
-def bands(percent: int, up_to: int) -> tuple[np.ndarray, np.ndarray]:
+def bands(percent: int, up_to: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
     """(least size of each band, most different hashes of two similar sets of which the lesser is in the band), for sizes up to `up_to`."""
     starts, apart = [1], []
     while starts[-1] <= up_to:
@@ -43,21 +42,39 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+#: Bits of a word, so many that two hashes of a set hardly ever share one.
+WIDTH = 1024
+#: Share of words that a sketch has beyond k + 1, and the bits up to which a word is poor.
+SPARE, POOR = 0.25, 1
+
+
 def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
-    """`words` numbers of 64 bits; each hash flips one bit of one of them."""
-    slots = (hashes >> np.uint64(17)) % np.uint64(64 * words)
-    out = np.zeros(words, np.uint64)
-    np.bitwise_xor.at(out, (slots >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slots & np.uint64(63)))
-    return out
+    """The set bits of a sketch of `words` words of WIDTH bits, in order: those that an odd number of hashes flip."""
+    bits, times = np.unique((hashes >> np.uint64(17)) % np.uint64(WIDTH * words), return_counts=True)
+    return bits[times % 2 == 1]
 
 
 def band_keys(hashes: np.ndarray, band: int, apart: int, turn: int = 0) -> np.ndarray:
     """A key of each word of the set's sketch for a band, other words in each turn; none where similar sets are equal."""
     if not apart:
         return np.zeros(0, np.int64)
-    words = sketch(_mixed(hashes + np.uint64(turn)) if turn else hashes, apart + 1)
-    places = _mixed(np.arange(apart + 1, dtype=np.uint64) + np.uint64(band << 32))
-    return _mixed(_mixed(words) + places).view(np.int64)
+    spare = 1 + int(SPARE * apart)
+    words = np.zeros(apart + 1 + spare, np.uint64)
+    bits = sketch(_mixed(hashes + np.uint64(turn)) if turn else hashes, len(words))
+    at = (bits // np.uint64(WIDTH)).astype(np.int64)
+    np.bitwise_xor.at(words, at, _mixed(bits + np.uint64(1)))  # equal words, equal numbers
+    rich = np.bincount(at, minlength=len(words)) > POOR
+    if np.count_nonzero(~rich) > spare:
+        rich[:] = True
+    places = _mixed(np.arange(len(words), dtype=np.uint64) + np.uint64(band << 32))
+    return _mixed(words[rich] + places[rich]).view(np.int64)
+
+
+def set_keys(hashes: np.ndarray, edges: tuple[np.ndarray, np.ndarray], turn: int = 0) -> np.ndarray:
+    """The keys of a set in its own band, as the lesser or an equal, and in the one below, as the greater."""
+    starts, apart = edges
+    at = int(np.searchsorted(starts, len(hashes), "right")) - 1
+    return np.concatenate([np.zeros(0, np.int64), *(band_keys(hashes.view(np.uint64), b, int(apart[b]), turn) for b in (at - 1, at) if b >= 0)])
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -74,13 +91,12 @@ def sketched(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "
     """doc_id, rid, digest (of the set), n, keys: one row for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = bands(percent)
         for batch in batches:
             rows, keys = [], []
             for text in batch.column(2):
                 own = shingle_set(_folded(text.as_py()), words)
-                starts, apart = bands(percent, 1 << max(1, len(own)).bit_length())
-                at = int(np.searchsorted(starts, len(own), "right")) - 1
-                keys.append(np.concatenate([np.zeros(0, np.int64), *(band_keys(own.view(np.uint64), b, int(apart[b])) for b in (at - 1, at) if b >= 0)]) if len(own) else np.zeros(0, np.int64))
+                keys.append(set_keys(own, edges))
                 rows.append((_digest(own), len(own)))
             columns = [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), _lists(keys)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "rid", "digest", "n", "keys"])
@@ -103,8 +119,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
 
 
 def shared_tokens(tokens: DataFrame) -> DataFrame:
-    """The rows (node, token) of tokens that more than one node has."""
-    shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("token")
+    """The rows (node, token) of tokens that more than one node has. A node has a token once."""
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
     return tokens.join(shared, "token").select("node", "token")
 
 
@@ -121,13 +137,9 @@ def recut(rooted: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFr
         return kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = bands(percent)
         for batch in batches:
-            ends, values, keys = batch.column("hashes").offsets.to_numpy(), batch.column("hashes").values.to_numpy().view(np.uint64), []
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
-                starts, apart = bands(percent, 1 << int(b - a).bit_length())
-                at = int(np.searchsorted(starts, b - a, "right")) - 1
-                keys.append(np.concatenate([np.zeros(0, np.int64), *(band_keys(values[a:b], x, int(apart[x]), 1) for x in (at - 1, at) if x >= 0)]))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(keys)], ["node", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists([set_keys(own, edges, 1) for own in (np.asarray(h.values) for h in batch.column("hashes"))])], ["node", "keys"])
 
     hot = materialize(rooted.join(heavy, "token").select("node", "token"), "hot")
     own = sets.join(hot.select("node").distinct(), "node", "left_semi").select("node", "hashes").mapInArrow(run, "node bigint, keys array<bigint>")

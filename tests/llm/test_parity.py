@@ -91,12 +91,12 @@ def test_sketches_bound_the_difference():
     for n in (3, 50, 400):
         a = rng.integers(0, 1 << 63, n).astype(np.uint64)
         b = np.r_[a[n // 5 :], rng.integers(0, 1 << 63, n // 4).astype(np.uint64)]
-        apart = np.bitwise_count(parity.sketch(a, 7) ^ parity.sketch(b, 7)).sum()
+        apart = len(np.setxor1d(parity.sketch(a, 7), parity.sketch(b, 7)))
         assert apart <= n // 5 + n // 4 and apart % 2 == (n // 5 + n // 4) % 2
 
 
 def test_bands_hold_every_similar_pair_of_sizes():
-    starts, apart = parity.bands(85, 3000)
+    starts, apart = parity.bands(85)
     band = lambda n: int(np.searchsorted(starts, n, "right")) - 1
     for a in range(1, 1500):
         for b in range(a, a * 100 // 85 + 1):
