@@ -7,6 +7,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonorum.session import stored
+
 
 def mean_pool(frames: DataFrame, key: str, vec: str = "vec") -> DataFrame:
     """key, features: the mean over a key's rows, padding frames included. Partial sums on each task, then one shuffle of them."""
@@ -36,7 +38,7 @@ def _class_rows() -> Column:
 def pack_head(head: DataFrame) -> DataFrame:
     """head (class_idx, weight array, bias) as one row with an array ordered by class; larger than MAX_PACKED_BYTES it is an error when run."""
     size = F.sum(F.size("weight") * 8 + 16)
-    return head.agg(F.sort_array(F.collect_list(_class_rows())).alias("head"), size.alias("bytes")).select(_packed(F.col("head"), F.col("bytes"), "head", "linear_head_in_blocks").alias("head"))
+    return head.agg(F.sort_array(F.collect_list(_class_rows())).alias("head"), size.alias("bytes")).select(_packed(F.col("head"), F.col("bytes"), "head", "linear_head_in_blocks or classify_in_blocks").alias("head"))
 
 
 def _logit(column: str):
@@ -52,17 +54,69 @@ def linear_head(features: DataFrame, head: DataFrame, column: str = "features")
     return features.crossJoin(F.broadcast(pack_head(head))).withColumn("logits", F.transform("head", _logit(column))).drop("head")
 
 
-def linear_head_in_blocks(features: DataFrame, head: DataFrame, key: str, column: str = "features", block_classes: int = 4096) -> DataFrame:
-    """key, column, logits: the same for a head of any size; key names a row of features.
+def _blocks_of(head: DataFrame, rows: Column, block_classes: int, salts: int) -> DataFrame:
+    """block, salt, head: `block_classes` classes a row, each row once for each salt."""
+    blocks = head.withColumn("block", F.floor(F.col("class_idx") / block_classes)).groupBy("block").agg(F.collect_list(rows).alias("head"))
+    return blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def _at_blocks(features: DataFrame, head: DataFrame, blocks: DataFrame, block_classes: int, salts: int) -> DataFrame:
+    """features (with row) copied to every block of classes. A block's copies are dealt over `salts` join keys, so a head of few blocks uses all tasks."""
+    numbers = head.select(F.floor(F.col("class_idx") / block_classes).alias("block")).distinct().agg(F.collect_list("block").alias("blocks"))
+    copied = features.crossJoin(F.broadcast(numbers)).withColumn("block", F.explode_outer("blocks")).drop("blocks")
+    return copied.withColumn("salt", F.pmod(F.col("row"), F.lit(salts)).cast("int")).join(blocks, ["block", "salt"], "left")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    return stored(df.withColumn("row", F.monotonically_increasing_id()), "features")
+
 
-    Every block of classes is one row, to which the features are copied by a join on the block; a row's logits are put together again by key.
+def linear_head_in_blocks(features: DataFrame, head: DataFrame, key: str, column: str = "features", block_classes: int = 4096, salts: int = 16) -> DataFrame:
+    """key, column, logits: the same for a head of any size, one row for each row of features, whatever their keys.
+
+    Every block of classes is a row, to which numbered copies of the features are joined; a row's logits are put together again by its number.
+    """
+    rows = _numbered(features.select(key, column))
+    scored = _at_blocks(rows, head, _blocks_of(head, _class_rows(), block_classes, salts), block_classes, salts)
+    parts = scored.select("row", F.transform("head", _logit(column)).alias("part"))
+    merged = parts.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("logits"))
+    return rows.join(merged, "row").select(key, column, "logits")
+
+
+def classify_in_blocks(
+    features: DataFrame, head: DataFrame, labels: DataFrame, k: Column | int = 5, keep: tuple[str, ...] = ("clip_id",), column: str = "features", block_classes: int = 4096, salts: int = 16
+) -> DataFrame:
+    """What classify_features gives, for a head and labels of any size.
+
+    Of a block of classes a row gets its k greatest logits, the greatest, and the sum of powers below it. Only these k candidates and
+    two numbers a block are shuffled; sums are brought to the greatest logit of all blocks, and the k best of the
+    candidates are those of all classes, by logit, equal ones by class. Rows are numbered, so equal ones stay apart.
     """
-    blocks = head.withColumn("block", F.floor(F.col("class_idx") / block_classes)).groupBy("block").agg(F.collect_list(_class_rows()).alias("head"))
-    numbers = blocks.agg(F.collect_list("block").alias("blocks"))
-    copied = features.select(key, column).crossJoin(F.broadcast(numbers)).withColumn("block", F.explode("blocks")).drop("blocks")
-    scored = copied.join(blocks, "block").select(key, F.transform("head", _logit(column)).alias("part"))
-    merged = scored.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("logits"))
-    return features.join(merged, key)
+    names = labels.groupBy("class_idx").agg(F.min("intent").alias("intent"))
+    named = head.join(names, "class_idx", "left")
+    counts = head.agg(F.count(F.lit(1)).alias("n_classes")).crossJoin(labels.agg(F.count(F.lit(1)).alias("n_labels")))  # one row each
+    rows = _numbered(features.select(*keep, F.col(column).alias("__x"), (F.lit(k) if isinstance(k, int) else k).alias("__k")))
+    blocks = _blocks_of(named, F.struct("class_idx", F.col("weight").cast("array<double>").alias("weight"), F.col("bias").cast("double").alias("bias"), "intent"), block_classes, salts)
+    logit = _logit("__x")
+
+    def negated(c: Column) -> Column:
+        found = logit(c)
+        return F.struct((-found["z"]).alias("minus"), c["class_idx"].alias("class_idx"), c["intent"].alias("intent"))
+
+    scored = _at_blocks(rows, head, blocks, block_classes, salts).select(*keep, "row", "__k", F.array_sort(F.transform("head", negated)).alias("ranked"))
+    least = F.get("ranked", F.lit(0))["minus"]
+    powers = F.aggregate("ranked", F.lit(0.0), lambda total, c: total + F.exp(least - c["minus"]))
+    parts = scored.select(*keep, "row", "__k", (-least).alias("top"), powers.alias("powers"), F.slice("ranked", F.lit(1), F.least(F.col("__k"), F.size("ranked"))).alias("best"))
+    kept = [F.first(c).alias(c) for c in (*keep, "__k")]
+    merged = parts.groupBy("row").agg(*kept, F.max("top").alias("top"), F.collect_list(F.struct("top", "powers", "best")).alias("parts")).crossJoin(F.broadcast(counts))
+    total = F.aggregate("parts", F.lit(0.0), lambda s, part: s + part["powers"] * F.exp(part["top"] - F.col("top")))
+    ranked = F.array_sort(F.flatten(F.transform("parts", lambda part: part["best"])))
+    ranked = F.slice(ranked, F.lit(1), F.least(F.col("__k"), F.col("n_labels").cast("int"), F.size(ranked)))
+    merged = merged.withColumn("total", total).withColumn("ranked", F.when(F.col("n_classes") == F.col("n_labels"), ranked))
+    intents = F.transform("ranked", lambda c: F.struct(c["intent"].alias("intent"), (F.exp(-c["minus"] - F.col("top")) / F.col("total")).alias("confidence")))
+    merged = merged.withColumn("intents", F.when(~F.exists("ranked", lambda c: c["intent"].isNull()), intents))
+    best = F.get("intents", F.lit(0))
+    return merged.select(*keep, "intents", best["intent"].alias("top_intent"), best["confidence"].alias("confidence"))
 
 
 def check_width(df: DataFrame, n_classes: int, column: str = "logits") -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -39,3 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """df written to the shared folder and read back: numbers that Spark gives its rows stay theirs when executors are lost."""
+    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
