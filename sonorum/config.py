@@ -25,5 +25,7 @@ DETAIL_TOP_K = "top_k must be >= 1"
 DETAIL_TOP_K_TEXT = "Invalid top_k value: %s"
 DETAIL_UNDECODABLE = "Unable to decode the uploaded audio."
 DETAIL_DURATION = "Audio duration must be between %s and %s seconds (received %.3f seconds)."
+DETAIL_ERROR = "Inference failed"
+DETAIL_PREPROCESSING = "Audio preprocessing failed: %s"
 DETAIL_INFERENCE = "Model inference failed: %s"
 DETAIL_NO_PREDICTIONS = "Model returned no intent predictions"

@@ -44,13 +44,18 @@ def early_rules(readable: Column, payload_bytes: Column, response_format: Column
     ]
 
 
-def late_rules(n_samples: Column, decode_error: Column, model_error: Column, n_intents: Column) -> list[tuple[Column, str, int, Column]]:
-    """Rules over what decoding and the model gave."""
+def late_rules(n_samples: Column, decode_error: Column, signal_error: Column, model_error: Column, n_intents: Column) -> list[tuple[Column, str, int, Column]]:
+    """Rules over what decoding, the spectrogram and the model gave. The detail of a failure within is an object with error and message."""
+
+    def failed(words: str, error: Column) -> Column:
+        return F.to_json(F.struct(F.lit(config.DETAIL_ERROR).alias("error"), F.format_string(words, error).alias("message")))
+
     bounds = [F.lit(f"{seconds:g}") for seconds in (config.MIN_SECONDS, config.MAX_SECONDS)]
     return [
         (decode_error.isNotNull() | n_samples.isNull(), "undecodable", 422, F.lit(config.DETAIL_UNDECODABLE)),
         (bad_duration(n_samples), "bad_duration", 422, F.format_string(config.DETAIL_DURATION, *bounds, duration_ms3(n_samples))),
-        (model_error.isNotNull(), "inference_failed", 500, F.format_string(config.DETAIL_INFERENCE, model_error)),
+        (signal_error.isNotNull(), "inference_failed", 500, failed(config.DETAIL_PREPROCESSING, signal_error)),
+        (model_error.isNotNull(), "inference_failed", 500, failed(config.DETAIL_INFERENCE, model_error)),
         (n_intents == 0, "no_predictions", 500, F.lit(config.DETAIL_NO_PREDICTIONS)),
     ]
 
@@ -68,14 +73,14 @@ def first_failure(rules: list[tuple[Column, str, int, Column]]) -> Column:
 def admit(requests: DataFrame) -> DataFrame:
     """Adds rule, status and detail to requests that already know payload_bytes and n_samples.
 
-    A null payload_bytes is an unreadable file. decode_error, model_error and n_intents are used
+    A null payload_bytes is an unreadable file. decode_error, signal_error, model_error and n_intents are used
     where the columns exist. One expression, so it runs inside the scan's stage.
     """
     have = set(requests.columns)
     text = lambda name: F.col(name) if name in have else F.lit(None).cast("string")
     n_intents = F.col("n_intents") if "n_intents" in have else F.lit(None).cast("int")
     rules = early_rules(F.col("payload_bytes").isNotNull(), F.col("payload_bytes"), F.col("response_format"), F.col("top_k"))
-    rules += late_rules(F.col("n_samples"), text("decode_error"), text("model_error"), n_intents)
+    rules += late_rules(F.col("n_samples"), text("decode_error"), text("signal_error"), text("model_error"), n_intents)
     return requests.withColumn("__first", first_failure(rules)).select(*requests.columns, "__first.rule", "__first.status", "__first.detail")
 
 

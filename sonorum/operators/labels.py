@@ -40,9 +40,10 @@ def validate_labels(forward: DataFrame, reverse: DataFrame) -> DataFrame:
     return f.crossJoin(r).crossJoin(m).withColumn("valid", valid)  # three rows of one
 
 
-def attach_labels(ranked: DataFrame, labels: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """ranked (class_idx, ...) with intent; null where the index is in no label. A label map of checked size is broadcast."""
-    named = labels.select("class_idx", "intent")
-    if named.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        named = F.broadcast(named)
-    return ranked.join(named, "class_idx", "left")
+def attach_labels(ranked: DataFrame, labels: DataFrame) -> DataFrame:
+    """ranked (class_idx, ...) with intent; null where the index is in no label. labels has each index once.
+
+    The label map is broadcast where its bytes, as Spark knows them from the plan or from what it shuffled, are within the session's
+    spark.sql.autoBroadcastJoinThreshold. Larger maps are joined by index, and adaptive execution splits the rows of very frequent indices.
+    """
+    return ranked.join(labels.select("class_idx", "intent"), "class_idx", "left")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonorum import config
+from sonorum.operators.joins import join_one_per_key
 
 SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -30,12 +31,14 @@ def attach_audio(requests: DataFrame, audio: DataFrame, decodable: DataFrame | N
     """requests with payload_bytes (null: no such file) and, of files that can be decoded, content.
 
     The sizes come from a scan without content. The scan with content only opens files within the
-    size limit, and only rows that `decodable` (request_id) names are joined to it.
+    size limit, and only rows that `decodable` (request_id) names are joined to it. One row for each row of
+    requests, whatever their ids and paths; audio has each path once, decodable an id any number of times.
     """
     sizes = audio.select("path", F.col("length").alias("payload_bytes"))
-    sized = requests.join(sizes, "path", "left")
+    sized = join_one_per_key(requests, sizes, "path")
     if decodable is None:
         return sized
-    bodies = audio.filter(F.col("length").between(1, config.MAX_UPLOAD_BYTES)).select("path", "content")
-    wanted = sized.select("request_id", "path").join(decodable.select("request_id"), "request_id", "left_semi")
-    return sized.join(wanted.join(bodies, "path").select("request_id", "content"), "request_id", "left")
+    named = decodable.filter(F.col("request_id").isNotNull()).select("request_id").distinct().withColumn("__wanted", F.lit(True))
+    asked = join_one_per_key(sized, named, "request_id").withColumn("__body", F.when(F.col("__wanted"), F.col("path"))).drop("__wanted")
+    bodies = audio.filter(F.col("length").between(1, config.MAX_UPLOAD_BYTES)).select(F.col("path").alias("__body"), "content")
+    return join_one_per_key(asked, bodies, "__body").drop("__body")
