@@ -30,3 +30,8 @@ def reconcile(requests: DataFrame, outcomes: DataFrame, by: str) -> DataFrame:
 def run_summary(outcomes: DataFrame) -> DataFrame:
     """status, top_intent, n, mean_confidence, seconds."""
     return outcomes.groupBy("status", "top_intent").agg(F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("mean_confidence"), F.sum("duration_s").alias("seconds"))
+
+
+def check_counts(batch: int | str, n_requests: int, n_outcomes: int) -> None:
+    if n_requests != n_outcomes:
+        raise RuntimeError(f"batch {batch} has {n_outcomes} outcomes of {n_requests} requests")
