@@ -18,7 +18,7 @@ from sonorum.session import shared_dir
 from sonorum.sources.audio import attach_audio, scan_audio, stream_audio
 from sonorum.sources.labels import read_labels
 from sonorum.sources.sinks import write_outcomes, write_rejects
-from sonorum.streaming.bundles import bundle_stream
+from sonorum.streaming.bundles import STATE_STORE, bundle_stream
 from sonorum.streaming.clips import classify_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,18 +119,18 @@ def _admit(spark, sf_dir):
     return admission.admit(fixtures.requests(spark, sf_dir)).select("request_id", "rule", "status", "detail")
 
 
-_MODEL_RULES_SQL = """CASE WHEN rule <> 'ok' THEN rule WHEN request_id % 5 = 0 THEN 'undecodable' WHEN request_id % 7 = 1 THEN 'inference_failed' WHEN request_id % 3 = 0 THEN 'no_predictions' ELSE 'ok' END"""
+_MODEL_RULES_SQL = """CASE WHEN rule <> 'ok' THEN rule WHEN request_id % 5 = 0 THEN 'undecodable' WHEN request_id % 7 = 1 OR request_id % 11 = 4 THEN 'inference_failed' WHEN request_id % 3 = 0 THEN 'no_predictions' ELSE 'ok' END"""
 
 
 @_query("b6_b8_b9_model_rules", f"""WITH {REQUESTS_SQL}, {_ADMITTED_SQL}, late AS (SELECT request_id, n_samples, {_MODEL_RULES_SQL} AS rule FROM adm)
 SELECT request_id, rule, CASE rule WHEN 'inference_failed' THEN 500 WHEN 'no_predictions' THEN 500 WHEN 'ok' THEN 200 WHEN 'unreadable' THEN 400 WHEN 'too_large' THEN 413 ELSE 422 END AS status,
-  CASE rule WHEN 'undecodable' THEN 'Unable to decode the uploaded audio.' WHEN 'inference_failed' THEN 'Model inference failed: out of memory at ' || request_id
+  CASE rule WHEN 'undecodable' THEN 'Unable to decode the uploaded audio.' WHEN 'inference_failed' THEN CASE WHEN request_id % 11 = 4 THEN '{{"error":"Inference failed","message":"Audio preprocessing failed: no sound at ' || request_id || '"}}' ELSE '{{"error":"Inference failed","message":"Model inference failed: out of memory at ' || request_id || '"}}' END
     WHEN 'no_predictions' THEN 'Model returned no intent predictions' ELSE {_DETAIL_SQL} END AS detail FROM late""")
 def _model_rules(spark, sf_dir):
     r, i = fixtures.requests(spark, sf_dir), F.col("request_id")
     told = r.withColumns({
         "decode_error": F.when((i % 5 == 0) & F.col("n_samples").between(8000, 160000), "no frames"),
-        "model_error": F.when(i % 7 == 1, F.concat(F.lit("out of memory at "), i.cast("string"))), "n_intents": F.when(i % 3 == 0, 0).otherwise(5),
+        "signal_error": F.when(i % 11 == 4, F.concat(F.lit("no sound at "), i.cast("string"))), "model_error": F.when(i % 7 == 1, F.concat(F.lit("out of memory at "), i.cast("string"))), "n_intents": F.when(i % 3 == 0, 0).otherwise(5),
     })
     return admission.admit(told).select("request_id", "rule", "status", "detail")
 
@@ -298,6 +298,23 @@ def _classify_features(spark, sf_dir):
     return found.select("clip_id", names.alias("intents"), _r(F.aggregate("intents", F.lit(0.0), lambda s, i: s + i["confidence"])).alias("mass"), "top_intent", _r("confidence").alias("confidence"))
 
 
+@_query("q1_classify_in_blocks", f"""WITH {SCORES_SQL}
+SELECT clip_id, string_agg('INTENT_' || class_idx, ',' ORDER BY rank) AS intents, round(sum(p), 6) AS mass,
+  first('INTENT_' || class_idx ORDER BY rank) AS top_intent, round(max(p), 6) AS confidence FROM r, (SELECT unnest([1, 2]) AS again) WHERE rank <= 5 GROUP BY clip_id, again""")
+def _classify_in_blocks(spark, sf_dir):
+    """Every clip twice, by a head that is read three classes at a time."""
+    twice = fixtures.clips(spark, sf_dir).withColumn("again", F.explode(F.array(F.lit(1), F.lit(2))))
+    found = scoring.classify_in_blocks(twice, fixtures.head(spark, sf_dir), fixtures.labels(spark, sf_dir), block_classes=3)
+    names = F.array_join(F.transform("intents", lambda i: i["intent"]), ",")
+    return found.select("clip_id", names.alias("intents"), _r(F.aggregate("intents", F.lit(0.0), lambda s, i: s + i["confidence"])).alias("mass"), "top_intent", _r("confidence").alias("confidence"))
+
+
+@_query("e4_linear_head_in_blocks", f"WITH {SCORES_SQL} SELECT clip_id, class_idx, round(z, 6) AS z FROM z")
+def _linear_head_in_blocks(spark, sf_dir):
+    found = scoring.linear_head_in_blocks(fixtures.clips(spark, sf_dir), fixtures.head(spark, sf_dir), "clip_id", block_classes=3)
+    return found.select("clip_id", F.explode("logits").alias("l")).select("clip_id", "l.class_idx", _r("l.z").alias("z"))
+
+
 # ---- outcomes ---------------------------------------------------------------------------------
 
 _OUTCOMES_SQL = f"{REQUESTS_SQL}, {_ADMITTED_SQL}, o AS (SELECT *, CASE WHEN status = 200 THEN event_type END AS top_intent, CASE WHEN status = 200 THEN value / 600 END AS confidence, n_samples / 16000.0::DOUBLE AS duration_s FROM adm)"
@@ -528,13 +545,15 @@ SELECT user_id, bundle, n_items, first_us FROM l
 WHERE bundle < latest OR n_items = 8 OR ceil((first_us + 3600000000) / 1000.0) < (SELECT max(epoch_us(ts)) // 1000 FROM events)""")
 def _bundle_stream(spark, sf_dir):
     """The closed bundles; a bundle still open at the end stays in the stream's state."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    place = f"{shared_dir(spark)}/bundles-{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    events = table(spark, sf_dir, "events")
+    place, before = _folder(spark, "bundles"), spark.conf.get(STATE_STORE[0], None)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{sf_dir}/events*.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     writer = bundle_stream(stream, "user_id", "ts", 8, 3_600_000_000).writeStream.format("parquet").option("checkpointLocation", f"{place}/state")
-    query = writer.trigger(availableNow=True).start(f"{place}/out")
-    query.awaitTermination()
+    spark.conf.set(*STATE_STORE)
+    try:
+        writer.trigger(availableNow=True).start(f"{place}/out").awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE[0], before) if before else spark.conf.unset(STATE_STORE[0])
     return spark.read.schema(f"user_id {events.schema['user_id'].dataType.simpleString()}, bundle bigint, n_items bigint, first_us bigint").parquet(f"{place}/out")
 
 

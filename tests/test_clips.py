@@ -1,9 +1,11 @@
 """Generated clips through sources, signals, the batch plan and the streams."""
 
 import io
+import json
 import math
 import struct
 import sys
+import time
 import wave
 
 import numpy as np
@@ -16,7 +18,8 @@ from sonorum.operators import bundles, outcomes, signal
 from sonorum.plans.classify import classify_audio
 from sonorum.sources import audio as audio_source
 from sonorum.sources.sinks import write_outcomes, write_rejects
-from sonorum.streaming.bundles import bundle_stream
+from sonorum.streaming import clips, progress
+from sonorum.streaming.bundles import STATE_STORE, bundle_stream
 from sonorum.streaming.clips import REJECT_COLUMNS, classify_stream
 
 N_CLASSES = 6
@@ -169,8 +172,137 @@ def test_requests_with_one_id_or_one_file_each_have_their_outcome(spark, folder,
     assert sorted((r["request_id"], r["rule"]) for r in rows) == [("a", "ok"), ("a", "ok"), ("a", "unreadable"), ("b", "bad_format")]
 
 
+def test_a_file_is_scored_once_for_all_its_requests(spark, folder, labels, tmp_path):
+    path, refused = f"file:{folder}/sine.wav", f"file:{folder}/slow.wav"
+    place = str(tmp_path)
+
+    def noting():
+        model = make_predict()
+
+        def predict(mels):
+            with open(f"{place}/calls", "a") as f:
+                f.write(f"{len(mels)}\n")
+            return model(mels)
+
+        return predict
+
+    asked = spark.createDataFrame([(f"r{k}", path, "json", str(1 + k % 4)) for k in range(100)] + [(f"x{k}", refused, "srt", None) for k in range(50)] + [("none", None, None, None)], "request_id string, path string, response_format string, top_k string")
+    rows = classify_audio(asked, audio_source.scan_audio(spark, str(folder)), noting, labels).collect()
+    assert sum(map(int, (tmp_path / "calls").read_text().split())) == 1
+    assert len(rows) == 151 and all(len(r["intents"]) == 1 + int(r["request_id"][1:]) % 4 for r in rows if r["path"] == path)
+    assert {r["rule"] for r in rows if r["path"] == refused} == {"bad_format"} and {r["rule"] for r in rows if r["path"] is None} == {"unreadable"}
+
+
+def test_attached_audio_has_a_row_for_each_request_row(spark, folder):
+    path = f"file:{folder}/sine.wav"
+    asked = spark.createDataFrame([("a", path), ("a", path), ("a", f"file:{folder}/slow.wav"), ("b", path), (None, path), ("c", None)], "request_id string, path string")
+    found = audio_source.attach_audio(asked, audio_source.scan_audio(spark, str(folder)), asked.filter("request_id <> 'b'")).collect()
+    assert sorted((r["request_id"] or "", (r["path"] or "").split("/")[-1], r["content"] is not None) for r in found) == [
+        ("", "sine.wav", False), ("a", "sine.wav", True), ("a", "sine.wav", True), ("a", "slow.wav", True), ("b", "sine.wav", False), ("c", "", False),
+    ]
+
+
+def test_a_failing_spectrogram_is_the_rows_own_error(spark, folder, labels, monkeypatch):
+    from sonorum.plans import classify
+
+    real = signal.spectrogram
+
+    def broken(samples, *rest):
+        if samples.max() == 0:
+            raise ValueError("no sound")
+        return real(samples, *rest)
+
+    monkeypatch.setattr(classify, "spectrogram", broken)
+    asked = requests(spark, folder).filter("request_id in ('sine.wav', 'silence.wav')")
+    rows = {r["request_id"]: r for r in classify_audio(asked, audio_source.scan_audio(spark, str(folder)), make_predict, labels).collect()}
+    assert rows["sine.wav"]["status"] == 200
+    assert (rows["silence.wav"]["rule"], rows["silence.wav"]["status"]) == ("inference_failed", 500)
+    assert json.loads(rows["silence.wav"]["detail"]) == {"error": "Inference failed", "message": "Audio preprocessing failed: ValueError: no sound"}
+
+
+def test_a_replayed_batch_leaves_what_one_run_leaves(spark, folder, labels, tmp_path):
+    files = audio_source.scan_audio(spark, str(folder))
+    asked = spark.createDataFrame([("a", f"file:{folder}/sine.wav"), ("b", f"file:{folder}/sine.wav")], "request_id string, path string")
+    seen = []
+    for _ in range(2):
+        for batch, part in enumerate((files.filter("path like '%/s%'"), files.filter("path not like '%/s%'"))):
+            clips.write_batch(part, batch, asked, make_predict, labels, str(tmp_path))
+        sides = {side: sorted(map(repr, spark.read.parquet(str(tmp_path / side)).collect())) for side in ("results", "rejects")}
+        seen.append(sides)
+    assert seen[0] == seen[1] and len(seen[0]["results"]) == 5 and len(seen[0]["rejects"]) == len(CLIPS) - 1 - 4
+    assert spark.read.parquet(str(tmp_path / "last_batch")).count() < len(CLIPS)
+
+
+def test_a_batch_that_loses_an_outcome_fails(spark, folder, labels, tmp_path, monkeypatch):
+    whole = clips.outcomes_of
+    monkeypatch.setattr(clips, "outcomes_of", lambda *a, **b: whole(*a, **b).filter("path not like '%sine.wav'"))
+    files = audio_source.scan_audio(spark, str(folder))
+    with pytest.raises(RuntimeError, match=f"batch 3 has {len(CLIPS) - 2} outcomes of {len(CLIPS) - 1} requests"):
+        clips.write_batch(files, 3, requests(spark, folder), make_predict, labels, str(tmp_path))
+    assert not (tmp_path / "results").exists()
+
+
+def test_a_stream_that_loses_an_outcome_is_flagged(spark, tmp_path):
+    for k in range(3):
+        spark.range(k * 10, k * 10 + 10).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    for lost in (None, 14):
+        listener = progress.Reconciliation()
+        spark.streams.addListener(listener)
+        try:
+            asked = progress.counted(spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), progress.REQUESTS)
+            answered = progress.counted(asked.filter(F.col("id") != (-1 if lost is None else lost)), progress.OUTCOMES)
+            query = answered.writeStream.format("memory").queryName(f"answers_{lost}").option("checkpointLocation", str(tmp_path / f"state_{lost}")).trigger(availableNow=True).start()
+            query.awaitTermination(120)
+            deadline = time.time() + 20
+            while lost and not listener.differing and time.time() < deadline:
+                time.sleep(0.1)
+        finally:
+            spark.streams.removeListener(listener)
+        if lost is None:
+            listener.check()
+        else:
+            assert [d[1:] for d in listener.differing] == [(1, 10, 9)]
+            with pytest.raises(RuntimeError, match="batch 1 has 9 outcomes of 10 requests"):
+                listener.check()
+
+
+def test_bundles_of_a_shuffled_stream_equal_those_in_order_and_late_rows_are_counted(spark, tmp_path):
+    spark.conf.set(*STATE_STORE)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    wait = 3_600_000_000
+    batch = bundles.bundle_events(events.withColumn("t", F.unix_micros("ts")), "user_id", "t", "event_id", 4, wait)
+    want = {(r["user_id"], r["bundle"]): (r["n"], r["first"]) for r in batch.groupBy("user_id", "bundle").agg(F.count("t").alias("n"), F.min("t").alias("first")).collect()}
+    arrival = F.expr("ts + make_interval(0, 0, 0, 0, 0, 0, pmod(xxhash64(event_id), 86400))").cast("timestamp")  # up to a day after
+    moved = events.withColumn("arrival", arrival).cache()
+    bounds = [r[0] for r in moved.select(F.percentile_approx("arrival", [0.25, 0.5, 0.75]).alias("q")).select(F.explode("q")).collect()]
+    edges = [None, *bounds, None]
+    for k in range(4):
+        part = moved.filter(F.lit(True) if edges[k] is None else F.col("arrival") > edges[k]).filter(F.lit(True) if edges[k + 1] is None else F.col("arrival") <= edges[k + 1])
+        part.orderBy(F.xxhash64("event_id", F.lit(1))).coalesce(1).drop("arrival").write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    late, first = 7, moved.agg(F.min("ts")).first()[0]
+    moved.unpersist()
+    spark.range(late).select(F.lit(1).cast("bigint").alias("user_id"), F.col("id").alias("event_id"), F.lit(first).alias("ts")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    listener = progress.LateRows()
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = bundle_stream(stream, "user_id", "ts", 4, wait, "1 day").writeStream.outputMode("append").format("memory").queryName("shuffled").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination(180)
+        deadline = time.time() + 20
+        while not listener.dropped[str(query.id)] and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.dropped[str(query.id)] == late
+    got = {(r["user_id"], r["bundle"]): (r["n_items"], r["first_us"]) for r in spark.sql("select * from shuffled").collect()}
+    assert got and got.items() <= want.items()
+    settled = events.agg(F.max(F.unix_micros("ts"))).first()[0] - 86_400_000_000 - wait - 2000
+    assert {k for k, (_, opened) in want.items() if opened < settled} <= got.keys()
+
+
 def test_bundle_stream_equals_batch(spark, tmp_path):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(*STATE_STORE)
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
     wait = 3_600_000_000
     batch = bundles.bundle_events(events.withColumn("t", F.unix_micros("ts")), "user_id", "t", "event_id", 4, wait)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sonorum.functions import scalars
-from sonorum.operators import admission, bundles, labels, predict, scoring, signal
+from sonorum.operators import admission, bundles, joins, labels, predict, scoring, signal
 from sonorum.session import shared_dir
 from sonorum.sources.labels import read_labels
 
@@ -159,6 +159,79 @@ def test_head_in_blocks_gives_the_same_logits(spark):
     assert one == {r["clip_id"]: r["logits"] for r in scoring.linear_head_in_blocks(features, head, "clip_id", block_classes=3).collect()}
 
 
+def test_blocks_keep_repeated_keys_apart(spark):
+    features = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0]), (None, [1.0, 1.0])], "clip_id int, features array<double>")
+    head = spark.createDataFrame([(0, [1.0, 2.0], 0.0), (1, [3.0, 4.0], 0.0)], "class_idx int, weight array<double>, bias double")
+    rows = [(r["clip_id"], [z["z"] for z in r["logits"]]) for r in scoring.linear_head_in_blocks(features, head, "clip_id", block_classes=1).collect()]
+    assert sorted(rows, key=repr) == [(1, [1.0, 3.0]), (1, [2.0, 4.0]), (1, [2.0, 4.0]), (None, [3.0, 7.0])]
+
+
+@pytest.mark.parametrize("names", ["all", "one lacks", "too few"])
+def test_classes_in_blocks_equal_one_head(spark, names):
+    rng = np.random.default_rng(6)
+    rows = [(i % 7, rng.normal(0, 300 if i % 5 == 0 else 1, 4).tolist(), i % 13) for i in range(40)]
+    features = spark.createDataFrame([*rows, *rows[:5]], "clip_id int, features array<double>, k int")
+    head = spark.createDataFrame([(c, rng.random(4).tolist() if c % 3 else [0.5] * 4, 0.0) for c in range(11)], "class_idx int, weight array<double>, bias double")
+    labels = spark.createDataFrame([(f"i{c}", c if names != "one lacks" or c != 4 else 40) for c in range(11 if names != "too few" else 9)], "intent string, class_idx int")
+    found = []
+    for classify in (scoring.classify_features, lambda *x, **o: scoring.classify_in_blocks(*x, **o, block_classes=3, salts=3)):
+        out = classify(features, head, labels, k=F.col("k"), keep=("clip_id", "k")).collect()
+        found.append(sorted(((r["clip_id"], r["k"], None if r["intents"] is None else [(i["intent"] if i["confidence"] > 0 else "", round(i["confidence"], 12)) for i in r["intents"]]) for r in out), key=repr))
+    assert len(found[0]) == 45 and found[0] == found[1]
+
+
+def test_only_candidates_are_shuffled_between_blocks(spark):
+    features = spark.createDataFrame([(1, [1.0] * 4)], "clip_id int, features array<double>")
+    head = spark.createDataFrame([(c, [1.0] * 4, 0.0) for c in range(9)], "class_idx int, weight array<double>, bias double")
+    labels = spark.createDataFrame([(f"i{c}", c) for c in range(9)], "intent string, class_idx int")
+    plan = scoring.classify_in_blocks(features, head, labels, k=2, block_classes=3)._jdf.queryExecution().executedPlan().toString()
+    merged = plan[: plan.index("SortMergeJoin")] if "SortMergeJoin" in plan else plan
+    exchange = next(line for line in merged.splitlines() if "Exchange hashpartitioning(row" in line)
+    below = merged[merged.index(exchange) :].splitlines()[1]
+    assert "collect_list(struct(top" in below and "head" not in below and "weight" not in below
+
+
+def test_an_empty_head_gives_rows_without_intents(spark):
+    features = spark.createDataFrame([(1, [1.0] * 4), (1, [1.0] * 4)], "clip_id int, features array<double>")
+    head = spark.createDataFrame([], "class_idx int, weight array<double>, bias double")
+    labels = spark.createDataFrame([("a", 0)], "intent string, class_idx int")
+    assert [tuple(r) for r in scoring.classify_in_blocks(features, head, labels).collect()] == [(1, None, None, None)] * 2
+
+
+def test_labels_are_broadcast_by_their_bytes(spark):
+    ranked = spark.range(1000).select((F.col("id") % 50).cast("int").alias("class_idx"), "id")
+    names = spark.range(20_000).select(F.col("id").cast("int").alias("class_idx"), F.repeat(F.lit("x"), 20).alias("intent"))
+    before, kinds = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    try:
+        for limit in ("100m", "1k"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            found = labels.attach_labels(ranked, names)
+            assert found.count() == 1000 and found.filter("intent is null").isEmpty()
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            kinds.append("SortMergeJoin" in plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert kinds == [False, True]
+
+
+def test_hot_and_missing_keys_are_dealt_over_tasks(spark):
+    """With adaptive execution off: 20,000 rows, a third of one key, a third without, in 16 partitions."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("false", "16", "-1"), strict=True):
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id").cast("string")))
+        rows = spark.range(21_000).select("id", key.alias("path"))
+        sizes = rows.filter("path is not null").select("path").distinct().withColumn("n", F.length("path"))
+        out = joins.join_one_per_key(rows, sizes, "path", least=100).withColumn("part", F.spark_partition_id())
+        facts = out.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count("n").alias("found")).first()
+        assert tuple(facts) == (21_000, 21_000, 14_000)
+        assert out.groupBy("part").count().agg(F.max("count")).first()[0] < 3 * 21_000 / 16
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_a_head_too_large_to_broadcast_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(scoring, "MAX_PACKED_BYTES", 50)
     features = spark.createDataFrame([(1, [1.0] * 4)], "clip_id int, features array<double>")
