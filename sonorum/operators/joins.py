@@ -16,7 +16,7 @@ def join_one_per_key(rows: DataFrame, table: DataFrame, key: str, share: int = 1
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     total = rows.agg(F.count(F.lit(1)).alias("__all"))
     hot = F.broadcast(counts.crossJoin(F.broadcast(total)).filter((F.col("__n") * share >= F.col("__all")) & (F.col("__n") >= least)).select(key, F.lit(True).alias("__hot")))
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(copies)).cast("int")
+    spread = F.pmod(F.xxhash64(*(c for c, kind in rows.dtypes if "map<" not in kind)), F.lit(copies)).cast("int")
     dealt = rows.join(hot, key, "left").withColumn("__salt", F.when(F.col("__hot") | F.col(key).isNull(), spread).otherwise(0)).drop("__hot")
     places = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
     many = table.filter(F.col(key).isNotNull()).join(hot, key, "left").withColumn("__salt", F.explode(places)).drop("__hot")
