@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,41 +23,58 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Folders that materialize() wrote in this process and that were not dropped since.
+#: Folders that materialize() wrote outside of any scope and that were not dropped since.
 _WRITTEN: list[str] = []
+#: Those of the innermost scope of this thread of control.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
 
-    The table stays until drop_tables() is called, at the end of `only_the_last_stays`, or for good.
+    The table stays until the end of `only_the_last_stays`, until drop_tables() is called, or until the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append(path)
+    scope = _SCOPE.get()
+    (_WRITTEN if scope is None else scope).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(spark: SparkSession, since: int = 0, keep_last: int = 0) -> None:
-    """Deletes what materialize() wrote, from the table number `since` on, but for the last `keep_last`.
-
-    Only for tables that no DataFrame still in use reads.
-    """
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     sc = spark.sparkContext
-    gone = _WRITTEN[since : len(_WRITTEN) - keep_last]
-    del _WRITTEN[since : len(_WRITTEN) - keep_last]
-    for path in gone:
+    for path in paths:
         where = sc._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes what materialize() wrote outside of any scope. Only for tables that no DataFrame still in use reads."""
+    gone = _WRITTEN[:]
+    del _WRITTEN[: len(gone)]
+    _delete(spark, gone)
+
+
+@atexit.register
+def _drop_at_the_end() -> None:
+    if _WRITTEN and (spark := SparkSession.getActiveSession()):
+        drop_tables(spark)
+
+
 @contextmanager
 def only_the_last_stays(spark: SparkSession) -> Iterator[None]:
-    """Of the tables written inside, all but the last one are deleted at the end."""
-    since = len(_WRITTEN)
-    yield
-    drop_tables(spark, since, keep_last=1)
+    """Of the tables written inside, by this thread, all but the last one are deleted at the end, and after an error all."""
+    outer, own = _SCOPE.get(), []
+    token, last = _SCOPE.set(own), 0
+    try:
+        yield
+        last = 1
+    finally:
+        _SCOPE.reset(token)
+        kept = own[len(own) - last :]
+        (_WRITTEN if outer is None else outer).extend(kept)
+        _delete(spark, own[: len(own) - len(kept)])
 
 
 def trimmed(text: Column) -> Column:

@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from sonorum.llm.common import materialize, only_the_last_stays
 
 
-def _stars(links: DataFrame) -> DataFrame:
+#: A node with so many links, and one in a thousand of all, is hot; its least neighbour is copied to so many join keys.
+HOT, COPIES = 100_000, 64
+
+
+def _stars(links: DataFrame, n_links: int, hot_from: int) -> DataFrame:
     """Large star: every greater neighbour of a node links to the least of its neighbourhood."""
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")).withColumn("m", F.least("u", "m"))
+    keys = ["u"]
+    if n_links >= hot_from:  # else no node can be hot
+        is_hot = F.col("c") >= max(hot_from, n_links / 1000)
+        hot = F.broadcast(least.filter(is_hot).select("u", F.lit(True).alias("hot")))  # 2,000 nodes at most, as links have two ends
+        both = both.join(hot, "u", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("v"), F.lit(COPIES)).cast("int")).otherwise(0))
+        least = least.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(COPIES - 1))).otherwise(F.array(F.lit(0)))))
+        keys = ["u", "salt"]
+    return both.join(least.drop("c"), keys).filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_stars(links: DataFrame) -> DataFrame:
@@ -22,20 +33,21 @@ def _small_stars(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, hot_from: int = HOT) -> DataFrame:
     """node -> root, the least node of its component, for all nodes with a link other than the root.
 
     links: a, b of one orderable type; order, repeats, loops and nulls do not matter. Minima are
-    aggregated before they meet the links again, so a node of any degree is spread over tasks.
+    aggregated before they meet the links again, and a node of at least `hot_from` links meets them in many parts.
     """
     links = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     state = None
     with only_the_last_stays(links.sparkSession):
         links = materialize(links, "links")
+        n_links = links.count()
         while True:
-            links = materialize(_small_stars(_stars(links)), "links")
+            links = materialize(_small_stars(_stars(links, n_links, hot_from)), "links")
             now = links.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
             if now == state or now[0] == 0:
                 break
-            state = now
+            state, n_links = now, now[0]
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

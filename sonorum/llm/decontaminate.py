@@ -23,6 +23,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -299,17 +300,25 @@ def with_leaks(
     hold no item; repeated items each match, and so do repeated rows; of equally good passages the
     first is named. An empty table of either gives no leak.
     With `whole_share`, for items that are one text, so much of the whole item counts as well as both parts.
-    Items of more than `max_words` words are searched in blocks of about so many; docs with what was found so
-    far are then written after each block but the last. No block's size or company changes a result.
+    Items of more than `max_words` words are searched in blocks of about so many, each in a pass over the texts of docs that writes
+    only what it finds, by a digest of the text; one join with docs ends it. No block's size or company changes a result.
     """
-    spark = docs.sparkSession
-    found = F.array().cast(LEAKS)
-    for only, search in _searches(spark, items, threshold, question_share, answer_share, gram, max_words, whole_share):
-        docs = docs.withColumn(name, F.concat(found, search(F.col("text"))))
+    key, parts = F.md5(F.col("text").cast("binary")), []
+    for only, search in _searches(docs.sparkSession, items, threshold, question_share, answer_share, gram, max_words, whole_share):
         if only:
-            return docs
-        docs, found = materialize(docs, "searched"), F.col(name)
-    return docs.withColumn(name, found)
+            return docs.withColumn(name, search(F.col("text")))
+        found = docs.select(key.alias("__key"), F.explode(search(F.col("text"))).alias("leak"))
+        parts.append(materialize(found.distinct(), "leaks"))
+    nothing = F.array().cast(LEAKS)
+    if not parts:
+        return docs.withColumn(name, nothing)
+    found = reduce(DataFrame.unionByName, parts).groupBy("__key").agg(F.array_sort(F.collect_list("leak")).alias("__found"))
+    # a text that very many rows repeat is one digest: its finds stand once for each of so many parts of the rows
+    copies = 16
+    found = found.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    part = F.pmod(F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind)), F.lit(copies)).cast("int")
+    joined = docs.withColumn("__key", key).withColumn("__part", part).join(found, ["__key", "__part"], "left")
+    return joined.withColumn(name, F.coalesce("__found", nothing)).select(*docs.withColumn(name, nothing).columns)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, question_share: float = 0.6, answer_share: float = 0.6, gram: int = 3, max_words: int = 500_000, whole_share: float | None = None) -> DataFrame:

@@ -163,10 +163,11 @@ def mix_sources(
     most: float = 2.0,
     seed: int = 7,
     slots: int = 256,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken; one row for each row of docs.
+    """doc_id, source, size, source_size, target, copies, taken; one row for each row of docs. With keep also kept, a struct of these columns of the row.
 
-    docs: doc_id, source and (for the default size, its words) text; other columns are not read.
+    docs: doc_id, source and (for the default size, its words) text; other columns but `keep` are not read.
     size defaults to the number of words of the whole text, however long, 0 for null texts. A null
     source is a source of its own, last in order. copies is 0, 1 or 2 and taken = copies * size; texts without words
     are taken 0 times. Repeated rows each count as a document; an empty table gives an empty mix.
@@ -176,7 +177,7 @@ def mix_sources(
     """
     size = F.size(split_words(F.col("text"))).cast("long") if size is None else size
     key = [F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")]
-    sized = materialize(docs.select("doc_id", *key, size.alias("size")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id")), "sized")
+    sized = materialize(docs.select("doc_id", *key, size.alias("size"), *([F.struct(*keep).alias("kept")] if keep else [])).withColumn("h", F.xxhash64(F.lit(seed), "doc_id")), "sized")
     histogram = sized.groupBy("no_source", "source", "size").agg(F.count(F.lit(1)).alias("n"))
     sources = histogram.groupBy("no_source", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = source_targets(sources, weights, share, most)
@@ -202,7 +203,7 @@ def mix_sources(
         slotted.withColumn("rank", rank)
         .join(shares, of_slot)
         .withColumn("copies", F.col("base") + (F.col("before") + F.col("rank") <= F.col("quota")).cast("int"))
-        .select("doc_id", F.when(~F.col("no_source"), F.col("source")).alias("source"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("doc_id", F.when(~F.col("no_source"), F.col("source")).alias("source"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(["kept"] if keep else []))
     )
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from sonorum.llm.common import materialize, read_table
 from sonorum.llm.components import connected_components
 from sonorum.llm.simhash import _folded, _lists, bitmaps, joined_roots, likely_pairs, remaining_pairs, shingle_set
+from sonorum.operators.joins import join_one_per_key
 
 
 def bands(percent: int, up_to: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +187,7 @@ def similar_sets(
     placed = nodes.join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = placed.join(least, "root").select("digest", "component_id")
-    linked = marked.filter("n > 0").join(named, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    linked = join_one_per_key(marked.filter("n > 0").drop("keys"), named, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(marked.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 

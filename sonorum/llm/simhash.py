@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from sonorum.llm.common import count_partitions, materialize, read_table
 from sonorum.llm.components import connected_components
+from sonorum.operators.joins import join_one_per_key
 
 SEED = 42
 
@@ -250,7 +251,7 @@ def near_duplicates(
     placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     names = placed.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marked.join(names, "fp").select("doc_id", "fp", "component_id")
+    return join_one_per_key(marked, names, "fp").select("doc_id", "fp", "component_id")
 
 
 def shingle_set(words: list[bytes], size: int) -> np.ndarray:
@@ -526,7 +527,7 @@ def similar_documents(
     placed = exact.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), F.struct("first_id", "digest").alias("name"))
     least = placed.groupBy("root").agg(F.min("name").alias("least"))
     named = placed.join(least, "root").select("digest", F.col("least.first_id").alias("component_id"), (F.col("name") == F.col("least")).alias("least"))
-    return marked.join(named, "digest").select("doc_id", "component_id", "digest", (F.col("least") & (F.col("doc_id") == F.col("component_id"))).alias("least"))
+    return join_one_per_key(marked, named, "digest").select("doc_id", "component_id", "digest", (F.col("least") & (F.col("doc_id") == F.col("component_id"))).alias("least"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

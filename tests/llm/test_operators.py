@@ -135,6 +135,22 @@ def test_leaks_do_not_depend_on_blocks_or_other_items(spark):
     assert {r["doc_id"] for r in alone} == {r[0] for r in found[0] if r[1] == 3} == {9, 10}
 
 
+def test_no_table_between_blocks_of_items_holds_a_text(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(k, " ".join(rng.choices([f"v{j}" for j in range(900)], k=40))) for k in range(8)]
+    rows = [(d, f"before {items[d % 8][1]} after" if d % 3 else "nothing of these", "en", "a", 1) for d in range(30)]
+    rows += [rows[1]] * 3 + [(None, rows[1][1], None, None, None), (None, None, None, None, None)]
+    written, real = [], decontaminate.materialize
+    monkeypatch.setattr(decontaminate, "materialize", lambda df, what: written.append(df.columns) or real(df, what))
+    docs = spark.createDataFrame(rows, DOCS).withColumn("leak", F.lit("x")).withColumn("pair", F.create_map(F.lit(1), F.lit(2)))
+    split = decontaminate.split_items(spark.createDataFrame(items, "item_id bigint, text string"))
+    one, many = (decontaminate.with_leaks(docs, split, "found", max_words=n) for n in (10_000, 60))
+    assert one.columns == many.columns == [*docs.columns, "found"]
+    assert len(written) > 3 and not any("text" in columns for columns in written)
+    facts = [sorted((r["doc_id"] is None, r["doc_id"] or 0, [x["item_id"] for x in r["found"]]) for r in df.collect()) for df in (one, many)]
+    assert facts[0] == facts[1] and len(facts[0]) == len(rows) and sum(map(len, (f[2] for f in facts[0]))) == 24
+
+
 def test_odd_bytes_do_not_stop_the_operators(spark):
     odd = spark.sql("select 1L as doc_id, cast(unhex('61FF6220C3') as string) as text, 'en' as lang, 'a' as source, 1L as n_chars union all select 2L, 'plain words', 'en', 'a', 1L")
     items = spark.createDataFrame([(1, "plain words", "here")], "item_id bigint, question string, answer string")
@@ -582,6 +598,15 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def test_hubs_are_dealt_over_tasks(spark):
+    """A star of 3,000 links, and chains; as a hot node and as any other."""
+    rows = [(1, k) for k in range(2, 3002)] + [(5000 + k, 5001 + k) for k in range(40)]
+    links = spark.createDataFrame(rows, "a bigint, b bigint")
+    want = {k: 1 for k in range(2, 3002)} | {5001 + k: 5000 for k in range(40)}
+    for hot_from in (100, 10_000):
+        assert {r["node"]: r["root"] for r in connected_components(links, hot_from).collect()} == want
+
+
 def test_simhash_against_all_pairs(spark):
     rows = simhash.op8_simhash(spark, SMALL).collect()
     fps = {d: plain_fingerprint(t) for d, t in texts(SMALL)}
