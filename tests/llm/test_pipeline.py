@@ -1,12 +1,13 @@
 import random
+import threading
 
 import duckdb
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from llm.test_operators import by_union, similar_pairs
-from sonorum.llm import simhash
-from sonorum.llm.common import drop_tables, materialize
+from sonorum.llm import mixing, simhash
+from sonorum.llm.common import drop_tables, materialize, only_the_last_stays
 
 SF, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -65,6 +66,40 @@ def test_near_copies_of_the_table_are_one_group(spark):
     assert kept == set(want.values())
 
 
+def test_the_mix_takes_rows_one_by_one(spark):
+    """Rows without id, and with one id: the words taken stay near the targets."""
+    rng = random.Random(2)
+    rows = [(None if k % 3 else k % 5, " ".join(rng.choices("abcdefgh", k=rng.randrange(5, 60))), "en", "abc"[k % 3], 1) for k in range(300)]
+    rows += rows[:50]
+    docs = spark.createDataFrame(rows, DOCS)
+    mixed = pipeline.source_mixing(spark, docs, SF).collect()
+    targets = {r["source"]: r["target"] for r in mixing.mix_sources(docs).select("source", "target").distinct().collect()}
+    for source, target in targets.items():
+        assert abs(sum(r["taken"] for r in mixed if r["source"] == source) - target) <= 60
+    assert len(mixed) <= len(rows)
+
+
+def test_tables_of_two_threads_do_not_meet(spark):
+    both, left = threading.Barrier(2), {}
+
+    def work(name):
+        with only_the_last_stays(spark):
+            first = materialize(spark.range(3), name)
+            both.wait()
+            last = materialize(first.union(spark.range(4)), name)
+            both.wait()
+        both.wait()
+        left[name] = last.count()
+
+    threads = [threading.Thread(target=work, args=(n,)) for n in ("one", "two")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    assert left == {"one": 7, "two": 7}
+    drop_tables(spark)
+
+
 def test_run(spark):
     drop_tables(spark)
     assert pipeline.run(spark, SF).count() > 100
