@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonorum.llm.common import materialize, read_table
@@ -119,6 +119,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
     return read.join(wanted, ["rid", "digest"]).groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
+def _short() -> Column:
+    return F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("bigint")
+
+
 def shared_tokens(tokens: DataFrame) -> DataFrame:
     """The rows (node, token) of tokens that more than one node has. A node has a token once."""
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
@@ -160,10 +164,15 @@ def similar_sets(
     texts of fewer than `words` words are one shingle. A null doc_id has its component but never names one. Repeated rows
     stay repeated, texts may have any length, an empty table stays empty, and extra columns of docs are not read.
     """
-    marked = materialize(sketched(docs, words, percent, id_col, text_col), "sketches")
-    nodes = marked.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("rid").alias("rid"), F.min("n").alias("n"), F.first("keys").alias("keys"))
-    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    found = materialize(shared_tokens(nodes.select("node", F.explode("keys").alias("token"))), "shared")
+    sketches = materialize(sketched(docs, words, percent, id_col, text_col), "sketches")
+    marked = sketches.drop("keys")
+    nodes = marked.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("rid").alias("rid"))
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("short", _short()), "nodes")
+    # texts find each other by the head of their set's digest: first the keys that are there twice, then those of two sets
+    held = sketches.select(_short().alias("node"), F.explode("keys").alias("token"))
+    twice = materialize(held.join(held.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "token"), "twice")
+    found = shared_tokens(twice.distinct()).withColumnRenamed("node", "short").join(nodes.select("short", "node"), "short")
+    found = materialize(found.select("node", "token"), "shared")
     living = nodes.join(found.select("node").distinct(), "node", "left_semi").select("node", "rid", "digest")
     sets = materialize(_sets(docs, living, words, id_col, text_col), "sets")
     marks = sets.select("node", F.size("hashes").alias("n"), F.lit(0).alias("lone")).join(bitmaps(sets), "node")
@@ -179,7 +188,7 @@ def similar_sets(
     for turn in range(rounds + 1):
         rooted = tokens.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         last = turn == rounds
-        pairs = remaining_pairs(recut(rooted, sets, percent, most), percent / 100) if last else likely_pairs(rooted, percent / 100, F.xxhash64("node", F.lit(turn)))
+        pairs = remaining_pairs(recut(rooted, sets, percent, most), percent / 100) if last else likely_pairs(rooted, percent / 100, turn)
         near = materialize(confirmed(materialize(pairs, "pairs")), "near")
         if not near.isEmpty():
             roots = materialize(joined_roots(roots, near) if turn else connected_components(near), "roots")
@@ -187,7 +196,7 @@ def similar_sets(
     placed = nodes.join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = placed.join(least, "root").select("digest", "component_id")
-    linked = join_one_per_key(marked.filter("n > 0").drop("keys"), named, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    linked = join_one_per_key(marked.filter("n > 0"), named, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(marked.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 

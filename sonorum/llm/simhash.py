@@ -361,33 +361,35 @@ def token_sets(sets: DataFrame, similarity: float) -> DataFrame:
     return listed.select("node", "n", "lone", "bits", F.explode("token").alias("token"))
 
 
+def _apart(one: str, other: str) -> Column:
+    """In how many bits the bitmaps of two sets (structs with bits) differ."""
+    return sum((F.bit_count(F.get(f"{one}.bits", F.lit(k)).bitwiseXOR(F.get(f"{other}.bits", F.lit(k)))) for k in range(BITMAP)), F.lit(0))
+
+
 def _can_be(similarity: float, one: str, other: str) -> Column:
-    """Whether two sets (structs with n, lone and bits) can have the similarity.
+    """Whether two sets (structs with n, lone, bits and apart, the bits in which they differ) can have the similarity.
 
     They share no lone shingle, and differ in at least as many shingles as their bitmaps differ in bits.
     """
-    n, m, lone, alone = F.col(f"{one}.n"), F.col(f"{other}.n"), F.col(f"{one}.lone"), F.col(f"{other}.lone")
+    n, m, lone, alone, apart = F.col(f"{one}.n"), F.col(f"{other}.n"), F.col(f"{one}.lone"), F.col(f"{other}.lone"), F.col("apart")
     shared = F.least(n - lone, m - alone)
-    apart = sum((F.bit_count(F.get(f"{one}.bits", F.lit(k)).bitwiseXOR(F.get(f"{other}.bits", F.lit(k)))) for k in range(BITMAP)), F.lit(0))
     return (shared >= similarity * (shared + lone + alone) - 1e-9) & (n + m - apart >= similarity * (n + m + apart) - 1e-9) & (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9)
 
 
-def likely_pairs(tokens: DataFrame, similarity: float, order: Column) -> DataFrame:
+def likely_pairs(tokens: DataFrame, similarity: float, turn: int) -> DataFrame:
     """x, y: for every node the likeliest partner of another root, by tokens (node, root, n, lone, bits, token).
 
-    A token names its first node in `order`, to nodes of that root its first of another. Only least
-    values of tokens are aggregated, so no token is too frequent, and a node gets one partner, the one that most
-    of its tokens name.
+    A token names a node, to nodes of that root one of another, other ones by each token and in each turn. A node gets one partner, of those
+    that its tokens name the one whose bitmap is nearest. Only least values of tokens are aggregated, so no token is too frequent.
     """
-    name = F.struct(order.alias("o"), "lone", "node", "root", "n", "bits")
+    name = F.struct(F.xxhash64("node", "token", F.lit(turn)).alias("o"), "lone", "node", "root", "n", "bits")
     named = tokens.withColumn("own", name)
     first = named.groupBy("token").agg(F.min("own").alias("first"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token", "first")
     met = named.join(first, "token")
     second = met.filter(F.col("root") != F.col("first.root")).groupBy("token").agg(F.min("own").alias("second"))
     met = met.join(second, "token").withColumn("other", F.when(F.col("root") != F.col("first.root"), F.col("first")).otherwise(F.col("second")))
-    pairs = met.filter(_can_be(similarity, "own", "other")).select(F.col("node").alias("x"), F.col("other.node").alias("y"), F.col("other.lone").alias("alone"))
-    named = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"), F.min("alone").alias("alone"))
-    best = named.groupBy("x").agg(F.max_by("y", F.struct(F.col("c"), -F.col("alone"), -F.col("y"))).alias("y"))
+    pairs = met.withColumn("apart", _apart("own", "other")).filter(_can_be(similarity, "own", "other")).select(F.col("node").alias("x"), F.col("other.node").alias("y"), "apart")
+    best = pairs.groupBy("x").agg(F.max_by("y", F.struct(-F.col("apart"), -F.col("y"))).alias("y"))
     return best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
@@ -397,14 +399,18 @@ def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) ->
 
 
 def listed_pairs(tokens: DataFrame, similarity: float, most: int) -> DataFrame:
-    """The same, each pair once for every token it shares.
+    """The same, each pair once for every set of nodes that its tokens have; of tokens with the same nodes one counts.
 
     Within a token the nodes of the root that most of its nodes have (the major ones) meet only those of other roots. Both kinds are dealt to
     blocks of about `most` nodes. A cell is two blocks of minor nodes, or one of minor and one of major nodes, and
     lists the pairs between the two, so each pair of a token is listed in one cell, and no cell is larger than two blocks.
     """
-    sizes = tokens.groupBy("token", "root").count()
-    of_token = sizes.groupBy("token").agg(F.max("count").alias("majors"), F.max_by("root", F.struct("count", "root")).alias("major"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+    nodes = [F.bit_xor(F.xxhash64("node")).alias("odd"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("sum")]
+    sizes = tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("count"), *nodes)
+    of_token = sizes.groupBy("token").agg(
+        F.max("count").alias("majors"), F.max_by("root", F.struct("count", "root")).alias("major"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("roots"), F.bit_xor("odd").alias("odd"), F.sum("sum").alias("sum"),
+    ).filter("roots > 1")
+    of_token = of_token.groupBy("all", "odd", "sum").agg(F.min("token").alias("token"), F.min("majors").alias("majors"), F.min("major").alias("major"))
     blocks = lambda n: F.ceil(n / most).cast("int")
     met = tokens.join(of_token.select("token", "major", blocks(F.col("all") - F.col("majors")).alias("minor_blocks"), blocks(F.col("majors")).alias("major_blocks")), "token")
     minor, width = F.col("root") != F.col("major"), F.col("minor_blocks") + F.col("major_blocks")
@@ -518,8 +524,7 @@ def similar_documents(
     tokens = materialize(token_sets(sets, similarity), "tokens")
     for turn in range(rounds + 1):
         rooted = tokens.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        order = F.col("lone").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        pairs = materialize(likely_pairs(rooted, similarity, order) if turn < rounds else remaining_pairs(rooted, similarity), "pairs")
+        pairs = materialize(likely_pairs(rooted, similarity, turn) if turn < rounds else remaining_pairs(rooted, similarity), "pairs")
         near = materialize(confirmed(pairs), "near")
         if not near.isEmpty():
             roots = materialize(joined_roots(roots, near), "roots")
