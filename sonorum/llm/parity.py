@@ -43,6 +43,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+#: One in so many keys is asked for a likely partner in a round before the last. It decides about time and no result.
+ASKED = 4
 #: Bits of a word, so many that two hashes of a set hardly ever share one.
 WIDTH = 1024
 #: Share of words that a sketch has beyond k + 1, and the bits up to which a word is poor.
@@ -149,8 +151,7 @@ def recut(rooted: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFr
     hot = materialize(rooted.join(heavy, "token").select("node", "token"), "hot")
     own = sets.join(hot.select("node").distinct(), "node", "left_semi").select("node", "hashes").mapInArrow(run, "node bigint, keys array<bigint>")
     finer = hot.join(own, "node").select("node", "token", F.explode("keys").alias("key")).select("node", F.xxhash64("token", "key").alias("token"))
-    marks = rooted.drop("token").dropDuplicates(["node"])
-    return kept.unionByName(shared_tokens(finer).join(marks, "node"))
+    return kept.unionByName(shared_tokens(finer.distinct()).join(rooted.select("node", "root").distinct(), "node"))
 
 
 def similar_sets(
@@ -175,8 +176,7 @@ def similar_sets(
     found = materialize(found.select("node", "token"), "shared")
     living = nodes.join(found.select("node").distinct(), "node", "left_semi").select("node", "rid", "digest")
     sets = materialize(_sets(docs, living, words, id_col, text_col), "sets")
-    marks = sets.select("node", F.size("hashes").alias("n"), F.lit(0).alias("lone")).join(bitmaps(sets), "node")
-    tokens = materialize(found.join(marks, "node"), "tokens")
+    marks = materialize(sets.select("node", F.size("hashes").alias("n"), F.lit(0).alias("lone")).join(bitmaps(sets), "node"), "marks")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         common = F.size(F.array_intersect("sx", "sy")).cast("bigint")
@@ -186,9 +186,9 @@ def similar_sets(
 
     roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
     for turn in range(rounds + 1):
-        rooted = tokens.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         last = turn == rounds
-        pairs = remaining_pairs(recut(rooted, sets, percent, most), percent / 100) if last else likely_pairs(rooted, percent / 100, turn)
+        pairs = remaining_pairs(recut(rooted, sets, percent, most), marks, percent / 100) if last else likely_pairs(rooted, marks, percent / 100, turn, ASKED)
         near = materialize(confirmed(materialize(pairs, "pairs")), "near")
         if not near.isEmpty():
             roots = materialize(joined_roots(roots, near) if turn else connected_components(near), "roots")

@@ -338,8 +338,8 @@ def bitmaps(sets: DataFrame) -> DataFrame:
     return sets.select("node", "hashes").mapInArrow(run, "node bigint, bits array<bigint>")
 
 
-def token_sets(sets: DataFrame, similarity: float) -> DataFrame:
-    """node, n, lone, bits, token: the tokens by which sets (node, hashes) find each other, and how many shingles of a node no other set has.
+def token_sets(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(node, token), (node, n, lone, bits): the tokens by which sets (node, hashes) find each other, and what is known of a node; lone are its shingles that no other set has.
 
     Two sets of the similarity share a token. A node's shingles are in order of how many sets hold
     them, and its tokens are the first of them, without the `lone` ones, which no pair shares. A set
@@ -357,8 +357,8 @@ def token_sets(sets: DataFrame, similarity: float) -> DataFrame:
     ordered = held.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("tokens"))
     ordered = ordered.withColumn("lone", F.col("n") - F.size("tokens"))
     wanted = F.col("n") - _least_share(similarity, F.col("n")) + 1 - F.col("lone")
-    listed = ordered.filter(wanted > 0).select("node", "n", "lone", F.slice("tokens.token", F.lit(1), wanted).alias("token")).join(bitmaps(sets), "node")
-    return listed.select("node", "n", "lone", "bits", F.explode("token").alias("token"))
+    listed = materialize(ordered.filter(wanted > 0).select("node", "n", "lone", F.slice("tokens.token", F.lit(1), wanted).alias("token")), "listed")
+    return listed.select("node", F.explode("token").alias("token")), listed.select("node", "n", "lone").join(bitmaps(sets), "node")
 
 
 def _apart(one: str, other: str) -> Column:
@@ -376,29 +376,32 @@ def _can_be(similarity: float, one: str, other: str) -> Column:
     return (shared >= similarity * (shared + lone + alone) - 1e-9) & (n + m - apart >= similarity * (n + m + apart) - 1e-9) & (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9)
 
 
-def likely_pairs(tokens: DataFrame, similarity: float, turn: int) -> DataFrame:
-    """x, y: for every node the likeliest partner of another root, by tokens (node, root, n, lone, bits, token).
+def likely_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, turn: int, share: int = 1) -> DataFrame:
+    """x, y: for every node the likeliest partner of another root, by tokens (node, root, token) and marks (node, n, lone, bits).
 
     A token names a node, to nodes of that root one of another, other ones by each token and in each turn. A node gets one partner, of those
     that its tokens name the one whose bitmap is nearest. Only least values of tokens are aggregated, so no token is too frequent.
+    One token in `share` is asked, other ones in each turn.
     """
-    name = F.struct(F.xxhash64("node", "token", F.lit(turn)).alias("o"), "lone", "node", "root", "n", "bits")
-    named = tokens.withColumn("own", name)
+    asked = tokens if share == 1 else tokens.filter(F.pmod(F.xxhash64("token"), F.lit(share)) == turn % share)
+    named = asked.withColumn("own", F.struct(F.xxhash64("node", "token", F.lit(turn)).alias("o"), "node", "root"))
     first = named.groupBy("token").agg(F.min("own").alias("first"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token", "first")
-    met = named.join(first, "token")
-    second = met.filter(F.col("root") != F.col("first.root")).groupBy("token").agg(F.min("own").alias("second"))
-    met = met.join(second, "token").withColumn("other", F.when(F.col("root") != F.col("first.root"), F.col("first")).otherwise(F.col("second")))
-    pairs = met.withColumn("apart", _apart("own", "other")).filter(_can_be(similarity, "own", "other")).select(F.col("node").alias("x"), F.col("other.node").alias("y"), "apart")
-    best = pairs.groupBy("x").agg(F.max_by("y", F.struct(-F.col("apart"), -F.col("y"))).alias("y"))
+    met = named.select("token", "own").join(first, "token")
+    second = met.filter(F.col("own.root") != F.col("first.root")).groupBy("token").agg(F.min("own").alias("second"))
+    met = met.join(second, "token").withColumn("other", F.when(F.col("own.root") != F.col("first.root"), F.col("first")).otherwise(F.col("second")))
+    pairs = met.select(F.col("own.node").alias("x"), F.col("other.node").alias("y")).distinct()
+    one, two = (marks.select(F.col("node").alias(c), F.struct("n", "lone", "bits").alias(name)) for c, name in (("x", "own"), ("y", "other")))
+    near = pairs.join(one, "x").join(two, "y").withColumn("apart", _apart("own", "other")).filter(_can_be(similarity, "own", "other"))
+    best = near.groupBy("x").agg(F.max_by("y", F.struct(-F.col("apart"), -F.col("y"))).alias("y"))
     return best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def remaining_pairs(tokens: DataFrame, similarity: float, most: int = 50_000) -> DataFrame:
+def remaining_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: int = 50_000) -> DataFrame:
     """x, y: all pairs of nodes of different roots that share a token and can have the similarity, each once."""
-    return listed_pairs(tokens, similarity, most).distinct()
+    return listed_pairs(tokens, marks, similarity, most).distinct()
 
 
-def listed_pairs(tokens: DataFrame, similarity: float, most: int) -> DataFrame:
+def listed_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: int) -> DataFrame:
     """The same, each pair once for every set of nodes that its tokens have; of tokens with the same nodes one counts.
 
     Within a token the nodes of the root that most of its nodes have (the major ones) meet only those of other roots. Both kinds are dealt to
@@ -457,6 +460,7 @@ def listed_pairs(tokens: DataFrame, similarity: float, most: int) -> DataFrame:
             x, y = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
+    met = met.select("token", "cell", "node", "root", "first", "second").join(marks, "node")
     dealt = met.select("token", "cell", "node", "root", "n", "lone", "first", "second", "bits").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "cell").sortWithinPartitions("token", "cell")
     return dealt.mapInArrow(run, "x bigint, y bigint")
 
@@ -521,10 +525,11 @@ def similar_documents(
     proposed = across.unionByName(within).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     roots = connected_components(confirmed(proposed))
 
-    tokens = materialize(token_sets(sets, similarity), "tokens")
+    tokens, marks = token_sets(sets, similarity)
+    marks = materialize(marks, "marks")
     for turn in range(rounds + 1):
         rooted = tokens.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        pairs = materialize(likely_pairs(rooted, similarity, turn) if turn < rounds else remaining_pairs(rooted, similarity), "pairs")
+        pairs = materialize(likely_pairs(rooted, marks, similarity, turn) if turn < rounds else remaining_pairs(rooted, marks, similarity), "pairs")
         near = materialize(confirmed(pairs), "near")
         if not near.isEmpty():
             roots = materialize(joined_roots(roots, near), "roots")

@@ -109,8 +109,9 @@ def test_bands_hold_every_similar_pair_of_sizes():
 def test_pairs_of_a_token_are_listed_once_whatever_the_blocks(spark, most):
     """400 nodes of one token: 150 of one root, some roots of several nodes, and single ones. A second token has the same nodes, a third others."""
     root = lambda k: 0 if k < 150 else 200 + k % 10 if k < 230 else k
-    rows = [(t, k, root(k), 10, 0, [0] * simhash.BITMAP) for t in (5, 6) for k in range(400)] + [(7, k, root(k), 10, 0, [0] * simhash.BITMAP) for k in (1, 2, 300)]
-    tokens = spark.createDataFrame(rows, "token bigint, node bigint, root bigint, n int, lone int, bits array<bigint>")
-    listed = [(r["x"], r["y"]) for r in simhash.listed_pairs(tokens, 0.8, most=most).collect()]
+    rows = [(t, k, root(k)) for t in (5, 6) for k in range(400)] + [(7, k, root(k)) for k in (1, 2, 300)]
+    tokens = spark.createDataFrame(rows, "token bigint, node bigint, root bigint")
+    marks = spark.createDataFrame([(k, 10, 0, [0] * simhash.BITMAP) for k in range(400)], "node bigint, n int, lone int, bits array<bigint>")
+    listed = [(r["x"], r["y"]) for r in simhash.listed_pairs(tokens, marks, 0.8, most=most).collect()]
     want = [(a, b) for a in range(400) for b in range(a + 1, 400) if root(a) != root(b)]
     assert sorted(listed) == sorted([*want, (1, 300), (2, 300)])
