@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,13 @@ def only_the_last_stays(spark: SparkSession) -> Iterator[None]:
         _delete(spark, own[: len(own) - len(kept)])
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of so many rows, so that what is made of a batch's texts is not held for all of them at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def trimmed(text: Column) -> Column:
     return F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))
 

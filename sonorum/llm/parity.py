@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import materialize, read_table
+from sonorum.llm.common import in_parts, materialize, read_table
 from sonorum.llm.components import connected_components
 from sonorum.llm.simhash import _folded, _lists, bitmaps, joined_roots, likely_pairs, remaining_pairs, shingle_set
 from sonorum.operators.joins import join_one_per_key
@@ -95,7 +95,7 @@ def sketched(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = bands(percent)
-        for batch in batches:
+        for batch in in_parts(batches):
             rows, keys = [], []
             for text in batch.column(2):
                 own = shingle_set(_folded(text.as_py()), words)
@@ -112,7 +112,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
     """node, hashes: the sets of `wanted` (node, rid, digest), each read from one of its texts again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             found = [shingle_set(_folded(text.as_py()), words) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_digest, found), pa.binary()), _lists(found)], ["rid", "digest", "hashes"])
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import count_partitions, materialize, read_table
+from sonorum.llm.common import count_partitions, in_parts, materialize, read_table
 from sonorum.llm.components import connected_components
 from sonorum.operators.joins import join_one_per_key
 
@@ -284,7 +284,7 @@ def signatures(docs: DataFrame, words: int, finger_words: int, similarity: float
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows, prefixes = [], []
             for text in batch.column(1):
                 found = _folded(text.as_py())
@@ -304,7 +304,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, digest, hashes: the whole shingle set of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             found = [_folded(text.as_py()) for text in batch.column(1)]
             columns = [batch.column(0), pa.array(map(_digest, found), pa.binary()), _lists([shingle_set(f, size) for f in found])]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "hashes"])
