@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -30,6 +31,34 @@ _WRITTEN: list[str] = []
 _SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
+#: Rows that go to a Python worker at once while a table is written, so that texts and sets stay small there and in what Spark sends.
+BATCH_ROWS = 1000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_LOCK = threading.Lock()
+#: By session: how many writes are under way, and the setting that held before the first.
+_WRITING: dict[str, tuple[int, str]] = {}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is planned inside sends Arrow batches of BATCH_ROWS rows at most; the session's own setting holds again when the last such write has ended."""
+    session = spark._jsparkSession.sessionUUID()
+    with _BATCH_LOCK:
+        writes, before = _WRITING.get(session, (0, spark.conf.get(_BATCH_KEY)))
+        _WRITING[session] = (writes + 1, before)
+        if not writes and not 0 < int(before) <= BATCH_ROWS:
+            spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        with _BATCH_LOCK:
+            writes, before = _WRITING.pop(session)
+            if writes > 1:
+                _WRITING[session] = (writes - 1, before)
+            else:
+                spark.conf.set(_BATCH_KEY, before)
+
+
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
 
@@ -37,7 +66,8 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     scope = _SCOPE.get()
     (_WRITTEN if scope is None else scope).append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,11 +2,12 @@ import random
 import threading
 
 import duckdb
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from llm.test_operators import by_union, similar_pairs
-from sonorum.llm import mixing, simhash
+from sonorum.llm import common, mixing, simhash
 from sonorum.llm.common import drop_tables, materialize, only_the_last_stays
 
 SF, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -104,3 +105,24 @@ def test_run(spark):
     drop_tables(spark)
     assert pipeline.run(spark, SF).count() > 100
     drop_tables(spark)
+
+
+def test_writes_send_small_batches_and_leave_the_setting_alone(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with common.small_batches(spark), common.small_batches(spark):
+        assert spark.conf.get(key) == str(common.BATCH_ROWS)
+    assert spark.conf.get(key) == before
+    written = common.materialize(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n bigint"), "sizes")
+    assert written.agg(F.max("n"), F.sum("n")).first() == (common.BATCH_ROWS, 5000)
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "200")  # smaller ones stay
+    try:
+        assert common.materialize(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n bigint"), "sizes").agg(F.max("n")).first()[0] == 200
+        assert spark.conf.get(key) == "200"
+    finally:
+        spark.conf.set(key, before)
