@@ -438,25 +438,29 @@ def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("vec_id", F.flatten(F.array_repeat(once, 250)).alias("samples"))
 
 
-#: Spectrum of one frame in SQL: 400 samples from frame f of the sound that _signals() makes, a periodic Hann window, 201 bins, 80 triangles on the mel scale.
+#: Spectra of a clip in SQL: 400 samples from frame f of the sound that _signals() makes (silence before and after), a periodic Hann window, 201 bins, 80 triangles
+#: on the mel scale. Frames 2 to 98 lie in the sound, where the even ones are alike and the odd ones too (160 mod 64 is 32); those of 102 and later are silence alone.
 _MEL_SQL = """
 once AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(least(floor(x::DOUBLE * 8000), 32767), -32768) / 32768.0::DOUBLE) AS s FROM embeddings),
 basis AS (SELECT k, i, (0.5 - 0.5 * cos(2 * pi() * i / 400)) * cos(2 * pi() * k * i / 400) AS re, (0.5 - 0.5 * cos(2 * pi() * i / 400)) * sin(2 * pi() * k * i / 400) AS im
   FROM (SELECT unnest(range(201)) AS k), (SELECT unnest(range(400)) AS i)),
-folded AS (SELECT f, k, (f * 160 - 200 + i) % 64 AS j, sum(re) AS re, sum(im) AS im FROM basis, (SELECT unnest([50, 51]) AS f) GROUP BY ALL),
+folded AS (SELECT f, k, (f * 160 - 200 + i) % 64 AS j, sum(re) AS re, sum(im) AS im
+  FROM basis, (SELECT unnest([0, 1, 50, 51, 99, 100, 101]) AS f) WHERE f * 160 - 200 + i BETWEEN 0 AND 250 * 64 - 1 GROUP BY ALL),
 flat AS (SELECT vec_id, unnest(s) AS v, unnest(range(64)) AS j FROM once),
 power AS (SELECT vec_id, f, k, sum(v * re) ** 2 + sum(v * im) ** 2 AS p FROM flat JOIN folded USING (j) GROUP BY ALL),
 edge AS (SELECT m, 700 * (10 ** (m * 2595 * log10(1 + 8000 / 700.0::DOUBLE) / 81 / 2595) - 1) AS hz FROM (SELECT unnest(range(82)) AS m)),
 filter AS (SELECT b.m, k, greatest(least((k * 40 - a.hz) / (b.hz - a.hz), (c.hz - k * 40) / (c.hz - b.hz)), 0) * 2 / (c.hz - a.hz) AS w
   FROM edge AS a JOIN edge AS b ON b.m = a.m + 1 JOIN edge AS c ON c.m = a.m + 2, (SELECT unnest(range(201)) AS k)),
 mel AS (SELECT vec_id, f, m, log10(greatest(sum(p * w), 1e-10)) AS e FROM power JOIN filter USING (k) WHERE w > 0 GROUP BY ALL),
-top AS (SELECT vec_id, max(e) AS top FROM mel GROUP BY vec_id)"""
+low AS (SELECT vec_id, greatest(max(e) - 8, -10) AS low FROM mel GROUP BY vec_id)"""
 
 
 @_query("d4_log_mel", f"""WITH {_MEL_SQL}
-SELECT vec_id, 80 * 3000 AS n, count(*) FILTER (WHERE f = 50) AS n_bands, round((max(e) FILTER (WHERE f = 50) + 4) / 4, 2) AS heard, least(3000, (200 + 250 * 64 + 159) // 160) AS n_frames
-FROM mel JOIN top USING (vec_id) GROUP BY vec_id, top""")
+SELECT vec_id, 80 * 3000 AS n, count(*) FILTER (WHERE f = 50) AS n_bands, round((greatest(max(e) FILTER (WHERE f = 50), low) + 4) / 4, 2) AS heard,
+  CAST(coalesce(sum(CASE f WHEN 50 THEN 49 WHEN 51 THEN 48 ELSE 1 END) FILTER (WHERE m = 11 AND (e + 4) / 4 > (low + 4) / 4 + 1e-4), 0) AS INT) AS n_frames
+FROM mel JOIN low USING (vec_id) GROUP BY vec_id, low""")
 def _log_mel(spark, sf_dir):
+    """n_frames counts the frames whose eleventh band is heard above the silence that pads the clip."""
     mel = signal.log_mel(_signals(spark, sf_dir), "vec_id").select("vec_id", F.size("mel").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(79)), lambda m: F.get("mel", m * 3000 + 50)).alias("heard"), F.slice("mel", 10 * 3000 + 1, 3000).alias("band"))
     sounding = F.filter("band", lambda x: x > F.element_at("band", -1) + 1e-4)
     return mel.select("vec_id", "n", F.size("heard").alias("n_bands"), _r(F.array_max("heard").cast("double"), 2).alias("heard"), F.size(sounding).alias("n_frames"))
