@@ -16,10 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sonorum.llm.common import in_parts, materialize, read_table
+from sonorum.llm.common import count_partitions, in_parts, materialize, read_table
 from sonorum.llm.components import connected_components
 from sonorum.llm.simhash import _folded, _lists, bitmaps, joined_roots, likely_pairs, remaining_pairs, shingle_set
 from sonorum.operators.joins import join_one_per_key
@@ -109,26 +110,28 @@ def sketched(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """node, hashes: the sets of `wanted` (node, rid, digest), each read from one of its texts again."""
+    """node, hashes: the sets of `wanted` (node, rid, digest), each read from one of its texts again and dealt by node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            found = [shingle_set(_folded(text.as_py()), words) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_digest, found), pa.binary()), _lists(found)], ["rid", "digest", "hashes"])
+            found = [shingle_set(_folded(text.as_py()), words) for text in batch.column(2)]
+            own = [k for k, (hashes, digest) in enumerate(zip(found, batch.column(1), strict=True)) if _digest(hashes) == digest.as_py()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), _lists([found[k] for k in own])], ["node", "hashes"])
 
-    texts = _numbered(docs, id_col, text_col).join(wanted.select("rid").distinct(), "rid", "left_semi").select("rid", "text")
-    read = texts.mapInArrow(run, "rid bigint, digest binary, hashes array<bigint>")
-    return read.join(wanted, ["rid", "digest"]).groupBy("node").agg(F.first("hashes").alias("hashes"))
+    texts = _numbered(docs, id_col, text_col).join(wanted, "rid").select("node", "digest", "text")
+    read = texts.mapInArrow(run, "node bigint, hashes array<bigint>")
+    return read.repartition(max(count_partitions(docs.sparkSession), 1), "node").groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
 def _short() -> Column:
     return F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("bigint")
 
 
-def shared_tokens(tokens: DataFrame) -> DataFrame:
-    """The rows (node, token) of tokens that more than one node has. A node has a token once."""
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
-    return tokens.join(shared, "token").select("node", "token")
+def shared_tokens(tokens: DataFrame, node: str = "node") -> DataFrame:
+    """The rows of tokens (node, token) of which several nodes have the token. Rows are dealt by token once, and stay so."""
+    own = Window.partitionBy("token")
+    both = tokens.withColumn("low", F.min(node).over(own)).withColumn("high", F.max(node).over(own))
+    return both.filter("low < high").select(node, "token")
 
 
 def recut(rooted: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
@@ -169,13 +172,12 @@ def similar_sets(
     marked = sketches.drop("keys")
     nodes = marked.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("rid").alias("rid"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("short", _short()), "nodes")
-    # texts find each other by the head of their set's digest: first the keys that are there twice, then those of two sets
-    held = sketches.select(_short().alias("node"), F.explode("keys").alias("token"))
-    twice = materialize(held.join(held.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "token"), "twice")
-    found = shared_tokens(twice.distinct()).withColumnRenamed("node", "short").join(nodes.select("short", "node"), "short")
-    found = materialize(found.select("node", "token"), "shared")
+    # texts find each other by the head of their set's digest; the keys are dealt once, and those that two sets have go on
+    held = sketches.select(_short().alias("short"), F.explode("keys").alias("token"))
+    found = materialize(shared_tokens(held, "short").distinct().join(nodes.select("short", "node"), "short").select("node", "token"), "shared")
     living = nodes.join(found.select("node").distinct(), "node", "left_semi").select("node", "rid", "digest")
-    sets = materialize(_sets(docs, living, words, id_col, text_col), "sets")
+    # the rounds below join the sets by node again and again, so they are dealt by it once
+    sets = _sets(docs, living, words, id_col, text_col).persist(StorageLevel.DISK_ONLY)
     marks = materialize(sets.select("node", F.size("hashes").alias("n"), F.lit(0).alias("lone")).join(bitmaps(sets), "node"), "marks")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -193,6 +195,7 @@ def similar_sets(
         if not near.isEmpty():
             roots = materialize(joined_roots(roots, near) if turn else connected_components(near), "roots")
 
+    sets.unpersist()
     placed = nodes.join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = placed.join(least, "root").select("digest", "component_id")

@@ -396,14 +396,20 @@ def likely_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, turn: i
     return best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
+#: So many of a node's least tokens go with it where pairs are listed: similar sets nearly always have some of them in common.
+LEAST_TOKENS = 16
+
+
 def remaining_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: int = 50_000) -> DataFrame:
     """x, y: all pairs of nodes of different roots that share a token and can have the similarity, each once."""
-    return listed_pairs(tokens, marks, similarity, most).distinct()
+    return listed_pairs(tokens, marks, similarity, most, LEAST_TOKENS).distinct()
 
 
-def listed_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: int) -> DataFrame:
+def listed_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: int, n_least: int = 0) -> DataFrame:
     """The same, each pair once for every set of nodes that its tokens have; of tokens with the same nodes one counts.
 
+    With `n_least` every node has so many of its least tokens with it, and a pair that has some of them in common is listed by the least of these alone.
+
     Within a token the nodes of the root that most of its nodes have (the major ones) meet only those of other roots. Both kinds are dealt to
     blocks of about `most` nodes. A cell is two blocks of minor nodes, or one of minor and one of major nodes, and
     lists the pairs between the two, so each pair of a token is listed in one cell, and no cell is larger than two blocks.
@@ -416,6 +422,11 @@ def listed_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: i
     of_token = of_token.groupBy("all", "odd", "sum").agg(F.min("token").alias("token"), F.min("majors").alias("majors"), F.min("major").alias("major"))
     blocks = lambda n: F.ceil(n / most).cast("int")
     met = tokens.join(of_token.select("token", "major", blocks(F.col("all") - F.col("majors")).alias("minor_blocks"), blocks(F.col("majors")).alias("major_blocks")), "token")
+    if n_least:  # those of a node with fewer tokens are filled up with the first
+        least = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, n_least).alias("least"))
+        marks = marks.join(least.select("node", F.concat("least", F.array_repeat(F.get("least", F.lit(0)), F.lit(n_least) - F.size("least"))).alias("least")), "node")
+    else:
+        marks = marks.withColumn("least", F.array().cast("array<bigint>"))
     minor, width = F.col("root") != F.col("major"), F.col("minor_blocks") + F.col("major_blocks")
     own = F.pmod(F.xxhash64("node"), F.when(minor, F.col("minor_blocks")).otherwise(F.col("major_blocks"))).cast("int")
     met = met.withColumn("own", F.when(minor, own).otherwise(F.col("minor_blocks") + own)).withColumn("width", width)
@@ -430,26 +441,30 @@ def listed_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: i
             cuts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)] if keys else [0]
             for begin, end in zip(cuts, cuts[1:], strict=False):
                 if keys[begin] != group:
-                    yield from meet(parts)
+                    yield from meet(group, parts)
                     group, parts = keys[begin], []
                 own = batch.slice(begin, end - begin)
                 bits = own.column("bits").flatten().to_numpy().view(np.uint64).reshape(-1, BITMAP)
-                parts.append([*(own.column(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n", "lone", "first", "second")), bits])
-        yield from meet(parts)
+                least = own.column("least").flatten().to_numpy().reshape(own.num_rows, n_least)
+                parts.append([*(own.column(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n", "lone", "first", "second")), bits, least])
+        yield from meet(group, parts)
 
-    def meet(parts: list) -> Iterator[pa.RecordBatch]:
+    def meet(group: tuple[int, int] | None, parts: list) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
         one, two = columns[4].astype(bool), columns[5].astype(bool)  # of a cell of one block every node is on both sides
-        node, root, n, lone, _, within, bits = (c[two] for c in columns)
+        node, root, n, lone, _, within, bits, least = (c[two] for c in columns)
         found, held = [], 0
-        for i, r, m, alone, _, same, own_bits in zip(*(c[one] for c in columns), strict=True):
+        for i, r, m, alone, _, same, own_bits, own_least in zip(*(c[one] for c in columns), strict=True):
             shared = np.minimum(n - lone, m - alone)
             close = (shared >= similarity * (shared + lone + alone) - 1e-9) & (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9)
             at = np.flatnonzero(close & (root != r) & ((i < node) if same else True))
             apart = np.bitwise_count(bits[at] ^ own_bits).sum(axis=1, dtype=np.int64)
-            other = node[at[n[at] + m - apart >= similarity * (n[at] + m + apart) - 1e-9]]
+            at = at[n[at] + m - apart >= similarity * (n[at] + m + apart) - 1e-9]
+            common = np.isin(least[at], own_least)
+            first = np.min(least[at], axis=1, where=common, initial=np.iinfo(np.int64).max)
+            other = node[at[~common.any(axis=1) | (first == group[0])]]
             found.append(np.stack([np.minimum(other, i), np.maximum(other, i)]))
             held += len(other)
             if held >= 100_000:
@@ -461,7 +476,7 @@ def listed_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: i
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
     met = met.select("token", "cell", "node", "root", "first", "second").join(marks, "node")
-    dealt = met.select("token", "cell", "node", "root", "n", "lone", "first", "second", "bits").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "cell").sortWithinPartitions("token", "cell")
+    dealt = met.select("token", "cell", "node", "root", "n", "lone", "first", "second", "bits", "least").repartition(max(count_partitions(tokens.sparkSession), 1), "token", "cell").sortWithinPartitions("token", "cell")
     return dealt.mapInArrow(run, "x bigint, y bigint")
 
 

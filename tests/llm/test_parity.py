@@ -115,3 +115,13 @@ def test_pairs_of_a_token_are_listed_once_whatever_the_blocks(spark, most):
     listed = [(r["x"], r["y"]) for r in simhash.listed_pairs(tokens, marks, 0.8, most=most).collect()]
     want = [(a, b) for a in range(400) for b in range(a + 1, 400) if root(a) != root(b)]
     assert sorted(listed) == sorted([*want, (1, 300), (2, 300)])
+
+
+def test_a_pair_of_many_common_tokens_is_listed_once(spark):
+    """Tokens of different nodes, so that none stands for another: three nodes that share 40, each token with one more node of its own."""
+    rows = [(node, node, token) for token in range(40) for node in (0, 1, 2, 100 + token)]
+    tokens = spark.createDataFrame(rows, "node bigint, root bigint, token bigint").withColumn("token", F.xxhash64("token"))
+    nodes = tokens.select("node").distinct()
+    marks = nodes.select("node", F.when(F.col("node") < 3, 50).otherwise(500 + 50 * F.col("node")).cast("int").alias("n"), F.lit(0).alias("lone"), F.array_repeat(F.lit(0).cast("bigint"), simhash.BITMAP).alias("bits"))
+    listed = sorted((r["x"], r["y"]) for r in simhash.listed_pairs(tokens, marks, 0.9, 1000, simhash.LEAST_TOKENS).collect() if r["y"] < 100)
+    assert listed == [(0, 1), (0, 2), (1, 2)]
