@@ -462,6 +462,8 @@ def listed_pairs(tokens: DataFrame, marks: DataFrame, similarity: float, most: i
             at = np.flatnonzero(close & (root != r) & ((i < node) if same else True))
             apart = np.bitwise_count(bits[at] ^ own_bits).sum(axis=1, dtype=np.int64)
             at = at[n[at] + m - apart >= similarity * (n[at] + m + apart) - 1e-9]
+            if not len(at):
+                continue
             common = np.isin(least[at], own_least)
             first = np.min(least[at], axis=1, where=common, initial=np.iinfo(np.int64).max)
             other = node[at[~common.any(axis=1) | (first == group[0])]]
