@@ -69,38 +69,46 @@ def list_column(rows: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array([r is None for r in rows], pa.bool_()))
 
 
-def decode_clips(audio: DataFrame, decoder: Decoder = pcm_wav, key: str = "path") -> DataFrame:
+def decode_clips(audio: DataFrame, decoder: Decoder = pcm_wav, key: str = "path", at_once: int = 32) -> DataFrame:
     """key, samples array<smallint> at 16 kHz mono, rate and channels of the file, n_samples, error.
 
     audio: key and content. A null content gives a row of nulls; any error of the decoder gives the
     row's error and no samples, never a failed task. A batch of rows is bounded in bytes by
-    spark.sql.execution.arrow.maxBytesPerBatch.
+    spark.sql.execution.arrow.maxBytesPerBatch, and the samples of `at_once` clips are held at a time.
     """
+    schema = f"`{key}` {audio.schema[key].dataType.simpleString()}, samples array<smallint>, rate int, channels int, n_samples int, error string"
+    return audio.select(key, "content").mapInArrow(decoding(decoder, key, at_once), schema)
+
+
+def decoding(decoder: Decoder, key: str, at_once: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What decode_clips does with the batches of a task: each is given out in parts of `at_once` clips, the next part is not begun before."""
+
+    def decoded(contents: pa.Array) -> list[pa.Array]:
+        rows: list[tuple] = []
+        for content in contents:
+            data = content.as_py()
+            try:
+                if data is None:
+                    rows.append((None, None, None, None, None))
+                    continue
+                samples, rate, channels = decoder(data)
+                clip = mono_16k(samples, rate, channels)
+                if not len(clip):
+                    raise ValueError("no samples")
+                rows.append((clip, rate, channels, len(clip), None))
+            except Exception as problem:
+                rows.append((None, None, None, None, f"{type(problem).__name__}: {problem}"))
+        clips, *rest = zip(*rows, strict=True) if rows else [[]] * 5
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string())
+        return [list_column(list(clips), pa.int16()), *(pa.array(c, k) for c, k in zip(rest, kinds, strict=True))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for content in batch.column(1):
-                data = content.as_py()
-                try:
-                    if data is None:
-                        rows.append((None, None, None, None, None))
-                        continue
-                    samples, rate, channels = decoder(data)
-                    clip = mono_16k(samples, rate, channels)
-                    if not len(clip):
-                        raise ValueError("no samples")
-                    rows.append((clip, rate, channels, len(clip), None))
-                except Exception as problem:
-                    rows.append((None, None, None, None, f"{type(problem).__name__}: {problem}"))
-            clips, *rest = zip(*rows, strict=True) if rows else [[]] * 5
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string())
-            columns = [list_column(list(clips), pa.int16()), *(pa.array(c, k) for c, k in zip(rest, kinds, strict=True))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "samples", "rate", "channels", "n_samples", "error"])
-
-    kind = audio.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, samples array<smallint>, rate int, channels int, n_samples int, error string"
-    return audio.select(key, "content").mapInArrow(run, schema)
+            for k in range(0, batch.num_rows, at_once):
+                part = batch.slice(k, at_once)
+                yield pa.RecordBatch.from_arrays([part.column(0), *decoded(part.column(1))], [key, "samples", "rate", "channels", "n_samples", "error"])
+
+    return run
 
 
 def frame_signal(df: DataFrame, key: str, column: str, win: int, hop: int) -> DataFrame:

@@ -431,11 +431,15 @@ def _frames(spark, sf_dir):
     return framed.select("vec_id", "frame_idx", _r(F.aggregate("frame", F.lit(0.0), lambda s, x: s + x * x)).alias("energy"))
 
 
+def _dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings, a small file of much work, dealt over all cores."""
+    return table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism)
+
+
 def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second of sound for each embedding: its values as samples, over and over."""
     once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
-    dealt = table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism)  # a small file of much work
-    return dealt.select("vec_id", F.flatten(F.array_repeat(once, 250)).alias("samples"))
+    return _dealt(spark, sf_dir).select("vec_id", F.flatten(F.array_repeat(once, 250)).alias("samples"))
 
 
 #: Spectra of a clip in SQL: 400 samples from frame f of the sound that _signals() makes (silence before and after), a periodic Hann window, 201 bins, 80 triangles
@@ -485,7 +489,7 @@ def _wav_bytes(samples: Column, times: Column, rate: Column | None = None, chann
 @_query("d1_d2_decode_clips", "SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN NULL ELSE 6400 END AS n_samples, CASE WHEN vec_id % 5 = 0 THEN NULL ELSE CAST(100 * list_sum(list_transform(embedding, lambda x: CAST(greatest(least(floor(x::DOUBLE * 8000), 32767), -32768) AS BIGINT))) AS BIGINT) END AS total, vec_id % 5 = 0 AS failed FROM embeddings")
 def _decode(spark, sf_dir):
     once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
-    clips = table(spark, sf_dir, "embeddings").select("vec_id", once.alias("s"))
+    clips = _dealt(spark, sf_dir).select("vec_id", once.alias("s"))
     content = F.when(F.col("vec_id") % 5 == 0, F.encode(F.lit("RIFF and no more"), "UTF-8")).otherwise(_wav_bytes(F.col("s"), F.lit(100)))
     found = signal.decode_clips(clips.select("vec_id", content.alias("content")), key="vec_id")
     total = F.aggregate("samples", F.lit(0).cast("bigint"), lambda a, x: a + x)
@@ -501,7 +505,7 @@ def _mono(spark, sf_dir):
     channels = (1 + F.col("vec_id") % 2).cast("int")
     levels = [(F.floor(F.get("embedding", F.lit(k)).cast("double") * 1000) * 2).cast("smallint") for k in range(2)]
     frame = F.when(channels == 1, F.array(levels[0])).otherwise(F.array(*levels))
-    clips = table(spark, sf_dir, "embeddings").select("vec_id", _wav_bytes(frame, F.lit(4000), rate, channels).alias("content"))
+    clips = _dealt(spark, sf_dir).select("vec_id", _wav_bytes(frame, F.lit(4000), rate, channels).alias("content"))
     found = signal.decode_clips(clips, key="vec_id")
     return found.select("vec_id", "rate", "channels", "n_samples", F.get("samples", F.floor(F.col("n_samples") / 2).cast("int")).cast("int").alias("middle"))
 

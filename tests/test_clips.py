@@ -9,6 +9,7 @@ import time
 import wave
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -142,6 +143,22 @@ def test_sinks(spark, folder, labels, tmp_path):
     assert spark.read.json(str(tmp_path / "bad")).count() == len(CLIPS) - 3
 
 
+def test_clips_of_a_batch_are_decoded_as_they_are_given_out():
+    calls = []
+
+    def decoder(data):
+        calls.append(data)
+        return np.full(4 + len(calls) % 3, 7, np.int16), config.SAMPLE_RATE, 1
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([None if k % 10 == 0 else b"x" for k in range(400)], pa.binary())], ["path", "content"])
+    seen = []
+    for out in signal.decoding(decoder, "path", 32)(iter([batch, batch.slice(0, 0)])):
+        seen += out.column(0).to_pylist()
+        assert out.num_rows <= 32 and len(calls) <= len(seen)
+        assert [s is None for s in out.column(1).to_pylist()] == [k % 10 == 0 for k in out.column(0).to_pylist()]
+    assert seen == list(range(400)) and len(calls) == 360
+
+
 def test_stream_equals_batch(spark, folder, labels, tmp_path):
     asked = requests(spark, folder).filter("request_id not in ('missing.wav', 'empty.wav')")
     batch = {(r["request_id"], r["rule"], r["top_intent"]) for r in classify_audio(asked, audio_source.scan_audio(spark, str(folder)), make_predict, labels).collect()}
