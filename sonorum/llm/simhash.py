@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonorum.llm.common import count_partitions, in_parts, materialize, read_table
-from sonorum.llm.components import connected_components
+from sonorum.llm.components import connected_components, least_labels
 from sonorum.operators.joins import join_one_per_key
 
 SEED = 42
@@ -130,19 +130,6 @@ def trie_links(fps: np.ndarray, groups: np.ndarray, bits: list[int], budget: int
     return order[np.concatenate(left)], order[np.concatenate(right)]
 
 
-def _labels(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The least position of each position's component."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[x], label[y])
-        before = label.copy()
-        np.minimum.at(label, label[x], low)
-        np.minimum.at(label, label[y], low)
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def spanning_forest(n: int, x: np.ndarray, y: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links, fewer than n, that connect what all links connect, the closest first: every component takes its closest link out, until none leads out."""
     order = np.argsort(distance, kind="stable")
@@ -158,7 +145,7 @@ def spanning_forest(n: int, x: np.ndarray, y: np.ndarray, distance: np.ndarray)
         np.minimum.at(best, label[y], np.arange(len(x)))
         pick = np.unique(best[best < len(x)])
         taken.append((x[pick], y[pick]))
-        label = _labels(n, label[x[pick]], label[y[pick]])[label]
+        label = least_labels(n, label[x[pick]], label[y[pick]])[label]
     if not taken:
         return x, y
     return tuple(np.concatenate(side) for side in zip(*taken, strict=True))

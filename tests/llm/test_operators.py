@@ -13,6 +13,7 @@ from oracle import compare
 from pyspark.sql import functions as F
 
 from sonorum.llm import chat_format, decontaminate, langid, linear, mixing, quality, registry, rule_ledger, simhash, suffix_dedup, toxicity, url_rules
+from sonorum.llm import components
 from sonorum.llm.components import connected_components
 
 SMALL, MIDDLE, LARGE = (f"/root/testdata/sf{x}" for x in ("0.001", "0.01", "0.1"))
@@ -589,6 +590,26 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_links_of_one_task_are_contracted_in_one_pass(spark, monkeypatch):
+    rng = random.Random(4)
+    links = [(f"n{rng.randint(0, 300):03}", f"n{rng.randint(0, 300):03}") for _ in range(250)] + [(f"z{k:03}", f"z{k + 1:03}") for k in range(200)]
+    want = {n: r for n, r in by_union_of_names(links).items() if n != r}
+    written, write = [], components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, what: written.append(what) or write(df, what))
+    for at_once, most in ((components.AT_ONCE, 1), (7, 99)):
+        written.clear()
+        df = spark.createDataFrame(links, "a string, b string").coalesce(1)
+        rows = connected_components(df, at_once=at_once).collect()
+        assert {r["node"]: r["root"] for r in rows} == want and len(rows) == len(want)
+        assert len(written) <= most
+
+
+def by_union_of_names(links):
+    names = sorted({x for link in links for x in link})
+    number = {x: k for k, x in enumerate(names)}
+    return {names[n]: names[r] for n, r in by_union(range(len(names)), [(number[a], number[b]) for a, b in links]).items()}
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
