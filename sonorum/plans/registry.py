@@ -14,7 +14,7 @@ from sonorum.operators import admission, bundles, labels, outcomes, predict, sco
 from sonorum.plans import fixtures
 from sonorum.plans.classify import classify_audio
 from sonorum.plans.fixtures import REQUESTS_SQL, SCORES_SQL, table
-from sonorum.session import shared_dir
+from sonorum.session import shared_dir, stored
 from sonorum.sources.audio import attach_audio, scan_audio, stream_audio
 from sonorum.sources.labels import read_labels
 from sonorum.sources.sinks import write_outcomes, write_rejects
@@ -599,10 +599,11 @@ def _classify_stream(spark, sf_dir):
     place, part = _folder(spark, "clips"), F.col("vec_id") % 5
     once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
     content = F.when(part == 0, F.encode(F.lit("RIFF and no more"), "UTF-8")).otherwise(_wav_bytes(once, F.when(part == 1, 100).otherwise(250)))
-    table(spark, sf_dir, "embeddings").repartition(8).select("vec_id", content.cast("string").alias("value")).write.partitionBy("vec_id").text(f"{place}/in")
+    _dealt(spark, sf_dir).select("vec_id", content.cast("string").alias("value")).write.partitionBy("vec_id").text(f"{place}/in")
     asked = spark.createDataFrame([], "path string, request_id string, response_format string, top_k string, language string")
     stream = stream_audio(spark, f"{place}/in/*", max_files=1000)
-    query = classify_stream(stream, asked, _make_mel_predict, fixtures.labels(spark, sf_dir), f"{place}/out", f"{place}/state", availableNow=True)
+    names = stored(fixtures.labels(spark, sf_dir), "labels")  # else every batch would find them in all embeddings anew
+    query = classify_stream(stream, asked, _make_mel_predict, names, f"{place}/out", f"{place}/state", availableNow=True)
     query.awaitTermination()
     number = F.regexp_extract("path", "vec_id=([0-9]+)/", 1).cast("bigint").alias("vec_id")
     results = spark.read.parquet(f"{place}/out/results").select(number, F.lit("results").alias("side"), "rule", "status", F.size("intents").alias("n_intents"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +24,29 @@ def scan_audio(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
 
 
+_LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Inside, files are listed by four tasks a core at most; Spark's own setting is a task for each path, up to 10,000, which takes longer than the listing.
+
+    A stream that starts inside keeps this for its batches. A session with a lower setting keeps it.
+    """
+    before, most = spark.conf.get(_LISTING_KEY), 4 * spark.sparkContext.defaultParallelism
+    if int(before) > most:
+        spark.conf.set(_LISTING_KEY, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING_KEY, before)
+
+
 def stream_audio(spark: SparkSession, path: str, max_files: int = 1000, glob: str | None = None) -> DataFrame:
     """The same rows as files arrive, at most max_files in a batch."""
     reader = spark.readStream.format("binaryFile").schema(SCHEMA).option("maxFilesPerTrigger", max_files)
-    return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    with few_listing_tasks(spark):
+        return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
 
 
 def attach_audio(requests: DataFrame, audio: DataFrame, decodable: DataFrame | None = None) -> DataFrame:

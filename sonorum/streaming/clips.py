@@ -12,6 +12,7 @@ from sonorum.operators.outcomes import check_counts
 from sonorum.operators.predict import MakePredict
 from sonorum.operators.signal import Decoder, pcm_wav
 from sonorum.plans.classify import outcomes_of, score_clips, with_early
+from sonorum.sources.audio import few_listing_tasks
 
 REJECT_COLUMNS = ("request_id", "path", "status", "rule", "detail")
 
@@ -41,7 +42,8 @@ def classify_stream(
         write_batch(files, batch_id, requests, make_predict, labels, out_path, decoder)
 
     writer = fitting.unionByName(other).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    with few_listing_tasks(audio_stream.sparkSession):
+        return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def write_batch(files: DataFrame, batch_id: int, requests: DataFrame, make_predict: MakePredict, labels: DataFrame, out_path: str, decoder: Decoder = pcm_wav) -> None:

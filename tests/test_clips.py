@@ -173,6 +173,17 @@ def test_stream_equals_batch(spark, folder, labels, tmp_path):
     assert set(rejects.columns) == {*REJECT_COLUMNS, "batch_id"} and rejects.filter("detail is null or status = 200").isEmpty()
 
 
+def test_files_are_listed_by_few_tasks(spark):
+    key, most = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 4 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get(key)
+    for own, held in ((before, str(min(int(before), most))), ("2", "2")):
+        spark.conf.set(key, own)
+        with audio_source.few_listing_tasks(spark):
+            assert spark.conf.get(key) == held
+        assert spark.conf.get(key) == own
+    spark.conf.set(key, before)
+
+
 def test_oversize_content_is_not_read(spark, folder, labels, tmp_path, monkeypatch):
     monkeypatch.setattr(config, "MAX_UPLOAD_BYTES", 20_000)
     query = classify_stream(audio_source.stream_audio(spark, str(folder)), requests(spark, folder), make_predict, labels, str(tmp_path / "out"), str(tmp_path / "state"), availableNow=True)
