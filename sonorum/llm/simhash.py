@@ -53,13 +53,17 @@ def fingerprint(found: list[bytes], words: int) -> tuple[int, int]:
 
 
 def word_digest(text: Column) -> Column:
-    """The digest that fingerprints() gives."""
+    """The digest that signatures() gives.
+
+    Spark must not copy it into filters that it derives from a join by the digest: each copy makes the digests again, in a second Python
+    worker of every task, and the workers stay. Nothing is pushed below a column that Spark is told is not deterministic.
+    """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([_digest(_folded(t.as_py())) for t in batch], pa.binary())
 
-    return F.arrow_udf(run, "binary")(text.cast("binary"))
+    return F.arrow_udf(run, "binary").asNondeterministic()(text.cast("binary"))
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -53,6 +53,14 @@ def test_texts_with_one_doc_id_all_stay_unless_copied(spark):
         assert sorted(kept) == sorted([(1, one.upper(), "en", "c", 1), (1, two, "en", "a", 1), (2, three, "en", "a", 1)])
 
 
+def test_near_dedup_makes_each_digest_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c", "en", "a", 5)], DOCS)
+    found = spark.createDataFrame([(1, 1, b"x", True)], "doc_id bigint, component_id bigint, digest binary, least boolean")
+    monkeypatch.setattr(simhash, "similar_documents", lambda *a, **b: found)
+    plan = pipeline.near_dedup(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_near_copies_of_the_table_are_one_group(spark):
     """Every pair of different texts with a similarity of 0.8 or more, and no other, by all texts that share a shingle."""
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
