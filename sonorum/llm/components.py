@@ -93,7 +93,7 @@ def connected_components(links: DataFrame, hot_from: int = HOT, at_once: int = A
 
     links: a, b of one orderable type; order, repeats, loops and nulls do not matter. Minima are
     aggregated before they meet the links again, and a node of at least `hot_from` links meets them in many parts.
-    What one task contracted whole, `at_once` links at most, is the result.
+    What one task contracted whole, `at_once` links at most, is the result; so a table that is down to so many goes to one task, without more stars.
     """
     links = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     state = None
@@ -106,6 +106,9 @@ def connected_components(links: DataFrame, hot_from: int = HOT, at_once: int = A
             now = (found["n"], found["sum"])
             if found["low"] == found["high"] or now == state:  # without links both are null
                 break
+            if found["n"] <= at_once:
+                links = links.coalesce(1)
+                continue
             state = now
             links = _small_stars(_stars(links, found["n"], hot_from))
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

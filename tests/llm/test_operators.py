@@ -604,6 +604,21 @@ def test_links_of_one_task_are_contracted_in_one_pass(spark, monkeypatch):
         assert len(written) <= most
 
 
+def test_few_links_of_many_tasks_take_two_passes(spark, monkeypatch):
+    links = [(k, k + 1) for k in range(300)] + [(500, k) for k in range(501, 560)]
+    want = {n: r for n, r in by_union({x for link in links for x in link}, links).items() if n != r}
+    written, write, key = [], components.materialize, "spark.sql.adaptive.coalescePartitions.enabled"
+    monkeypatch.setattr(components, "materialize", lambda df, what: written.append(what) or write(df, what))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {r["node"]: r["root"] for r in rows} == want and len(rows) == len(want)
+    assert len(written) == 2
+
+
 def by_union_of_names(links):
     names = sorted({x for link in links for x in link})
     number = {x: k for k, x in enumerate(names)}
