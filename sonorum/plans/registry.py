@@ -15,7 +15,7 @@ from sonorum.plans import fixtures
 from sonorum.plans.classify import classify_audio
 from sonorum.plans.fixtures import REQUESTS_SQL, SCORES_SQL, table
 from sonorum.session import shared_dir, stored
-from sonorum.sources.audio import attach_audio, scan_audio, stream_audio
+from sonorum.sources.audio import attach_audio, few_listing_tasks, scan_audio, stream_audio
 from sonorum.sources.labels import read_labels
 from sonorum.sources.sinks import write_outcomes, write_rejects
 from sonorum.streaming.bundles import STATE_STORE, bundle_stream
@@ -595,19 +595,25 @@ def _classify_audio(spark, sf_dir):
 @_query("h1_classify_stream", """SELECT vec_id, CASE WHEN vec_id % 5 < 2 THEN 'rejects' ELSE 'results' END AS side, CASE WHEN vec_id % 5 = 0 THEN 'undecodable' WHEN vec_id % 5 = 1 THEN 'bad_duration' ELSE 'ok' END AS rule,
   CASE WHEN vec_id % 5 < 2 THEN 422 ELSE 200 END AS status, CASE WHEN vec_id % 5 < 2 THEN NULL ELSE 5 END AS n_intents FROM embeddings""")
 def _classify_stream(spark, sf_dir):
-    """Every embedding as a WAV file (a file of text, whose last line break no decoder reads), classified as it arrives."""
+    """Every embedding as a WAV file (a file of text, whose last lines, behind the samples, no decoder reads; they hold vec_id), classified as it arrives.
+
+    All files are in one folder, which is listed at once; a folder for each takes longer to make and to list than a clip.
+    """
     place, part = _folder(spark, "clips"), F.col("vec_id") % 5
     once = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x.cast("double") * 8000), F.lit(32767)), F.lit(-32768)).cast("smallint"))
     content = F.when(part == 0, F.encode(F.lit("RIFF and no more"), "UTF-8")).otherwise(_wav_bytes(once, F.when(part == 1, 100).otherwise(250)))
-    _dealt(spark, sf_dir).select("vec_id", content.cast("string").alias("value")).write.partitionBy("vec_id").text(f"{place}/in")
+    last = F.concat(F.lit("\n"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
+    lines = F.concat(F.coalesce(content, F.encode(F.lit(""), "UTF-8")), F.encode(last, "UTF-8")).cast("string")
+    _dealt(spark, sf_dir).select(lines.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{place}/in")
     asked = spark.createDataFrame([], "path string, request_id string, response_format string, top_k string, language string")
-    stream = stream_audio(spark, f"{place}/in/*", max_files=1000)
+    stream = stream_audio(spark, f"{place}/in", max_files=1000)
     names = stored(fixtures.labels(spark, sf_dir), "labels")  # else every batch would find them in all embeddings anew
-    query = classify_stream(stream, asked, _make_mel_predict, names, f"{place}/out", f"{place}/state", availableNow=True)
-    query.awaitTermination()
-    number = F.regexp_extract("path", "vec_id=([0-9]+)/", 1).cast("bigint").alias("vec_id")
-    results = spark.read.parquet(f"{place}/out/results").select(number, F.lit("results").alias("side"), "rule", "status", F.size("intents").alias("n_intents"))
-    rejects = spark.read.parquet(f"{place}/out/rejects").select(number, F.lit("rejects").alias("side"), "rule", "status", F.lit(None).cast("int").alias("n_intents"))
+    with few_listing_tasks(spark, a_core=1):
+        classify_stream(stream, asked, _make_mel_predict, names, f"{place}/out", f"{place}/state", availableNow=True).awaitTermination()
+    number = F.regexp_extract(F.substring("content", -24, 24).cast("string"), "\\n(-?[0-9]*)\\n$", 1).try_cast("bigint").alias("vec_id")
+    numbers = scan_audio(spark, f"{place}/in").select("path", number)
+    results = spark.read.parquet(f"{place}/out/results").join(numbers, "path", "left").select("vec_id", F.lit("results").alias("side"), "rule", "status", F.size("intents").alias("n_intents"))
+    rejects = spark.read.parquet(f"{place}/out/rejects").join(numbers, "path", "left").select("vec_id", F.lit("rejects").alias("side"), "rule", "status", F.lit(None).cast("int").alias("n_intents"))
     return results.unionByName(rejects)
 
 

@@ -28,12 +28,12 @@ _LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 @contextmanager
-def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
-    """Inside, files are listed by four tasks a core at most; Spark's own setting is a task for each path, up to 10,000, which takes longer than the listing.
+def few_listing_tasks(spark: SparkSession, a_core: int = 4) -> Iterator[None]:
+    """Inside, files are listed by four tasks a core at most, or as told; Spark's own setting is a task for each path, up to 10,000, which takes longer than the listing.
 
-    A stream that starts inside keeps this for its batches. A session with a lower setting keeps it.
+    A stream lists the files of each batch by what holds in its source's session then, so it must run inside. A session with a lower setting keeps it.
     """
-    before, most = spark.conf.get(_LISTING_KEY), 4 * spark.sparkContext.defaultParallelism
+    before, most = spark.conf.get(_LISTING_KEY), a_core * spark.sparkContext.defaultParallelism
     if int(before) > most:
         spark.conf.set(_LISTING_KEY, str(most))
     try:

@@ -12,7 +12,6 @@ from sonorum.operators.outcomes import check_counts
 from sonorum.operators.predict import MakePredict
 from sonorum.operators.signal import Decoder, pcm_wav
 from sonorum.plans.classify import outcomes_of, score_clips, with_early
-from sonorum.sources.audio import few_listing_tasks
 
 REJECT_COLUMNS = ("request_id", "path", "status", "rule", "detail")
 
@@ -32,8 +31,10 @@ def classify_stream(
     A file without a request row gets the form defaults and its path as request_id; with several
     request rows it is decoded and scored once and has an outcome for each. A file that is too large, or of which no request
     passes the rules of the form, is not decoded; the size rule is part of the streaming plan. A batch whose outcomes are not as many as its
-    requests fails before anything is kept of it. A replayed batch overwrites its own partitions.
+    requests fails before anything is kept of it. A replayed batch overwrites its own partitions. `few_listing_tasks` speeds
+    it up if it holds in the session while the stream runs.
     """
+    cores = audio_stream.sparkSession.sparkContext.defaultParallelism
     within = F.col("length").between(1, config.MAX_UPLOAD_BYTES)
     fitting = audio_stream.filter(within).select("path", "length", "content")
     other = audio_stream.filter(~within).select("path", "length", F.lit(None).cast("binary").alias("content"))
@@ -41,9 +42,8 @@ def classify_stream(
     def write(files: DataFrame, batch_id: int) -> None:
         write_batch(files, batch_id, requests, make_predict, labels, out_path, decoder)
 
-    writer = fitting.unionByName(other).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    with few_listing_tasks(audio_stream.sparkSession):
-        return (writer.trigger(**trigger) if trigger else writer).start()
+    writer = fitting.coalesce(2 * cores).unionByName(other.coalesce(cores)).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def write_batch(files: DataFrame, batch_id: int, requests: DataFrame, make_predict: MakePredict, labels: DataFrame, out_path: str, decoder: Decoder = pcm_wav) -> None:

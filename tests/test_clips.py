@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sonorum import config
 from sonorum.operators import bundles, outcomes, signal
+from sonorum.plans import registry
 from sonorum.plans.classify import classify_audio
 from sonorum.sources import audio as audio_source
 from sonorum.sources.sinks import write_outcomes, write_rejects
@@ -184,6 +185,22 @@ def test_files_are_listed_by_few_tasks(spark):
     spark.conf.set(key, before)
 
 
+def test_streamed_clips_lie_in_one_folder_and_few_tasks_list_them(spark, tmp_path, monkeypatch):
+    """Clips of the query: ids below zero, a repeated one and one that is missing stay as they are."""
+    key, held, places = "spark.sql.sources.parallelPartitionDiscovery.parallelism", [], []
+    write, folder_of, before = clips.write_batch, registry._folder, spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    monkeypatch.setattr(clips, "write_batch", lambda files, *a: held.append(int(spark.conf.get(key))) or write(files, *a))
+    monkeypatch.setattr(registry, "_folder", lambda *a: places.append(folder_of(*a)) or places[-1])
+    ids = (-2, 5, 7, 7, 12, 1234567890123, None, 21, 22, 23)
+    rows = [(i, [0.1 * k] * 64, k) for k, i in enumerate(ids)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = registry.queries()["h1_classify_stream"](spark, str(tmp_path)).collect()
+    assert sorted(str(r["vec_id"]) for r in found) == sorted(str(r[0]) for r in rows)
+    assert {r["vec_id"]: r["rule"] for r in found if r["vec_id"] in (5, 7, 1234567890123)} == {5: "undecodable", 7: "ok", 1234567890123: "ok"}
+    assert held and max(held) <= spark.sparkContext.defaultParallelism and spark.conf.get(key) == before
+    assert spark.read.format("binaryFile").load(f"{places[0]}/in").count() == len(rows)
+
+
 def test_oversize_content_is_not_read(spark, folder, labels, tmp_path, monkeypatch):
     monkeypatch.setattr(config, "MAX_UPLOAD_BYTES", 20_000)
     query = classify_stream(audio_source.stream_audio(spark, str(folder)), requests(spark, folder), make_predict, labels, str(tmp_path / "out"), str(tmp_path / "state"), availableNow=True)
