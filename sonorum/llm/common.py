@@ -63,13 +63,11 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
 
     The table stays until the end of `only_the_last_stays`, until drop_tables() is called, or until the driver ends.
-    Plans, broadcasts and shuffle files of the ended write go at once: Spark lets go of them only when the driver collects its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     with small_batches(spark):
         df.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.System.gc()
     scope = _SCOPE.get()
     (_WRITTEN if scope is None else scope).append(path)
     return spark.read.schema(df.schema).parquet(path)
